@@ -3,13 +3,26 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fieldloom.llm.leaks import find_leaks
 from fieldloom.llm.lines import remove_repeated_lines, repeated_line_numbers
+from fieldloom.llm.mixing import mix
+from fieldloom.llm.splitting import split_oversized
 from fieldloom.llm.stuffing import find_stuffed
 from fieldloom.session import table
 
 
+def p1_pieces(spark: SparkSession, root: str) -> DataFrame:
+    """The pieces of every text of more than 2,000 characters."""
+    return split_oversized(table(spark, root, "labelled_text").select("text_id", "clean_text"), "text_id", "clean_text")
+
+
+def p1_found(spark: SparkSession, root: str) -> DataFrame:
+    """Texts that had to be cut: those with a second piece."""
+    return p1_pieces(spark, root).filter(F.col("piece_no") == 2).select("text_id").distinct()
+
+
 def p6_found(spark: SparkSession, root: str) -> DataFrame:
     """Lines that occur in at least ten documents of their source."""
     return repeated_line_numbers(table(spark, root, "articles_gkg").select("article_id", "sourcecommonname", "clean_text"))
@@ -32,16 +45,30 @@ def p8_passages(spark: SparkSession, root: str) -> DataFrame:
     return find_leaks(docs, items)
 
 
+def p9_mixture(spark: SparkSession, root: str) -> DataFrame:
+    """The records drawn for the mixture and how often each is used."""
+    return mix(table(spark, root, "documents").select("doc_id", "text", "source", "lang"), table(spark, root, "mix_targets"))[0]
+
+
+def p9_shares(spark: SparkSession, root: str) -> DataFrame:
+    """The share of all tokens each source reached."""
+    return mix(table(spark, root, "documents").select("doc_id", "text", "source", "lang"), table(spark, root, "mix_targets"))[1]
+
+
 def p10_found(spark: SparkSession, root: str) -> DataFrame:
     """Documents that are heaps of keywords, links or tags."""
     return find_stuffed(table(spark, root, "documents").select("doc_id", "text")).filter("stuffed").select("doc_id").distinct()
 
 
 QUERIES = {
+    "p1_found": p1_found,
+    "p1_pieces": p1_pieces,
     "p6_found": p6_found,
     "p6_cleaned": p6_cleaned,
     "p8_found": p8_found,
     "p8_passages": p8_passages,
+    "p9_mixture": p9_mixture,
+    "p9_shares": p9_shares,
     "p10_found": p10_found,
 }
 
@@ -54,6 +81,7 @@ with lined as (
 ), often as (select s, k from keyed where k <> '' group by 1, 2 having count(distinct article_id) >= 10)
 """
 SQL = {
+    "p1_found": "select distinct text_id from labelled_text where length(clean_text) > 2000",
     "p6_found": _RECURRING + "select distinct article_id, cast(line_no as integer) as line_no from keyed join often using (s, k)",
     "p6_cleaned": _RECURRING
     + """, kept as (select article_id, string_agg(case when o.k is null then line end, chr(10) order by line_no) as t from keyed left join often o using (s, k) group by 1)
