@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fieldloom.llm.leaks import find_leaks
 from fieldloom.llm.lines import remove_repeated_lines, repeated_line_numbers
 from fieldloom.llm.mixing import mix
+from fieldloom.llm.naming import match_names
 from fieldloom.llm.splitting import split_oversized
 from fieldloom.llm.stuffing import find_stuffed
 from fieldloom.session import table
@@ -23,6 +24,17 @@ def p1_found(spark: SparkSession, root: str) -> DataFrame:
     return p1_pieces(spark, root).filter(F.col("piece_no") == 2).select("text_id").distinct()
 
 
+def p5_found(spark: SparkSession, root: str) -> DataFrame:
+    """The district meant by each name typed by hand."""
+
+    def typed(name: str, key: str, country: str, region: str, district: str) -> DataFrame:
+        return table(spark, root, name).select(F.lit(name).alias("src"), F.col(key).cast("bigint").alias("row_key"), F.col(country).alias("country"), F.col(region).alias("region"), F.col(district).alias("district"))
+
+    rows = typed("gdelt_events", "globaleventid", "name_0", "name_1", "name_2")
+    rows = rows.unionByName(typed("events_panel", "panel_id", "admin0", "admin1", "admin2")).unionByName(typed("admin_polygons", "poly_id", "name_0", "name_1", "name_2"))
+    return match_names(rows, table(spark, root, "admin_units"))
+
+
 def p6_found(spark: SparkSession, root: str) -> DataFrame:
     """Lines that occur in at least ten documents of their source."""
     return repeated_line_numbers(table(spark, root, "articles_gkg").select("article_id", "sourcecommonname", "clean_text"))
@@ -63,6 +75,7 @@ def p10_found(spark: SparkSession, root: str) -> DataFrame:
 QUERIES = {
     "p1_found": p1_found,
     "p1_pieces": p1_pieces,
+    "p5_found": p5_found,
     "p6_found": p6_found,
     "p6_cleaned": p6_cleaned,
     "p8_found": p8_found,
