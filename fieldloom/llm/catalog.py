@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldloom.llm.boilerplate import find_boilerplate, story_text
 from fieldloom.llm.leaks import find_leaks
 from fieldloom.llm.lines import remove_repeated_lines, repeated_line_numbers
 from fieldloom.llm.mixing import mix
@@ -24,6 +25,17 @@ def p1_found(spark: SparkSession, root: str) -> DataFrame:
     return p1_pieces(spark, root).filter(F.col("piece_no") == 2).select("text_id").distinct()
 
 
+def p3_found(spark: SparkSession, root: str) -> DataFrame:
+    """Lines of web pages that aren't part of the story."""
+    pages = table(spark, root, "articles_events").select("article_id", "sourceurl", "header", "clean_text")
+    return find_boilerplate(pages).filter("around").select("article_id", "line_no").distinct()
+
+
+def p3_stories(spark: SparkSession, root: str) -> DataFrame:
+    """The story of every page."""
+    return story_text(table(spark, root, "articles_events").select("article_id", "sourceurl", "header", "clean_text"))
+
+
 def p5_found(spark: SparkSession, root: str) -> DataFrame:
     """The district meant by each name typed by hand."""
 
@@ -75,6 +87,8 @@ def p10_found(spark: SparkSession, root: str) -> DataFrame:
 QUERIES = {
     "p1_found": p1_found,
     "p1_pieces": p1_pieces,
+    "p3_found": p3_found,
+    "p3_stories": p3_stories,
     "p5_found": p5_found,
     "p6_found": p6_found,
     "p6_cleaned": p6_cleaned,
