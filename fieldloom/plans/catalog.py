@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldloom.plans import data_problems
+from fieldloom.plans import articles, data_problems, feeds, panels
 
-MODULES = [data_problems]
+MODULES = [data_problems, feeds, panels, articles]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -20,4 +20,5 @@ def oracle_sql() -> dict[str, str]:
 
 
 def flagship(spark: SparkSession, root: str) -> DataFrame:
-    return data_problems.p2_found(spark, root)
+    """The forecasting table: last observed and next score of every district and month."""
+    return panels.forecast_targets(spark, root)
