@@ -143,6 +143,7 @@ def rake(
         held = {s for s in share if tokens[s] > 0 and share[s] > 0}
         limits = [tokens[s] * repeats[s] * sum(share[x] for x in held) / share[s] for s in held]
         total = min(max(min(limits), LEAST_SIZE * have.sum()), sum(tokens[s] * repeats[s] for s in held)) if held else 0.0
+    total = float(total)
     goal, full = {}, set()
     while True:  # each turn fills at least one more source to its ceiling
         left = total - sum(tokens[s] * repeats[s] for s in full)
@@ -245,7 +246,7 @@ def mix(
         .select("doc_id", "source", "lang", "topic", "tokens", "copies")
     )
     got = drawn.groupBy("source").agg(F.sum(F.col("tokens") * F.col("copies")).alias("tokens_drawn"), F.count("*").alias("records_drawn"), F.max("copies").alias("max_copies"))
-    asked = spark.createDataFrame([(s, t, r, float(raked.tokens[s]), raked.tokens[s] * r >= t * sum(raked.goal.values()) and raked.tokens[s] > 0) for s, t, r in wanted], "source string, target_share double, max_repeats int, tokens_available double, reachable boolean")
+    asked = spark.createDataFrame([(s, t, r, float(raked.tokens[s]), bool(raked.tokens[s] * r >= t * sum(raked.goal.values()) and raked.tokens[s] > 0)) for s, t, r in wanted], "source string, target_share double, max_repeats int, tokens_available double, reachable boolean")
     all_tokens = drawn.agg(F.sum(F.col("tokens") * F.col("copies"))).first()[0] or 0
     report = asked.join(got, "source", "left").select(
         "source", "target_share",
