@@ -13,10 +13,9 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import combinations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,11 +75,16 @@ def edit_distance(a: str, b: str, most: int) -> int:
     return min(row[-1], most + 1)
 
 
-def deletions(token: str) -> list[str]:
-    """``token`` with up to ``allowed`` characters left out. Two tokens within that distance share one."""
-    out = {token}
-    for k in range(1, allowed(len(token)) + 1):
-        out.update("".join(token[i] for i in keep) for keep in combinations(range(len(token)), len(token) - k))
+def deletions(token: str, most: int) -> list[str]:
+    """``token`` with up to ``most`` and no more than the ``allowed`` characters left out.
+
+    Two tokens within that distance share one: a change or a swap of neighbours leaves equal
+    texts if a character is left out of each.
+    """
+    out = layer = {token}
+    for _ in range(min(most, allowed(len(token)))):
+        layer = {t[:i] + t[i + 1 :] for t in layer for i in range(len(t))}
+        out = out | layer
     return list(out)
 
 
@@ -171,9 +175,12 @@ def _parsed(region: pd.Series, district: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["qd", "qr", "keys", "all"])
 
 
-@F.pandas_udf(_WORDS)
-def _deletions(token: pd.Series) -> pd.Series:
-    return token.map(deletions)
+def _variants(token: str, most: int) -> Column:
+    @F.pandas_udf(_WORDS)
+    def run(tokens_: pd.Series) -> pd.Series:
+        return tokens_.map(lambda t: deletions(t, most))
+
+    return F.explode(run(token))
 
 
 @F.pandas_udf(T.DoubleType())
@@ -185,11 +192,24 @@ def repaired_tokens(typed: DataFrame, listed: DataFrame) -> DataFrame:
     """Columns ``c, token, entry, sim``: for each distinct token of a country the listed tokens within the allowed edit distance.
 
     Both inputs have ``c, token``. They meet in a deletion variant, so no token is compared
-    with all others; a token equal to a listed one meets it too.
+    with all others; a token equal to a listed one meets it too. Variants of two deletions
+    serve nearly all tokens; those of three, of which a token has many more, are only made
+    of tokens that met nothing before. Tokens are few bytes but much work, so they're spread
+    over a fixed number of tasks.
     """
-    left = typed.distinct().withColumn("v", F.explode(_deletions("token")))
-    right = listed.distinct().select("c", F.col("token").alias("entry")).withColumn("v", F.explode(_deletions("entry")))
-    return left.join(right, ["c", "v"]).select("c", "token", "entry").distinct().withColumn("sim", _similar("token", "entry")).filter(F.col("sim") > 0)
+    spark = typed.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    entries = listed.distinct().select("c", F.col("token").alias("entry"))
+
+    def within(tokens_: DataFrame, most: int) -> DataFrame:
+        left = tokens_.repartition(tasks, "c", "token").withColumn("v", _variants("token", most))
+        right = entries.withColumn("v", _variants("entry", most))
+        met = left.join(right, ["c", "v"]).select("c", "token", "entry").distinct().repartition(tasks, "c", "token", "entry")
+        return reliable_checkpoint(met.withColumn("sim", _similar("token", "entry")).filter(F.col("sim") > 0))
+
+    every = typed.distinct()
+    near = within(every, 2)
+    return near.unionByName(within(every.join(near, ["c", "token"], "left_anti"), 3))
 
 
 def match_names(typed: DataFrame, units: DataFrame, limits: Matching = Matching()) -> DataFrame:
@@ -213,7 +233,7 @@ def match_names(typed: DataFrame, units: DataFrame, limits: Matching = Matching(
     index = reliable_checkpoint(units.filter(F.col("admin0").isNotNull() & F.col("admin2").isNotNull()).select("unit_id", "admin0", "admin1", "admin2").groupBy("admin0").applyInPandas(_index, _INDEX_SCHEMA))
     names = cases.select("c", "r", "d").distinct().withColumn("q", _parsed(F.when(F.col("r") != gap, F.col("r")), "d")).select("c", "r", "d", "q.*")
     names = reliable_checkpoint(names)
-    repaired = reliable_checkpoint(repaired_tokens(names.select("c", F.explode("all").alias("token")), index.select("c", F.explode("vocabulary").alias("token"))))
+    repaired = repaired_tokens(names.select("c", F.explode("all").alias("token")), index.select("c", F.explode("vocabulary").alias("token")))
     met = names.select("c", "r", "d", F.explode("all").alias("token"), "keys").join(repaired, ["c", "token"])
     sims = met.groupBy("c", "r", "d").agg(F.collect_set(F.struct("token", "entry", "sim")).alias("sims"))
     entries = index.select("c", "unit_id", F.explode("keys").alias("entry"))
