@@ -84,7 +84,7 @@ class _Areas:
                 t = np.clip(((px - ax) * vx + (py - ay) * vy) / size, 0, 1)
                 out[k : k + 2048] = np.minimum(out[k : k + 2048], np.hypot(px - ax - t * vx, py - ay - t * vy).min(axis=1))
         out[inside_rings(x, y, xs, ys, ends)] = 0.0
-        return out
+        return np.round(out, 6)  # so that a point on a common border is equally near to both
 
 
 def nearest_area(points: DataFrame, key: str, lat: str, lon: str, areas: DataFrame, area_key: str = "poly_id", geometry: str = "geometry", most_areas: int = 20_000) -> DataFrame:
