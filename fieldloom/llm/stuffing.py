@@ -56,7 +56,7 @@ class Stuffing:
     normal: float = 0.85
     separators: float = 0.25
     heap: float = 0.2
-    heap_alone: float = 0.35
+    heap_with_pairs: float = 0.33
     pairs: float = 0.4
     links: float = 0.5
     repeated_lines: float = 0.5
@@ -119,8 +119,7 @@ def stuffed(limits: Stuffing = Stuffing()) -> Column:
     return (F.col("words") > 0) & (
         ((part < limits.few) & (F.col("separator_share") > limits.separators))
         | ((part < limits.normal) & (heap > limits.heap))
-        | (heap > limits.heap_alone)
-        | (F.col("pair_share") > limits.pairs)
+        | ((heap > limits.heap_with_pairs) & (F.col("pair_share") > limits.pairs))
         | (F.col("link_share") > limits.links)
         | (F.col("line_share") > limits.repeated_lines)
     )
