@@ -195,16 +195,17 @@ def repaired_tokens(typed: DataFrame, listed: DataFrame) -> DataFrame:
     with all others; a token equal to a listed one meets it too. Variants of two deletions
     serve nearly all tokens; those of three, of which a token has many more, are only made
     of tokens that met nothing before. Tokens are few bytes but much work, so they're spread
-    over a fixed number of tasks.
+    over a fixed number of tasks (by an expression of their own, as a repartition by the
+    columns of the ``distinct`` would be dropped and its small partitions joined to one).
     """
     spark = typed.sparkSession
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     entries = listed.distinct().select("c", F.col("token").alias("entry"))
 
     def within(tokens_: DataFrame, most: int) -> DataFrame:
-        left = tokens_.repartition(tasks, "c", "token").withColumn("v", _variants("token", most))
+        left = tokens_.repartition(tasks, F.xxhash64("c", "token")).withColumn("v", _variants("token", most))
         right = entries.withColumn("v", _variants("entry", most))
-        met = left.join(right, ["c", "v"]).select("c", "token", "entry").distinct().repartition(tasks, "c", "token", "entry")
+        met = left.join(right, ["c", "v"]).select("c", "token", "entry").distinct().repartition(tasks, F.xxhash64("c", "token", "entry"))
         return reliable_checkpoint(met.withColumn("sim", _similar("token", "entry")).filter(F.col("sim") > 0))
 
     every = typed.distinct()
