@@ -105,7 +105,7 @@ def nearest_area(points: DataFrame, key: str, lat: str, lon: str, areas: DataFra
         part = base.mapInPandas(_finder(held), "key bigint, area_id bigint, distance_m double")
         out = part if out is None else out.unionByName(part)
     if blocks > 1:
-        out = out.groupBy("key").agg(F.min(F.struct("distance_m", "area_id")).alias("x")).select("key", "x.area_id", "x.distance_m")
+        out = out.groupBy("key").agg(F.min(F.when(F.col("area_id").isNotNull(), F.struct("distance_m", "area_id"))).alias("x")).select("key", "x.area_id", "x.distance_m")
     return out.withColumnRenamed("key", key)
 
 
