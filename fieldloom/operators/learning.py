@@ -47,9 +47,11 @@ def with_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def fit_classifier(train: DataFrame, label: str, categories: Sequence[str], numbers: Sequence[str], model: str = "logistic", scale: str | None = "minmax", seed: int = 42) -> PipelineModel:
-    """A fitted pipeline whose ``predicted`` is a label. Null numbers count as 0, null categories as a category of their own; null labels are left out."""
+    """A fitted pipeline whose ``predicted`` is a label. Null numbers count as 0, null categories as a category of their own; null labels are left out. Raises ``ValueError`` without a labelled row."""
     stages = encoder(categories, numbers, scale)
     ready = _ready(train.filter(F.col(label).isNotNull()), categories, numbers)
+    if ready.isEmpty():
+        raise ValueError("there is no labelled row to learn from")
     ready = with_weights(ready, label).withColumn("__label", F.col(label).cast("double"))
     return Pipeline(stages=[*stages, MODELS[model]("__label", "weight", seed)]).fit(ready)
 

@@ -199,7 +199,9 @@ def _meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
                 out["key"].append(got)
                 out["kind"].append(np.full(len(got), kinds[obj], dtype=object))
                 out["ref_id"].append(np.full(len(got), refs[obj]))
-    return pd.DataFrame({k: np.concatenate(v) if v else [] for k, v in out.items()})
+    if not out["key"]:
+        return pd.DataFrame({"kind": pd.Series([], dtype=object), "key": np.empty(0, np.int64), "ref_id": np.empty(0, np.int64)})
+    return pd.DataFrame({k: np.concatenate(v) for k, v in out.items()})
 
 
 def locate(

@@ -267,7 +267,53 @@ def ratio_features(spark: SparkSession, root: str) -> DataFrame:
     ).distinct()
 
 
+def html_extract(spark: SparkSession, root: str) -> DataFrame:
+    """Title and paragraphs of pages made from the eval items, with a script that holds a paragraph end."""
+    d = table(spark, root, "eval_items")
+    html = F.concat(F.lit("<html><head><title>Item "), F.col("item_id"), F.lit("</title><script>var x='</p>';</script></head><body><p> "), F.regexp_replace("text", "[<>&]", " "), F.lit(" </p><div>aside</div><p>end</p></body></html>"))
+    return X.extract_pages(d.select("item_id", html.alias("html")), "html").select("item_id", "header", F.md5("body").alias("body_digest"))
+
+
+TOPIC_LISTS = {"Conflict": ["soldiers", "militia", "clashes"], "Climate": ["drought", "floods", "rain"], "Food Security": ["harvest", "maize", "sorghum"]}
+
+
+def topic_labels(spark: SparkSession, root: str) -> DataFrame:
+    """Topic of each document by keyword lists, later lists overriding earlier ones, and how grave its source's tone is."""
+    from fieldloom.operators.learning import topic_label
+
+    words = table(spark, root, "documents").select("doc_id", F.split(F.lower("text"), "[^a-z]+").alias("words"))
+    return words.select("doc_id", topic_label("words", TOPIC_LISTS).alias("topic"))
+
+
+def tone_by_topic(spark: SparkSession, root: str) -> DataFrame:
+    """Mean severity (the negated compound score) and rows per urgency, to three places, half to even."""
+    a = table(spark, root, "articles_gkg")
+    return a.groupBy("pred_urgency").agg(F.count("*").alias("n"), F.bround(-F.avg("compound_score"), 3).alias("severity"))
+
+
+def single_elements(spark: SparkSession, root: str) -> DataFrame:
+    """The only element of arrays of one, else null, and how long the arrays are."""
+    p = table(spark, root, "events_panel")
+    return p.select("panel_id", A.flatten_single("eventcode").alias("only_code"), A.flatten_single("nummentions").alias("only_mentions"), A.raw_size("eventcode").alias("n"))
+
+
+def text_metrics(spark: SparkSession, root: str) -> DataFrame:
+    """Accuracy, micro and macro F1 of guessing each text's urgency by the most frequent one of its impact type."""
+    t = table(spark, root, "labelled_text").filter(F.col("urgency").isNotNull() & F.col("impact_type").isNotNull())
+    guess = S.mode_of(t, ["impact_type"], "urgency").withColumnRenamed("urgency", "guess")
+    pairs = t.join(guess, "impact_type").groupBy(F.col("urgency").alias("a"), F.col("guess").alias("b")).agg(F.count("*").alias("n"))
+    labels = F.array(*[F.lit(x) for x in K.URGENCY_LABELS])
+    per = pairs.select(F.explode(labels).alias("l"), "a", "b", "n").groupBy("l").agg(
+        F.sum(F.when((F.col("a") == F.col("l")) & (F.col("b") == F.col("l")), F.col("n")).otherwise(0)).alias("tp"),
+        F.sum(F.when((F.col("a") == F.col("l")) != (F.col("b") == F.col("l")), F.col("n")).otherwise(0)).alias("wrong"),
+        F.sum(F.when(F.col("a") == F.col("l"), F.col("n")).otherwise(0)).alias("support"),
+    )
+    f1 = F.coalesce(F.try_divide(2 * F.col("tp"), 2 * F.col("tp") + F.col("wrong")), F.lit(0.0))
+    return per.agg(F.round(F.try_divide(F.sum("tp"), F.sum("support")), 9).alias("accuracy"), F.round(F.try_divide(2 * F.sum("tp"), 2 * F.sum("tp") + F.sum("wrong")), 9).alias("micro_f1"), F.round(F.avg(f1), 9).alias("macro_f1"))
+
+
 QUERIES = {
+    "html_extract": html_extract, "topic_labels": topic_labels, "tone_by_urgency": tone_by_topic, "single_elements": single_elements, "text_metrics": text_metrics,
     "lexicon_filter": lexicon_filter, "crisis_filter": crisis_filter, "keyword_freq": keyword_freq, "truncate_words": truncate_words, "main_country": main_country, "demonym_injection": demonyms,
     "url_domain": url_domain, "blacklisted_domains": blacklisted, "normalized_names": normalized_names, "country_or_filter": country_or_filter, "mapped_features": mapped_features,
     "array_collect_reduce": array_reducers, "array_cap": capped_arrays, "category_counter": category_counter, "parallel_dedupe": parallel_dedupe, "flatten_parallel": flatten_parallel,
@@ -298,6 +344,15 @@ _LEX = "|".join(X.lexicon_terms(LEXICON))
 _FAILED = "(clean_text is null or clean_text in ('Error', ''))"
 _DOMAIN = "nullif(replace(lower(regexp_extract({}, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)), 'www.', ''), '')"
 SQL = {
+    "html_extract": "select item_id, 'Item ' || item_id as header, md5(trim(regexp_replace(text, '[<>&]', ' ', 'g')) || ' end') as body_digest from eval_items",
+    "topic_labels": "with w as (select doc_id, regexp_split_to_array(lower(text), '[^a-z]+') as w from documents) select doc_id, case when list_has_any(w, ['harvest', 'maize', 'sorghum']) then 'Food Security' when list_has_any(w, ['drought', 'floods', 'rain']) then 'Climate' when list_has_any(w, ['soldiers', 'militia', 'clashes']) then 'Conflict' else 'Other' end as topic from w",
+    "tone_by_urgency": "select pred_urgency, count(*) as n, round_even(-avg(compound_score), 3) as severity from articles_gkg group by 1",
+    "single_elements": "select panel_id, case when len(eventcode) = 1 then eventcode[1] end as only_code, case when len(nummentions) = 1 then nummentions[1] end as only_mentions, cast(coalesce(len(eventcode), 0) as integer) as n from events_panel",
+    "text_metrics": """with t as (select impact_type, urgency from labelled_text where urgency is not null and impact_type is not null),
+  g as (select impact_type, urgency as guess from (select impact_type, urgency, row_number() over (partition by impact_type order by count(*) desc, urgency) as rn from t group by 1, 2) where rn = 1),
+  p as (select urgency as a, guess as b from t join g using (impact_type)), l as (select unnest(['low', 'moderate', 'high', 'unclear']) as l),
+  c as (select l, count(*) filter (a = l and b = l) as tp, count(*) filter ((a = l) <> (b = l)) as wrong, count(*) filter (a = l) as support from l cross join p group by 1)
+  select round(sum(tp) / sum(support), 9) as accuracy, round(2 * sum(tp) / (2 * sum(tp) + sum(wrong)), 9) as micro_f1, round(avg(coalesce(2 * tp / nullif(2 * tp + wrong, 0), 0)), 9) as macro_f1 from c""",
     "lexicon_filter": f"select doc_id, lang, n_chars from documents where regexp_matches(text, '\\b(?:{_LEX})\\b', 'i')",
     "crisis_filter": "with r as (select doc_id, " + ", ".join(f"cast(coalesce(regexp_matches(text, '{'|'.join(t)}', 'i'), false) as integer) as {n}" for n, t in (("events_term", K.CRISIS_TERMS_EVENTS), ("records_term", K.CRISIS_TERMS_RECORDS))) + " from documents) select * from r where events_term + records_term > 0",
     "keyword_freq": "with t as (select doc_id, lower(replace(coalesce(text, ''), '.', ' ')) as t from documents where lang = 'en') select doc_id, " + ", ".join(f"cast(len(regexp_extract_all(t, '\\b(?:{'|'.join(w)})\\b')) as integer) as {c}_freq" for c, w in K.WORD_CATEGORIES.items()) + " from t",

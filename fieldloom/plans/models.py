@@ -27,9 +27,16 @@ def features(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _forecast(spark: SparkSession, root: str, model: str) -> DataFrame:
-    """Scores of a model and of the last observed score on the three latest periods, trained on earlier ones."""
+    """Scores of a model and of the last observed score on the latest periods, trained on earlier ones.
+
+    Up to three periods are tested, fewer where the panel has fewer than six; a panel of
+    less than two periods has nothing to test and gives no row.
+    """
     data = features(spark, root)
-    cut = data.select("period").distinct().orderBy(F.desc("period")).limit(3).agg(F.min("period")).first()[0]
+    periods = [r.period for r in data.select("period").distinct().orderBy(F.desc("period")).limit(6).collect()]
+    if len(periods) < 2:
+        return B.scores(data.limit(0).select(F.col("target").alias("actual"), F.col("score_last").alias("predicted"), F.lit(model).alias("model")), ["model"])
+    cut = periods[min(3, len(periods) // 2) - 1]
     train, test = data.filter(F.col("period") < cut), data.filter(F.col("period") >= cut)
     fitted = L.fit_classifier(train, "target", CATEGORIES, NUMBERS, model)
     predicted = L.predict(fitted, test, CATEGORIES, NUMBERS).select(F.col("target").alias("actual"), F.col("predicted").cast("double").alias("predicted"))
