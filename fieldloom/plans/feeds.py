@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldloom.functions import constants as K
 from fieldloom.functions import text as X
+from fieldloom.operators.aggregates import collect_features
 from fieldloom.operators.joins import distinct_first, outer_merge
 from fieldloom.session import table
 
@@ -208,11 +209,45 @@ def record_months(spark: SparkSession, root: str) -> DataFrame:
 _MONTHS = """select strftime(try_strptime(case when regexp_full_match(gkg_date, '[0-9]{14}') then gkg_date end, '%Y%m%d%H%M%S'), '%Y%m') as period, count(*) as n,
   count(distinct gkgrecordid) as records, count(distinct lower(sourcecommonname)) as sources, round(avg(try_cast(string_split(v2tone, ',')[1] as double)), 9) as tone from gkg_raw group by 1"""
 
+def records_by_source(spark: SparkSession, root: str) -> DataFrame:
+    """Per source sums of counted things, mean tone, and the records in order."""
+    r = table(spark, root, "gkg_raw").filter(F.col("gkgrecordid").isNotNull()).select("gkgrecordid", "gkg_date", F.lower("sourcecommonname").alias("source"), X.tone("v2tone").alias("tone"), *X.bucket_counts("counts", entries=";").values())
+    out = collect_features(r.distinct(), ["source"], ["gkgrecordid", "gkg_date"], lists=["gkgrecordid", "gkg_date", "absent"], totals=["n_killed", "n_displaced", "usd_aid"], means=["tone"])
+    return out.select("source", "n_killed_sum", "n_displaced_sum", "usd_aid_sum", F.round("tone_mean", 9).alias("tone_mean"), F.size("gkgrecordid_list").alias("n"), F.array_join("gkgrecordid_list", ",").alias("records"))
+
+
+def _bucket_sum(bucket: str) -> str:
+    return f"cast(coalesce(sum({bucket}), 0) as bigint) as {bucket}_sum"
+
+
+_BY_SOURCE = (
+    "with parsed as (" + _COUNTS.replace("select r.gkgrecordid", "select r.id as rid, r.gkgrecordid") + "), "
+    "raw as (select row_number() over () as rid, gkgrecordid, gkg_date, lower(sourcecommonname) as source, try_cast(string_split(v2tone, ',')[1] as double) as tone from gkg_raw), "
+    "d as (select distinct raw.gkgrecordid, gkg_date, source, tone, n_killed, n_displaced, usd_aid, " + ", ".join(f"parsed.{b} as x_{b}" for b in K.COUNT_BUCKETS) + " from raw join parsed using (rid) where raw.gkgrecordid is not null) "
+    f"select source, {_bucket_sum('n_killed')}, {_bucket_sum('n_displaced')}, {_bucket_sum('usd_aid')}, round(avg(tone), 9) as tone_mean, cast(count(*) as integer) as n, string_agg(gkgrecordid, ',' order by gkgrecordid, gkg_date nulls first) as records from d group by 1"
+)
+
+
+def panels_merged(spark: SparkSession, root: str) -> DataFrame:
+    """Both article feeds per country and urgency, kept on both sides, same columns told apart by suffixes."""
+
+    def side(name: str) -> DataFrame:
+        return table(spark, root, name).groupBy(F.lower("ner_admin0").alias("admin0"), "pred_urgency").agg(F.count("*").alias("n"), F.round(F.avg("compound_score"), 9).alias("compound"))
+
+    return outer_merge(side("articles_events"), side("articles_gkg"), ["admin0", "pred_urgency"], ("_events", "_gkg"))
+
+
+_SIDE = "select lower(ner_admin0) as admin0, pred_urgency, count(*) as n, round(avg(compound_score), 9) as compound from {} group by 1, 2"
+_MERGED = f"""with a as ({_SIDE.format('articles_events')}), b as ({_SIDE.format('articles_gkg')}) select coalesce(a.admin0, b.admin0) as admin0, coalesce(a.pred_urgency, b.pred_urgency) as pred_urgency,
+  a.n as n_events, a.compound as compound_events, b.n as n_gkg, b.compound as compound_gkg from a full join b on a.admin0 is not distinct from b.admin0 and a.pred_urgency is not distinct from b.pred_urgency"""
+
 QUERIES = {
+    "records_by_source": records_by_source, "panels_merged": panels_merged,
     "events_clean": events_clean, "events_funnel": events_funnel, "noise_removed": noise_removed, "events_by_area_month": events_by_area_month, "outer_merge_indicator": outer_merge_indicator,
     "record_themes": record_themes, "record_tone": record_tone, "record_counts": record_counts, "record_places": record_places, "record_months": record_months,
 }
 SQL = {
+    "records_by_source": _BY_SOURCE, "panels_merged": _MERGED,
     "events_clean": _EVENTS + "select globaleventid, sqldate, eventcode, event_number, country, actiongeo_lat, actiongeo_long, nummentions, dateadded from clean",
     "events_funnel": _FUNNEL, "noise_removed": _NOISE, "events_by_area_month": _BY_AREA, "outer_merge_indicator": _OUTER,
     "record_themes": _THEMES, "record_tone": _TONE, "record_counts": _COUNTS, "record_places": _PLACES, "record_months": _MONTHS,

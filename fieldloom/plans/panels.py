@@ -10,6 +10,7 @@ from fieldloom.functions import constants as K
 from fieldloom.operators import baselines as B
 from fieldloom.operators import panel as P
 from fieldloom.operators import statistics as S
+from fieldloom.operators.aggregates import collect_features, guarded
 from fieldloom.session import table
 
 KEYS = ["admin0", "admin1", "admin2"]
@@ -212,7 +213,28 @@ def top_districts(spark: SparkSession, root: str) -> DataFrame:
     return S.top_k(district_panel(spark, root).select(*KEYS, "period", "mentions"), 20, F.desc("mentions"), F.asc_nulls_last("admin0"), F.asc_nulls_last("admin1"), "admin2", "period")
 
 
+def guarded_scores(spark: SparkSession, root: str) -> DataFrame:
+    """Scores with those of the last period replaced by what was known before it."""
+    p = district_panel(spark, root)
+    last = p.agg(F.max("period")).first()[0]
+    return guarded(p, KEYS, "cs_score", "period", last or "").select(*KEYS, "period", "cs_score", "known_score")
+
+
+def aggregated_articles(spark: SparkSession, root: str) -> DataFrame:
+    """Addresses of all districts of a region and month in one array, sums and parallel lists."""
+    e = table(spark, root, "events_panel").filter(F.col("admin1").isNotNull()).withColumn("size", F.size(F.coalesce("sourceurl", F.array())))
+    out = collect_features(e, ["admin0", "admin1", "period_ym"], ["panel_id"], lists=["panel_id", "sourceurl"], totals=["size"], means=["cs_score"])
+    return out.select("admin0", "admin1", "period_ym", "size_sum", F.round("cs_score_mean", 9).alias("cs_score_mean"), F.array_join(F.transform("panel_id_list", lambda x: x.cast("string")), ",").alias("ids"), F.size("sourceurl_list").alias("n_urls"))
+
+
+def label_any(spark: SparkSession, root: str) -> DataFrame:
+    """Per impact type whether any text is urgent, needs food, or is long."""
+    t = table(spark, root, "labelled_text").select("impact_type", (F.col("urgency") == "high").cast("int").alias("urgent"), F.contains("resource", F.lit("'food'")).cast("int").alias("food"), (F.length("clean_text") > 2000).cast("int").alias("long"))
+    return S.any_of(t, ["impact_type"], ["urgent", "food", "long"])
+
+
 QUERIES = {
+    "guarded_scores": guarded_scores, "aggregated_articles": aggregated_articles, "label_any": label_any,
     "district_panel": district_panel, "monthly_conflicts": monthly_conflicts, "lag_lead": lag_lead, "transitions_prev": transitions, "rolling_lagged": rolling_before,
     "rolling_mean_least": rolling_with_least, "expanding_anomaly": expanding_anomaly, "forecast_targets": forecast_targets, "region_mean_anomaly": region_anomaly,
     "region_propagation": region_propagation, "escalation_ratio": escalation, "pct_change": percent_change, "sum_between_observations": between_observations,
@@ -254,6 +276,11 @@ def _rolls() -> str:
 
 
 SQL = {
+    "guarded_scores": f"""with {_PANEL} {_ALL}, cs_score, case when period = (select max(period) from panel) then
+  last_value(case when cs_score between 1 and 5 then cs_score end ignore nulls) over (partition by admin0, admin1, admin2 order by period rows between unbounded preceding and 1 preceding) else cs_score end as known_score from panel""",
+    "aggregated_articles": """select admin0, admin1, period_ym, cast(sum(coalesce(len(sourceurl), 0)) as bigint) as size_sum, round(avg(cs_score), 9) as cs_score_mean, string_agg(cast(panel_id as varchar), ',' order by panel_id) as ids,
+  cast(sum(coalesce(len(sourceurl), 0)) as integer) as n_urls from events_panel where admin1 is not null group by 1, 2, 3""",
+    "label_any": "select impact_type, coalesce(max(cast(urgency = 'high' as integer)), 0) as urgent, coalesce(max(cast(contains(resource, '''food''') as integer)), 0) as food, coalesce(max(cast(length(clean_text) > 2000 as integer)), 0) as long from labelled_text group by 1",
     "district_panel": f"with {_PANEL} select * from panel",
     "monthly_conflicts": f"with {_MONTHLY} select * from monthly",
     "lag_lead": f"with {_PANEL} {_ALL}, cs_score, lag(cs_score) over {_W} as score_before, lag(cs_score, 3) over {_W} as score_3_before, lead(cs_score, 3) over {_W} as score_3_later from panel",
