@@ -139,7 +139,7 @@ def describe(lines: list[str], title: str | None, url: str | None) -> tuple[list
 class DecisionTree:
     """A binary classification tree (Gini), grown to a depth and least leaf size."""
 
-    def __init__(self, depth: int = 14, leaf: int = 1) -> None:
+    def __init__(self, depth: int = 14, leaf: int = 3) -> None:
         self.depth, self.leaf = depth, leaf
         self.feature: list[int] = []
         self.limit: list[float] = []
