@@ -31,7 +31,7 @@ def crisis_filter(spark: SparkSession, root: str) -> DataFrame:
 
 def keyword_freq(spark: SparkSession, root: str) -> DataFrame:
     """Words of each category per document."""
-    return table(spark, root, "documents").filter(F.col("lang") == "en").select("doc_id", *X.category_counts(F.translate("text", ".", " ")).values())
+    return table(spark, root, "documents").select("doc_id", *X.category_counts(F.translate("text", ".", " ")).values())
 
 
 def truncate_words(spark: SparkSession, root: str) -> DataFrame:
@@ -67,7 +67,7 @@ def normalized_names(spark: SparkSession, root: str) -> DataFrame:
 
 def country_or_filter(spark: SparkSession, root: str) -> DataFrame:
     """Articles with a listed country in one of three columns."""
-    listed = [r.admin0 for r in table(spark, root, "admin_units").select("admin0").distinct().orderBy("admin0").limit(8).collect()]  # a fixed report list
+    listed = [r.admin0 for r in table(spark, root, "admin_units").select("admin0").distinct().collect()]  # the countries of the fixed list
     a = table(spark, root, "articles_events")
     hit = F.lit(False)
     for c in ("ner_admin0", "ner_admin1", "ner_admin2"):
@@ -140,8 +140,8 @@ def flatten_parallel(spark: SparkSession, root: str) -> DataFrame:
 
 
 def fill_country(spark: SparkSession, root: str) -> DataFrame:
-    """Country of panel rows, filled by region and district where it's missing (here: dropped for every third row)."""
-    p = table(spark, root, "events_panel").select("panel_id", F.when(F.col("panel_id") % 3 != 0, F.col("admin0")).alias("admin0"), "admin1", "admin2")
+    """Country of panel rows, taken away where a row has no score and filled again by region and district."""
+    p = table(spark, root, "events_panel").select("panel_id", F.when(F.col("cs_score").isNotNull(), F.col("admin0")).alias("admin0"), "admin1", "admin2")
     known = J.last_per_key(p.filter(F.col("admin0").isNotNull()).select("admin1", "admin2", "admin0", "panel_id"), ["admin1", "admin2"], ["panel_id"])
     return J.fill_from_lookup(p, known, ["admin1", "admin2"], "admin0")
 
@@ -355,21 +355,21 @@ SQL = {
   select round(sum(tp) / sum(support), 9) as accuracy, round(2 * sum(tp) / (2 * sum(tp) + sum(wrong)), 9) as micro_f1, round(avg(coalesce(2 * tp / nullif(2 * tp + wrong, 0), 0)), 9) as macro_f1 from c""",
     "lexicon_filter": f"select doc_id, lang, n_chars from documents where regexp_matches(text, '\\b(?:{_LEX})\\b', 'i')",
     "crisis_filter": "with r as (select doc_id, " + ", ".join(f"cast(coalesce(regexp_matches(text, '{'|'.join(t)}', 'i'), false) as integer) as {n}" for n, t in (("events_term", K.CRISIS_TERMS_EVENTS), ("records_term", K.CRISIS_TERMS_RECORDS))) + " from documents) select * from r where events_term + records_term > 0",
-    "keyword_freq": "with t as (select doc_id, lower(replace(coalesce(text, ''), '.', ' ')) as t from documents where lang = 'en') select doc_id, " + ", ".join(f"cast(len(regexp_extract_all(t, '\\b(?:{'|'.join(w)})\\b')) as integer) as {c}_freq" for c, w in K.WORD_CATEGORIES.items()) + " from t",
+    "keyword_freq": "with t as (select doc_id, lower(replace(coalesce(text, ''), '.', ' ')) as t from documents) select doc_id, " + ", ".join(f"cast(len(regexp_extract_all(t, '\\b(?:{'|'.join(w)})\\b')) as integer) as {c}_freq" for c, w in K.WORD_CATEGORIES.items()) + " from t",
     "truncate_words": "select doc_id, array_to_string(string_split(trim(regexp_replace(text, '\\s+', ' ', 'g')), ' ')[1:50], ' ') as head from documents",
     "main_country": "with c as (select doc_id, unnest(['health', 'food', 'water', 'farmers', 'market']) as name, unnest([1, 2, 3, 4, 5]) as o, lower(text) as t from documents), n as (select *, (length(t) - length(replace(t, name, ''))) // length(name) as n from c) select doc_id, case when max(n) > 0 then first(name order by n desc, o) end as main from n group by 1",
     "demonym_injection": "with d as (select doc_id, text, list_filter([case when contains(lower(text), 'farmers union') then 'union' end, case when contains(lower(text), 'health mission') then 'mission' end, case when contains(lower(text), 'grain board') then 'board' end, case when contains(lower(text), 'water trust') then 'trust' end, case when contains(lower(text), 'union') then 'assembly' end], lambda x: x is not null) as c from documents) select doc_id, md5(case when len(c) > 0 then text || ' ' || array_to_string(list_sort(list_distinct(c)), ' ') || ' ' else text end) as digest from d",
     "url_domain": f"select {_DOMAIN.format('url')} as domain, count(*) as n from documents group by 1",
     "blacklisted_domains": f"with a as (select article_id, clean_text, {_DOMAIN.format('sourceurl')} as domain from articles_events) select article_id, domain from a where domain is null or domain not in (select domain from a where {_FAILED} and domain is not null)",
     "normalized_names": f"select unit_id, translate(replace(trim(lower({_plain('admin2')})), '-', ' '), '''`', '') as plain, {_match('admin2')} as matched, trim(regexp_replace(regexp_replace(lower(admin1), '[^a-z0-9\\s]', ' ', 'g'), '\\s+', ' ', 'g')) as hashed from admin_units",
-    "country_or_filter": "with l as (select lower(admin0) as c from (select distinct admin0 from admin_units order by 1 limit 8)) select article_id, ner_admin0 from articles_events where coalesce(lower(ner_admin0) in (select c from l), false) or coalesce(lower(ner_admin1) in (select c from l), false) or coalesce(lower(ner_admin2) in (select c from l), false)",
+    "country_or_filter": "with l as (select lower(admin0) as c from (select distinct admin0 from admin_units)) select article_id, ner_admin0 from articles_events where coalesce(lower(ner_admin0) in (select c from l), false) or coalesce(lower(ner_admin1) in (select c from l), false) or coalesce(lower(ner_admin2) in (select c from l), false)",
     "mapped_features": f"with {_FEATURES} select * from feats",
     "array_collect_reduce": f"with {_FEATURES} select panel_id, {_reduced_sql()} from feats",
     "array_cap": f"with {_FEATURES} select f.panel_id, list_transform(fatalities_count_list, lambda x: case when x > 5 then 5 else x end) as capped, coalesce(list_sum(list_transform(fatalities_count_list, lambda x: cast(coalesce(x, 0) as double))), 0.0) as total, cast(len(fatalities_count_list) > 0 as integer) as has_articles from feats f join events_panel using (panel_id) where len(fatalities_count_list) > 1 or coalesce(cs_score in (1, 2, 3, 4, 5), false)",
     "category_counter": f"with {_FEATURES} select panel_id, " + ", ".join(f"cast(len(list_filter(pred_impact_type_list, lambda x: x = '{c}')) as integer) as impact_{c}" for c in K.IMPACT_LABELS) + " from feats",
     "parallel_dedupe": "with p as (select panel_id, eventcode, sqldate, nummentions, list_filter(range(1, len(eventcode) + 1), lambda i: list_position(eventcode, eventcode[i]) = i) as places from events_panel) select panel_id, " + ", ".join(f"list_transform(places, lambda i: {c}[i]) as {c}" for c in ("eventcode", "sqldate", "nummentions")) + " from p",
     "flatten_parallel": "with p as (select panel_id, unnest(sourceurl) as sourceurl, generate_subscripts(sourceurl, 1) as i, eventcode, nummentions from events_panel) select panel_id, cast(i - 1 as integer) as pos, sourceurl, eventcode[i] as eventcode, cast(nummentions[i] as varchar) as nummentions from p",
-    "lookup_fill_admin0": "with p as (select panel_id, case when panel_id % 3 <> 0 then admin0 end as admin0, admin1, admin2 from events_panel), k as (select admin1, admin2, first(admin0 order by panel_id desc) as v from p where admin0 is not null group by 1, 2) select panel_id, coalesce(p.admin0, v) as admin0, p.admin1, p.admin2 from p left join k on p.admin1 is not distinct from k.admin1 and p.admin2 is not distinct from k.admin2",
+    "lookup_fill_admin0": "with p as (select panel_id, case when cs_score is not null then admin0 end as admin0, admin1, admin2 from events_panel), k as (select admin1, admin2, first(admin0 order by panel_id desc) as v from p where admin0 is not null group by 1, 2) select panel_id, coalesce(p.admin0, v) as admin0, p.admin1, p.admin2 from p left join k on p.admin1 is not distinct from k.admin1 and p.admin2 is not distinct from k.admin2",
     "semi_valid_docs": "with i as (select panel_id, unnest(sourceurl) as u, generate_subscripts(sourceurl, 1) as pos from events_panel), k as (select panel_id, list(u order by pos) as l from i where u in (select sourceurl from articles_events where clean_text is not null and sourceurl is not null) group by 1) select panel_id, coalesce(l, []) as valid_sourceurl from events_panel left join k using (panel_id)",
     "anti_processed": "select distinct u as sourceurl from (select unnest(sourceurl) as u from events_panel) where u like 'http%' and u not in (select sourceurl from articles_events where sourceurl is not null) order by 1",
     "union_by_name": "select article_id, ner_admin0, compound_score, pred_urgency, eventcode, cast(null as timestamp) as seen_at, 'events' as feed from articles_events union all select article_id, ner_admin0, compound_score, pred_urgency, null, seen_at, 'gkg' from articles_gkg",
