@@ -165,6 +165,39 @@ def apply_rules(df: DataFrame, rules: Sequence[Rule] = tuple(AREA_RULES)) -> Dat
     return df
 
 
+# Renamings on the side of the score table, in order.
+SCORE_RULES: list[Rule] = [
+    ({"admin0": "burundi"}, "admin2", {"butaganzwa1": "butaganzwa", "butaganzwa2": "butaganzwa", "butaganzwal": "butaganzwa", "muramvya": "muramviya", "buhinyuza": "buhinvuza", "nyamurenza": "nvamurenza"}),
+    ({"admin0": "yemen", "admin1": "socotra"}, "admin1", "hadramaut"),
+]
+# The region of each district of Uganda.
+UGANDA_REGIONS = {
+    "northern": "adjumani apac arua gulu kitgum kotido lira moroto moyo nakapiripirit nebbi pader yumbe",
+    "eastern": "amuria budaka bududa bugiri bukedea bukwo bulambuli busia butaleja buyende iganga jinja kaberamaido kaliro kamuli kapchorwa katakwi kibuku kumi kween luuka manafwa mayuge mbale namayingo namutumba ngora pallisa serere sironko soroti tororo",
+    "central": "buikwe bukomansimbi butambala buvuma gomba kalangala kalungu kampala kayunga kiboga kyankwanzi luwero lwengo lyantonde masaka mityana mpigi mubende mukono nakaseke nakasongola rakai sembabule wakiso",
+    "western": "bundibugyo bushenyi hoima kabale kabarole kamwenge kanungu kasese kisoro kyenjojo masindi mbarara ntungamo rukungiri",
+}
+# Areas of Uganda that keep their own name; others take that of the district around them.
+UGANDA_KEPT = """buikwe bukomansimbi butambala buvuma gomba kalangala kalungu kyankwanzi luwero lwengo lyantonde mityana mpigi nakaseke amuria budaka bududa bukedea
+bukwo bulambuli butaleja buyende kaliro kibuku kumi kween luuka manafwa namayingo namutumba ngora serere abim agago alebtong amolatar amudat amuru dokolo kaabong
+koboko kole lamwo maracha napak nwoya otuke oyam zombo buhweju buliisa ibanda isingiro kibaale kiruhura kiryandongo kyegegwa mitooma ntoroko rubirizi sheema"""
+
+
+def align_areas(df: DataFrame) -> DataFrame:
+    """Areas of the map (``name_0..2``, normalised) brought into line with the score table.
+
+    The rules in order; then districts of Malawi without "boma", "city" and "town"; then in
+    Uganda areas that don't keep their name take their district's, and districts become
+    regions. Nulls and other countries stay as they are.
+    """
+    df = apply_rules(df)
+    malawi, uganda = F.coalesce(F.col("name_0") == "malawi", F.lit(False)), F.coalesce(F.col("name_0") == "uganda", F.lit(False))
+    df = df.withColumn("name_2", F.when(malawi, F.regexp_replace("name_2", " (?:boma|city|town)", "")).otherwise(F.col("name_2")))
+    df = df.withColumn("name_2", F.when(uganda & ~F.coalesce(F.col("name_2").isin(UGANDA_KEPT.split()), F.lit(False)), F.col("name_1")).otherwise(F.col("name_2")))
+    regions = F.create_map(*[F.lit(x) for r, ds in UGANDA_REGIONS.items() for d in ds.split() for x in (d, r)])
+    return df.withColumn("name_1", F.when(uganda, F.coalesce(F.try_element_at(regions, F.col("name_1")), F.col("name_1"))).otherwise(F.col("name_1")))
+
+
 def rename_once(df: DataFrame, columns: Sequence[str], names: DataFrame, old: str = "old", new: str = "new") -> DataFrame:
     """Names replaced by a table of renamings in exactly one pass (a new name isn't looked up again); null stays."""
     for c in columns:

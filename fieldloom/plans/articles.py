@@ -245,7 +245,7 @@ def largest_parts(spark: SparkSession, root: str) -> DataFrame:
 def area_rules(spark: SparkSession, root: str) -> DataFrame:
     """Area names after the renaming rules."""
     p = table(spark, root, "admin_polygons").select("poly_id", F.lower("name_0").alias("name_0"), F.lower("name_1").alias("name_1"), F.lower("name_2").alias("name_2"))
-    return G.apply_rules(p)
+    return G.align_areas(p)
 
 
 def fuzzy_crosswalk(spark: SparkSession, root: str) -> DataFrame:

@@ -146,6 +146,11 @@ def test_rules(spark):
     rows = [("cameroon", "Nord", "x"), ("kenya", "bungoma", "likuyani"), ("malawi", "zomba", "q"), (None, None, None), ("harare", "harare", "harare")]
     got = [tuple(r) for r in G.apply_rules(spark.createDataFrame(rows, "name_0 string, name_1 string, name_2 string")).collect()]
     assert got == [("cameroon", "north", "x"), ("kenya", "kakamega", "likuyani"), ("malawi", "southern", "q"), (None, None, None), ("harare", "harare", "harare urban")]
+    rows = [("uganda", "apac", "oyam"), ("uganda", "apac", "maruzi"), ("uganda", "new", None), ("malawi", "lilongwe", "lilongwe city"), ("kenya", "kumi", "x city")]
+    got = [tuple(r) for r in G.align_areas(spark.createDataFrame(rows, "name_0 string, name_1 string, name_2 string")).collect()]
+    assert got == [("uganda", "northern", "oyam"), ("uganda", "northern", "apac"), ("uganda", "new", "new"), ("malawi", "central", "lilongwe"), ("kenya", "kumi", "x city")]
+    scores = spark.createDataFrame([("yemen", "socotra", "a"), ("burundi", "b", "Muramvya")], "admin0 string, admin1 string, admin2 string")
+    assert [tuple(r) for r in G.apply_rules(scores, G.SCORE_RULES).collect()] == [("yemen", "hadramaut", "a"), ("burundi", "b", "muramviya")]
     names = spark.createDataFrame([("a", "b"), ("b", "a")], "old string, new string")
     assert [r.n for r in G.rename_once(spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "n string"), ["n"], names).collect()] .count("a") == 1
 
