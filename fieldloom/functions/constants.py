@@ -3,7 +3,11 @@
 # Event codes kept at ingest.
 EVENT_CODES = [
     2, 7, 8, 10, 11, 14, 15, 16, 17, 18, 19, 20, 22, 42, 43, 46, 47, 48, 56, 57, 74, 112, 121, 141, 162, 163, 171, 172, 173,
-    70, 73, 75, 21, 30, 31, 32, 33, 34, 35, 36, 37, 38, 100, 101, 102, 104, 71, 72, 122,
+    70, 73, 74, 75,
+    21, 22,
+    30, 31, 32, 33, 34, 35, 36, 37, 38,
+    100, 101, 102, 104,
+    71, 72, 122,
 ]
 # Event codes taken as noise among scraped articles.
 NOISE_CODES = [10, 20, 30, 31, 32, 33, 34, 42, 43, 46]
@@ -52,15 +56,17 @@ COUNT_CAPS = {"fatalities": 50, "injured": 100, "displaced": 500, "detained": 50
 # Right-closed bins of article counts and their labels.
 ARTICLE_BINS = [(0, "0"), (5, "1-5"), (10, "6-10"), (20, "11-20"), (50, "21-50"), (None, "50+")]
 
-# Terms of which a crisis article holds one, anywhere in a word.
-CRISIS_TERMS_EVENTS = (
-    "famine hunger malnutrition food nutrition crop harvest yield farmer agricultur drought flood rainfall storm cyclone heatwave disaster aid relief "
-    "refugee displaced idp conflict war violence attack protest unrest livelihood poverty shortage inflation market commodity price ipc wfp unicef ocha ngo"
-).split() + ["food security", "early warning"]
-CRISIS_TERMS_RECORDS = (
-    "famine hunger malnutrition undernourish crop harvest yield farmer agricultur seed irrigat fertiliz pest livestock drought flood rainfall storm cyclone "
-    "heatwave disaster aid relief humanitarian refugee displaced idp conflict violence clash attack insurgent militia war unrest protest"
-).split() + ["food\\s+crisis", "food\\s+security"]
+# Terms of which a crisis article holds one, anywhere in a word (patterns), for events and for records.
+CRISIS_TERMS_EVENTS = [
+    "famine", "hunger", "malnutrition", "food", "nutrition", "crop", "harvest", "yield", "farmer", "agricultur", "drought", "flood", "rainfall", "storm", "cyclone",
+    "heatwave", "disaster", "aid", "relief", "refugee", "displaced", "idp", "conflict", "war", "violence", "attack", "protest", "unrest", "livelihood", "poverty",
+    "shortage", "inflation", "market", "commodity", "price", "food security", "early warning", "ipc", "wfp", "unicef", "ocha", "ngo",
+]
+CRISIS_TERMS_RECORDS = [
+    "famine", "hunger", "malnutrition", "undernourish", "food\\s+crisis", "food\\s+security", "crop", "harvest", "yield", "farmer", "agricultur", "seed", "irrigat",
+    "fertiliz", "pest", "livestock", "drought", "flood", "rainfall", "storm", "cyclone", "heatwave", "disaster", "aid", "relief", "humanitarian", "refugee", "displaced",
+    "idp", "conflict", "violence", "clash", "attack", "insurgent", "militia", "war", "unrest", "protest",
+]
 
 # Words for numbers.
 NUMBER_WORDS = dict(zip("zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen".split(), range(20)))

@@ -68,7 +68,7 @@ def matches_crisis(x: Column | str, terms: Sequence[str] = tuple(K.CRISIS_TERMS_
 def category_counts(x: Column | str, categories: dict[str, list[str]] | None = None) -> dict[str, Column]:
     """Per category how often one of its words occurs, non-overlapping; full stops count only between digits."""
     clean = F.regexp_replace(F.lower(F.coalesce(_c(x), F.lit(""))), r"\.(?!\d)", "")
-    return {name: F.regexp_count(clean, F.lit(alternation(words))).alias(f"{name}_freq") for name, words in (categories or K.WORD_CATEGORIES).items()}
+    return {name: F.regexp_count(clean, F.lit(alternation(words).removeprefix("(?i)"))).alias(f"{name}_freq") for name, words in (categories or K.WORD_CATEGORIES).items()}
 
 
 def truncate_words(x: Column | str, n: int = 500) -> Column:
