@@ -129,7 +129,7 @@ def find_stuffed(docs: DataFrame, key: str = "doc_id", text: str = "text", limit
     """``shares`` of every text with ``stuffed`` (boolean).
 
     The medians of the languages are taken over all texts with enough words; a language
-    without one takes the medians of all texts. Null and empty texts aren't heaps. Ties and
+    without one, and texts without a function word, take the medians of all texts. Null and empty texts aren't heaps. Ties and
     repeated rows don't matter: each row is judged by itself. The shares (a few numbers a
     text) are checkpointed, so each text is read once; what is joined back is one row per
     language.
@@ -138,7 +138,7 @@ def find_stuffed(docs: DataFrame, key: str = "doc_id", text: str = "text", limit
     kinds = ("function_share", "heap_share")
     medians = [F.percentile_approx(c, 0.5, 10_000).alias(c) for c in kinds]
     enough = held.filter(F.col("words") >= limits.calibrate_words)
-    by_lang = {r.lang: r for r in enough.groupBy("lang").agg(*medians).collect()}  # one row per language of FUNCTION_WORDS
+    by_lang = {r.lang: r for r in enough.filter(F.col("lang").isin(*_LANGS)).groupBy("lang").agg(*medians).collect()}  # one row per language of FUNCTION_WORDS
     overall = enough.agg(*medians).first()
 
     def usual(kind: str) -> Column:

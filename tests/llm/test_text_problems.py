@@ -278,3 +278,10 @@ def test_stuffed(spark):
     got = {r.doc_id for r in stuffing.find_stuffed(df).filter("stuffed").collect()}
     assert got == {i for i, _, s in rows if s}
     assert stuffing.find_stuffed(df.limit(0)).count() == 0
+
+
+def test_stuffed_without_function_words(spark):
+    prose = [(i, PROSE + f"On day {i} the road to town{i} was closed and the drivers of the lorries had to wait at the river until it was safe.") for i in range(60)]
+    heaps = [(100 + i, " ".join(f"tractor spare parts item{i % 7} pump{i}" for _ in range(12))) for i in range(40)]
+    df = spark.createDataFrame(prose + heaps, "doc_id bigint, text string")
+    assert {r.doc_id for r in stuffing.find_stuffed(df).filter("stuffed").collect()} == {i for i, _ in heaps}
