@@ -2,8 +2,8 @@
 
 One Aho-Corasick automaton holds every run of five words of every item; each text is
 normalised and scanned once. Hits are seeds: from each the match is extended over
-single changed, dropped or added words, and kept if it covers enough words of the
-item. Word offsets are mapped back to the original text for the report.
+single changed, dropped or added words, and the longest part of it is kept that covers
+enough words of the item with few enough edits. Word offsets are mapped back to the original text for the report.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import ahocorasick
 import pandas as pd
@@ -79,6 +80,20 @@ def word_spans(text: str) -> list[tuple[int, int]]:
     return spans
 
 
+def hop_edits(p: list[str], q: list[str]) -> tuple[int, list[tuple[int, int, int]]]:
+    """Least changed, dropped or added words between two short runs, and the equal words (places, edits before) between them."""
+    if not p or not q or len(p) == len(q) == 1:
+        return max(len(p), len(q)), []
+    row: list[tuple[int, list[tuple[int, int, int]]]] = [(y, []) for y in range(len(q) + 1)]
+    for x, w in enumerate(p):
+        last, row = row, [(x + 1, [])]
+        for y, v in enumerate(q):
+            e, equal = last[y]
+            ways = [(e, [*equal, (x, y, e)]) if w == v else (e + 1, equal), (last[y + 1][0] + 1, last[y + 1][1]), (row[y][0] + 1, row[y][1])]
+            row.append(min(ways, key=lambda c: (c[0], -len(c[1]))))
+    return row[-1]
+
+
 class PassageFinder:
     """Finds passages of a set of items in texts."""
 
@@ -95,17 +110,18 @@ class PassageFinder:
         if seeds:
             self.automaton.make_automaton()
 
-    def _extend(self, doc: list[str], item: list[str], d: int, i: int, step: int) -> tuple[int, int, int]:
-        """Words of the document and the item, and edits, up to the best end from (d, i) in the direction of ``step``."""
+    def _extend(self, doc: list[str], item: list[str], d: int, i: int, step: int) -> list[tuple[int, int, int]]:
+        """Equal words (place in the document and the item, edits before) up to the best end from (d, i) in the direction of ``step``."""
         n, m = (len(doc), len(item)) if step > 0 else (-1, -1)
         within = (lambda x, y: x < n and y < m) if step > 0 else (lambda x, y: x > n and y > m)
-        begin_d, begin_i, score, edits, best = d, i, 0, 0, (0, 0, 0, 0)
+        score, edits, best, length, equal = 0, 0, 0, 0, []
         while within(d, i):
             if doc[d] == item[i]:
                 score += 1
+                equal.append((d, i, edits))
                 d, i = d + step, i + step
-                if score > best[0]:
-                    best = (score, abs(d - begin_d), abs(i - begin_i), edits)
+                if score > best:
+                    best, length = score, len(equal)
                 continue
             for far in (1, 2, 3):
                 jumps = [(far, far)] + [j for k in range(far - 1, -1, -1) for j in ((k, far), (far, k))]
@@ -121,10 +137,12 @@ class PassageFinder:
                     break
             else:
                 break
-            d, i, edits, score = d + hop[0] * step, i + hop[1] * step, edits + far, score - 2 * far
-            if score < best[0] - 6:
+            changed, inner = hop_edits([doc[d + k * step] for k in range(hop[0])], [item[i + k * step] for k in range(hop[1])])
+            equal.extend((d + x * step, i + y * step, edits + e) for x, y, e in inner)
+            d, i, edits, score = d + hop[0] * step, i + hop[1] * step, edits + changed, score + len(inner) - 2 * changed
+            if score < best - 6:
                 break
-        return best[1], best[2], best[3]
+        return equal[:length]
 
     def find(self, text: str | None) -> Iterator[tuple[int, int, int, int, int]]:
         """(item, first word, words of the document, words of the item, edits) of each passage, the longest per item."""
@@ -140,22 +158,43 @@ class PassageFinder:
             ends.append(at)
             at += len(w) + 1
         best: dict[int, tuple[int, int, int, int]] = {}
-        seen: dict[int, list[tuple[int, int, int]]] = {}
+        seen: dict[int, set[tuple[int, int]]] = {}
         for last, (size, places) in hits:
             first = bisect_right(ends, last - size + 1) - 1
             for key, i in places:
-                if any(lo <= first < hi and abs(first - i - diagonal) <= 3 for lo, hi, diagonal in seen.get(key, ())):
+                met = seen.setdefault(key, set())
+                if (first, i) in met:
                     continue
                 item = self.items[key]
-                right, iright, e2 = self._extend(doc, item, first, i, 1)
-                left, ileft, e1 = self._extend(doc, item, first - 1, i - 1, -1)
-                seen.setdefault(key, []).append((first - left, first + right, first - i))
-                found = (ileft + iright, first - left, left + right, e1 + e2)
-                if found > best.get(key, (0,)):
+                left, right = self._extend(doc, item, first - 1, i - 1, -1), self._extend(doc, item, first, i, 1)
+                equal = [(x, y, -e) for x, y, e in reversed(left)] + right
+                met.update((x, y) for x, y, _ in equal)
+                found = self._longest(equal)
+                if found and found > best.get(key, (0,)):
                     best[key] = found
         for key, (span, begin, size, edits) in best.items():
-            if self.kept(span, edits):
-                yield key, begin, size, span, edits
+            yield key, begin, size, span, edits
+
+    def _longest(self, equal: list[tuple[int, int, int]]) -> tuple[int, int, int, int] | None:
+        """Words of the item, first word, words of the document and edits of the longest part of an alignment that is ``kept``.
+
+        ``kept`` allows for edits from one equal word to another what ``per_edit * edits - place``
+        may grow by, so a begin counts only where that is greater than at all earlier ones, and
+        the ends advance with it.
+        """
+        grown = [self.per_edit * e - y for _, y, e in equal]
+        lowest = list(accumulate(reversed(grown), min))[::-1]
+        out, top, k = None, None, 0
+        for j, g in enumerate(grown):
+            if top is not None and g <= top:
+                continue
+            top = g
+            while k < len(grown) and lowest[k] <= g + self.per_edit:
+                k += 1
+            (d0, i0, e0), (d1, i1, e1) = equal[j], equal[k - 1]
+            if (out is None or i1 - i0 + 1 > out[0]) and self.kept(i1 - i0 + 1, e1 - e0):
+                out = i1 - i0 + 1, d0, d1 - d0 + 1, e1 - e0
+        return out
 
     def kept(self, span: int, edits: int) -> bool:
         """Whether so many words of an item with so many edits make a passage."""

@@ -207,6 +207,25 @@ def test_leaks(spark):
     assert leaks.find_leaks(docs, its.limit(0)).count() == 0 and leaks.find_leaks(docs.limit(0), its).count() == 0
 
 
+def test_leaks_partly_loose():
+    item = [f"i{k}" for k in range(80)]
+    finder = leaks.PassageFinder([(1, " ".join(item))])
+    find = lambda words: list(finder.find(" ".join(["x"] * 5 + words + ["y"] * 5)))
+    loose = lambda lo, hi, begin, n: [f"z{k}" if k >= begin and (k - begin) % n == 0 else item[k] for k in range(lo, hi)]
+    rest = loose(0, 39, 15, 4)  # 15 words verbatim, then one in four changed
+    assert finder.kept(15, 0) and not finder.kept(39, 6)
+    [(key, begin, size, span, edits)] = find(rest)
+    assert key == 1 and begin == 5 and size == span >= 15 and finder.kept(span, edits)
+    short, longer = item[50:66], loose(0, 41, 5, 3)
+    for words in (short + ["u"] * 9 + longer, longer + ["u"] * 9 + short):
+        [(_, _, size, span, edits)] = find(words)
+        assert (size, span, edits) == (16, 16, 0)
+    two = item[20:27] + ["z1", item[28], "z2"] + item[30:36]
+    [(_, begin, size, span, edits)] = find(two)
+    assert (begin, size, span, edits) == (5, 16, 16, 2)
+    assert leaks.hop_edits(["a", "m", "b"], ["c", "m", "d"]) == (2, [(1, 1, 1)]) and not find(longer) and not find(item[:14])
+
+
 def test_fold_and_spans():
     text = "L'École <i>d'été</i> &amp; « café »\\nnew_line İstanbul co­op"
     assert leaks.words_of(text)[:5] == ["lécole", "dété", "café", "new", "line"]
