@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -62,28 +64,38 @@ def classes(df: DataFrame, key: str, text: str, normalized: bool = False) -> Dat
     return hashed.join(first, "h", "left").select("id", F.when(F.col("has"), F.col("class_id")).otherwise(F.col("id")).alias("class_id"))
 
 
-def first_wins(pairs: DataFrame, a: str = "a", b: str = "b", rounds: int = 100) -> DataFrame:
+def first_wins(pairs: DataFrame, a: str = "a", b: str = "b", one_task: int = 500_000) -> DataFrame:
     """``id``, ``kept``: an item is kept unless an earlier (smaller) kept one is similar.
 
     The lexicographically first maximal independent set, as a sequential pass would give:
-    in each round an undecided item without an undecided smaller neighbour is kept and its
-    larger neighbours are dropped. Each round is checkpointed. Items in no pair aren't listed.
+    in each round the larger neighbours of the items without an undecided smaller neighbour
+    are dropped, with all their pairs. Each round is checkpointed and decides at least the
+    smallest item left. A chain of pairs settles few items a round, so at most ``one_task``
+    open pairs are gone through in order by one task. Items in no pair aren't listed.
     """
-    edges = reliable_checkpoint(pairs.select(F.col(a).alias("a"), F.col(b).alias("b")).distinct())
-    state = edges.select(F.explode(F.array("a", "b")).alias("id")).distinct().withColumn("kept", F.lit(None).cast("boolean"))
-    for _ in range(rounds):
-        open_ = state.filter(F.col("kept").isNull()).select("id")
-        blocked = edges.join(open_.withColumnRenamed("id", "a"), "a", "left_semi").select(F.col("b").alias("id")).distinct()
-        kept = open_.join(blocked, "id", "left_anti")
-        dropped = edges.join(kept.withColumnRenamed("id", "a"), "a", "left_semi").select(F.col("b").alias("id")).distinct()
-        state = reliable_checkpoint(
-            state.join(kept.withColumn("__k", F.lit(True)), "id", "left")
-            .join(dropped.withColumn("__d", F.lit(True)), "id", "left")
-            .select("id", F.coalesce("kept", "__k", F.when(F.col("__d"), F.lit(False))).alias("kept"))
-        )
-        if state.filter(F.col("kept").isNull()).isEmpty():
+    edges = reliable_checkpoint(pairs.filter(F.col(a) != F.col(b)).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct())
+    open_, dropped = edges, edges.select(F.col("b").alias("id")).limit(0)
+    while n := open_.count():
+        if n <= one_task:
+            dropped = dropped.unionByName(open_.coalesce(1).mapInPandas(_dropped_in_order, f"id {edges.schema['a'].dataType.simpleString()}"))
             break
-    return state
+        first = open_.join(open_.select(F.col("b").alias("a")).distinct(), "a", "left_anti")
+        more = reliable_checkpoint(first.select(F.col("b").alias("id")).distinct())
+        dropped = reliable_checkpoint(dropped.unionByName(more))
+        open_ = reliable_checkpoint(open_.join(more.withColumnRenamed("id", "a"), "a", "left_anti").join(more.withColumnRenamed("id", "b"), "b", "left_anti"))
+    ids = edges.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    return reliable_checkpoint(ids.join(dropped.withColumn("__d", F.lit(True)), "id", "left").select("id", F.col("__d").isNull().alias("kept")))
+
+
+def _dropped_in_order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The larger items of all pairs that have a kept smaller one."""
+    held = list(batches)
+    if held:
+        dropped: dict = {}
+        for x, y in pd.concat(held).sort_values(["b", "a"])[["a", "b"]].itertuples(index=False):
+            if x not in dropped:
+                dropped[y] = True
+        yield pd.DataFrame({"id": list(dropped)}, dtype=held[0]["b"].dtype)
 
 
 def deduplicate_by_similarity(df: DataFrame, key: str, text: str, threshold: float = 0.9) -> DataFrame:

@@ -100,6 +100,17 @@ def test_similar_sets_and_first_wins(spark):
     assert all(got.get(i, True) for i in kept) and not any(got[i] for i in dropped)
 
 
+def test_first_wins_chain(spark):
+    def kept(pairs, **limits):
+        got = {r.id: r.kept for r in D.first_wins(spark.createDataFrame(pairs, "a bigint, b bigint"), **limits).collect()}
+        assert None not in got.values()
+        return sorted(i for i in got if got[i])
+
+    chain = [(i, i + 1) for i in range(450)]
+    assert kept(chain) == list(range(0, 451, 2))
+    assert kept(chain[:9] + [(9, 9), (3, 0), (20, 0), (20, 21)], one_task=3) == [0, 2, 4, 6, 8, 21]
+
+
 def test_deduplicate(spark):
     words = [f"w{i}" for i in range(20)]
     text, near, other = " ".join(words), " ".join(words[:19] + ["zz"]), "quite another text of its own"
