@@ -170,3 +170,12 @@ def minhash_pairs(df: DataFrame, key: str, text: str, threshold: float = 0.85, s
     both = met.join(signed.select(F.col("id").alias("a"), F.col("items").alias("p")), "a").join(signed.select(F.col("id").alias("b"), F.col("items").alias("q")), "b")
     common = F.size(F.array_intersect("p", "q"))
     return both.select("a", "b", (common / (F.size("p") + F.size("q") - common)).alias("similarity")).filter(F.col("similarity") >= threshold)
+
+
+def deduplicate_by_minhash(df: DataFrame, key: str, text: str, threshold: float = 0.85) -> DataFrame:
+    """As ``deduplicate_by_similarity`` at the threshold of ``minhash_pairs``, 0.85 or more.
+
+    Bands meet a pair by probability only, and what completes them (``similar_sets``) meets
+    theirs too, so the links are taken from it alone and none is lost.
+    """
+    return _resolve(df, key, text, token_set(text), threshold)

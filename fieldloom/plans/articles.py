@@ -225,9 +225,9 @@ def shingle_duplicates(spark: SparkSession, root: str) -> DataFrame:
     return D.deduplicate_by_shingles(table(spark, root, "documents").select("doc_id", "text"), "doc_id", "text")
 
 
-def minhash_links(spark: SparkSession, root: str) -> DataFrame:
-    """Similar pairs of classes met by MinHash bands and verified."""
-    return D.minhash_pairs(table(spark, root, "documents").select("doc_id", "text"), "doc_id", "text").select("a", "b", F.round("similarity", 9).alias("similarity"))
+def minhash_dedupe(spark: SparkSession, root: str) -> DataFrame:
+    """Class, links and survival of every document at the MinHash form's threshold, with the links its bands miss."""
+    return D.deduplicate_by_minhash(table(spark, root, "documents").select("doc_id", "text"), "doc_id", "text")
 
 
 def nearest_area(spark: SparkSession, root: str) -> DataFrame:
@@ -319,7 +319,7 @@ QUERIES = {
     "array_collect_reduce": array_reducers, "array_cap": capped_arrays, "category_counter": category_counter, "parallel_dedupe": parallel_dedupe, "flatten_parallel": flatten_parallel,
     "lookup_fill_admin0": fill_country, "semi_valid_docs": semi_valid, "anti_processed": anti_processed, "union_by_name": union_by_name, "country_articles": country_articles,
     "label_modes": label_modes, "label_flags": label_flags, "text_features": text_features, "cleaned_words": cleaned_words, "token_windows": token_windows, "found_places": found_places,
-    "jaccard_pairs": jaccard_pairs, "near_duplicates": near_duplicates, "shingle_duplicates": shingle_duplicates, "minhash_dedupe": minhash_links, "nearest_area": nearest_area,
+    "jaccard_pairs": jaccard_pairs, "near_duplicates": near_duplicates, "shingle_duplicates": shingle_duplicates, "minhash_dedupe": minhash_dedupe, "nearest_area": nearest_area,
     "largest_parts": largest_parts, "area_rules": area_rules, "fuzzy_crosswalk": fuzzy_crosswalk, "ratio_features": ratio_features,
 }
 

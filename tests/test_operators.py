@@ -136,6 +136,17 @@ def test_minhash_recall(spark):
     assert len(exact) >= 50 and got <= exact and len(got) >= 0.9 * len(exact)
 
 
+def test_deduplicate_by_minhash(spark):
+    rows = []
+    for i in range(60):
+        words = [f"v{i}_{k}" for k in range(60)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[:56] + ["q1", "q2", "q3", "q4"]))]  # 0.875 alike: bands miss some
+    df = spark.createDataFrame([*rows, (500, rows[0][1]), (501, "alone here"), (502, None)], "id int, t string")
+    got = {r.id: r for r in D.deduplicate_by_minhash(df, "id", "t").collect()}
+    assert sorted(got) == [*range(120), 500, 501, 502] and got[500].class_id == 0
+    assert {i for i in got if got[i].is_kept} == {*range(0, 120, 2), 501, 502} and all(got[i].n_links == 1 for i in range(120))
+
+
 def square(x, y, w):
     x, y, w = float(x), float(y), float(w)
     return [{"lon": a, "lat": b} for a, b in [(x, y), (x + w, y), (x + w, y + w), (x, y + w), (x, y)]]

@@ -49,3 +49,8 @@ def test_query_runs(spark, name):
 
 def test_flagship(spark):
     assert catalog.flagship(spark, ROOT).count() > 0
+
+
+def test_minhash_dedupe_of_every_document(spark):
+    got = [r.doc_id for r in catalog.queries()["minhash_dedupe"](spark, ROOT).select("doc_id").collect()]
+    assert sorted(got) == sorted(r[0] for r in spark.read.parquet(f"{ROOT}/documents.parquet").select("doc_id").collect())
