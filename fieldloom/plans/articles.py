@@ -231,10 +231,10 @@ def minhash_dedupe(spark: SparkSession, root: str) -> DataFrame:
 
 
 def nearest_area(spark: SparkSession, root: str) -> DataFrame:
-    """The nearest polygon of every market site."""
-    sites = table(spark, root, "market_sites")
-    found = G.nearest_area(sites, "site_id", "lat", "lon", table(spark, root, "admin_polygons"))
-    return found.select("site_id", "area_id", F.round("distance_m", 3).alias("distance_m"))
+    """The nearest polygon of every event; null columns where it has no valid coordinates."""
+    events = table(spark, root, "gdelt_events")
+    found = G.nearest_area(events, "globaleventid", "actiongeo_lat", "actiongeo_long", table(spark, root, "admin_polygons"))
+    return found.select("globaleventid", "area_id", F.round("distance_m", 3).alias("distance_m"))
 
 
 def largest_parts(spark: SparkSession, root: str) -> DataFrame:

@@ -51,6 +51,15 @@ def test_flagship(spark):
     assert catalog.flagship(spark, ROOT).count() > 0
 
 
+def test_nearest_area_of_every_event(spark):
+    events = spark.read.parquet(f"{ROOT}/gdelt_events.parquet")
+    got = catalog.queries()["nearest_area"](spark, ROOT)
+    ids = lambda df: {r[0] for r in df.select("globaleventid").collect()}
+    assert ids(got) == ids(events)
+    placed = events.filter("abs(actiongeo_lat) <= 90 and abs(actiongeo_long) <= 180 and not (actiongeo_lat = 0 and actiongeo_long = 0)")
+    assert ids(got.filter("area_id is not null")) == ids(placed) and ids(got.filter("area_id is null"))
+
+
 def test_minhash_dedupe_of_every_document(spark):
     got = [r.doc_id for r in catalog.queries()["minhash_dedupe"](spark, ROOT).select("doc_id").collect()]
     assert sorted(got) == sorted(r[0] for r in spark.read.parquet(f"{ROOT}/documents.parquet").select("doc_id").collect())
