@@ -12,8 +12,8 @@ EVENT_CODES = [
 # Event codes taken as noise among scraped articles.
 NOISE_CODES = [10, 20, 30, 31, 32, 33, 34, 42, 43, 46]
 # Country codes of the feeds (FIPS) and their ISO codes, in the same order.
-FIPS = "UV BY CG CM ET GV KE LI MA ML MR MI MZ NG NI SU SL SO OD CD UG YM ZA ZI CT".split()
-ISO = "BF BI CG CM ET GN KE LR MG ML MR MW MZ NG NE SD SL SO SS CD UG YE ZM ZW CF".split()
+FIPS = ["UV", "BY", "CG", "CM", "ET", "GV", "KE", "LI", "MA", "ML", "MR", "MI", "MZ", "NG", "NI", "SU", "SL", "SO", "OD", "CD", "UG", "YM", "ZA", "ZI", "CT"]
+ISO = ["BF", "BI", "CG", "CM", "ET", "GN", "KE", "LR", "MG", "ML", "MR", "MW", "MZ", "NG", "NE", "SD", "SL", "SO", "SS", "CD", "UG", "YE", "ZM", "ZW", "CF"]
 FIPS_TO_ISO = dict(zip(FIPS, ISO))
 FIRST_YEAR, LAST_YEAR = 2016, 2024
 VALID_SCORES = [1, 2, 3, 4, 5]
@@ -50,7 +50,7 @@ WORD_CATEGORIES = {
 }
 # Categories whose numbers are read from sentences, and words that make a number a time.
 NUMBER_CATEGORIES = ["fatalities", "displaced", "detained", "injured", "sexual_violence", "torture"]
-TIME_UNITS = "hour hours minute minutes second seconds day days week weeks month months year years".split()
+TIME_UNITS = ["hour", "hours", "minute", "minutes", "second", "seconds", "day", "days", "week", "weeks", "month", "months", "year", "years"]
 # Ceilings of counts per article.
 COUNT_CAPS = {"fatalities": 50, "injured": 100, "displaced": 500, "detained": 50, "sexual_violence": 10, "torture": 10}
 # Right-closed bins of article counts and their labels.
@@ -68,10 +68,14 @@ CRISIS_TERMS_RECORDS = [
     "idp", "conflict", "violence", "clash", "attack", "insurgent", "militia", "war", "unrest", "protest",
 ]
 
-# Words for numbers.
-NUMBER_WORDS = dict(zip("zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen".split(), range(20)))
-NUMBER_WORDS |= dict(zip("twenty thirty forty fifty sixty seventy eighty ninety".split(), range(20, 100, 10)))
-NUMBER_WORDS |= {"hundred": 100, "thousand": 1000, "million": 1_000_000}
+# Words for numbers, and those of them that multiply.
+NUMBER_WORDS = {
+    "zero": 0, "one": 1, "two": 2, "three": 3, "four": 4, "five": 5, "six": 6, "seven": 7, "eight": 8, "nine": 9, "ten": 10,
+    "eleven": 11, "twelve": 12, "thirteen": 13, "fourteen": 14, "fifteen": 15, "sixteen": 16, "seventeen": 17, "eighteen": 18, "nineteen": 19,
+    "twenty": 20, "thirty": 30, "forty": 40, "fifty": 50, "sixty": 60, "seventy": 70, "eighty": 80, "ninety": 90,
+    "hundred": 100, "thousand": 1000, "million": 1_000_000,
+}
+MULTIPLIERS = [100, 1000, 1_000_000]
 
 # Demonyms and the country each stands for; they match inside words too.
 DEMONYMS = {
@@ -88,6 +92,6 @@ DEMONYMS = {
 }
 
 # Labels of the text classifier.
-IMPACT_LABELS = "death injury displacement missing disease economic_loss conflict weather_shock policy_change none".split()
-RESOURCE_LABELS = "food water cash_aid healthcare shelter livelihoods education infrastructure none".split()
-URGENCY_LABELS = "low moderate high unclear".split()
+IMPACT_LABELS = ["death", "injury", "displacement", "missing", "disease", "economic_loss", "conflict", "weather_shock", "policy_change", "none"]
+RESOURCE_LABELS = ["food", "water", "cash_aid", "healthcare", "shelter", "livelihoods", "education", "infrastructure", "none"]
+URGENCY_LABELS = ["low", "moderate", "high", "unclear"]

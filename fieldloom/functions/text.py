@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce as fold_left
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -112,17 +113,17 @@ def fips_list(x: Column | str) -> Column:
 def bucket_counts(x: Column | str, entries: str = ",", parts: str = "#", buckets: dict[str, list[str]] | None = None) -> dict[str, Column]:
     """Per bucket the sum of the whole numbers of the entries whose code holds one of its keywords.
 
-    An entry counts for the first bucket that matches; entries without a whole number are
-    skipped; all buckets are 0 for a null field.
+    An entry counts for the first bucket that matches; entries without a whole number (of 64
+    bits) are skipped, a sum beyond 64 bits is null; all buckets are 0 for a null field.
     """
     table = buckets or K.COUNT_BUCKETS
     items = F.split(F.coalesce(_c(x), F.lit("")), entries)
-    parsed = F.transform(items, lambda e: F.struct(F.lower(F.get(F.split(e, parts), F.lit(0))).alias("code"), F.when(F.get(F.split(e, parts), F.lit(1)).rlike(r"^\s*\d{1,12}\s*$"), F.trim(F.get(F.split(e, parts), F.lit(1))).cast("bigint")).alias("n")))
+    parsed = F.transform(items, lambda e: F.struct(F.lower(F.get(F.split(e, parts), F.lit(0))).alias("code"), F.when(F.get(F.split(e, parts), F.lit(1)).rlike(r"^\s*\d+\s*$"), F.trim(F.get(F.split(e, parts), F.lit(1))).try_cast("bigint")).alias("n")))
     named = F.transform(parsed, lambda e: F.struct(_first_bucket(e["code"], table).alias("bucket"), e["n"].alias("n")))
 
     def total(bucket: str) -> Column:
         hits = F.filter(named, lambda e: (e["bucket"] == bucket) & e["n"].isNotNull())
-        return F.aggregate(hits, F.lit(0).cast("bigint"), lambda s, e: s + e["n"]).alias(bucket)
+        return F.aggregate(hits, F.lit(0).cast("bigint"), lambda s, e: F.try_add(s, e["n"])).alias(bucket)
 
     return {b: total(b) for b in table}
 
@@ -172,36 +173,21 @@ def token_windows(tokens: Column | str, size: int = 512, stride: int = 256) -> C
     return let(_c(tokens), cut)
 
 
-def written_number(words: Sequence[str]) -> int | None:
-    """The value of a run of number words; null for 0 and for other words.
+def value_of(numbers: Sequence[int]) -> int:
+    """What a run of number words stands for: a multiplier applies to all before it.
 
-    A multiplier applies to all before it in the run, so "one million two hundred
-    thousand" isn't read as 1,200,000; that is kept for equal results.
+    So "one million two hundred thousand" isn't read as 1,200,000; that is kept for equal results.
     """
-    value = 0
-    for w in words:
-        n = K.NUMBER_WORDS.get(w)
-        if n is None:
-            return None
-        value = max(1, value) * n if n >= 100 else value + n
-    return value or None
+    return fold_left(lambda v, n: max(v, 1) * n if n in K.MULTIPLIERS else v + n, numbers, 0)
+
+
+_NUMBER_RUN = re.compile(rf"(?<!\S)(?:{'|'.join(K.NUMBER_WORDS)})(?:\s+(?:{'|'.join(K.NUMBER_WORDS)}))*(?!\S)", re.I)
 
 
 def numbers_to_digits(text: str) -> str:
-    """Longest runs of number words written in digits; white space becomes single blanks."""
-    words, out, i = text.split(), [], 0
-    while i < len(words):
-        j = i
-        while j < len(words) and words[j].lower() in K.NUMBER_WORDS:
-            j += 1
-        value = written_number([w.lower() for w in words[i:j]]) if j > i else None
-        if value is None:
-            out.append(words[i])
-            i += 1
-        else:
-            out.append(str(value))
-            i = j
-    return " ".join(out)
+    """Runs of number words in digits, runs of 0 as they are; white space becomes single blanks."""
+    digits = _NUMBER_RUN.sub(lambda run: str(value_of([K.NUMBER_WORDS[w] for w in run[0].lower().split()]) or run[0]), text)
+    return " ".join(digits.split())
 
 
 #: Small default tables; a project supplies its own.
@@ -248,35 +234,51 @@ _SENTENCE = re.compile(r"(?<=[.!?])\s+")
 _TOKEN = re.compile(r"\d[\d,]*(?:\.\d+)?|\w+|[^\w\s]")
 
 
-def counted_categories(text: str | None) -> dict[str, float]:
-    """Per category the numbers of its sentences: the one nearest to the sentence's start, 1 without; the greatest for ``displaced``.
+def sentence_numbers(tokens: Sequence[str]) -> list[tuple[int, float]]:
+    """Place and value of the numbers among the tokens of a sentence: none before a unit of time; one before "million" is in millions."""
+    found = []
+    for i, t in enumerate(tokens):
+        after = tokens[i + 1].lower() if i + 1 < len(tokens) else ""
+        value = float(t.replace(",", "")) if t[0].isdigit() else K.NUMBER_WORDS.get(t.lower())
+        if value is not None and after not in K.TIME_UNITS:
+            found.append((i, float(value) * (1_000_000 if after == "million" else 1)))
+    return found
 
-    Numbers before a unit of time don't count; a number before "million" is in millions.
+
+def counted_categories(text: str | None, by_mention: bool = False) -> dict[str, float]:
+    """Per category the numbers of its sentences, 1 for a sentence without; the greatest for ``displaced``.
+
+    A sentence counts for a category if one of its words stands anywhere in it, with the
+    number nearest to the sentence's start. ``by_mention``: if a token holds such a word,
+    with the number nearest to the first of these tokens (the earlier one on a tie).
+    Sentences stand in for parsed subtrees.
     """
     out = dict.fromkeys(K.NUMBER_CATEGORIES, 0.0)
     for sentence in _SENTENCE.split(text or ""):
         tokens, low = _TOKEN.findall(sentence), sentence.lower()
-        found = None
-        for i, t in enumerate(tokens):
-            after = tokens[i + 1].lower() if i + 1 < len(tokens) else ""
-            value = float(t.replace(",", "")) if t[0].isdigit() else K.NUMBER_WORDS.get(t.lower())
-            if value is not None and after not in K.TIME_UNITS:
-                found = float(value) * (1_000_000 if after == "million" else 1)
-                break
+        numbers = None
         for category in out:
-            if any(w in low for w in K.WORD_CATEGORIES[category]):
-                out[category] = max(out[category], found or 0.0) if category == "displaced" else out[category] + (found or 1.0)
+            words = K.WORD_CATEGORIES[category]
+            if by_mention:
+                at = next((i for i, t in enumerate(tokens) if any(w in t.lower() for w in words)), None)
+            else:
+                at = 0 if any(w in low for w in words) else None
+            if at is None:
+                continue
+            numbers = sentence_numbers(tokens) if numbers is None else numbers
+            found = min(numbers, key=lambda n: abs(n[0] - at))[1] if numbers else 0.0
+            out[category] = max(out[category], found) if category == "displaced" else out[category] + (found or 1.0)
     return out
 
 
-def count_categories(df: DataFrame, text: str) -> DataFrame:
+def count_categories(df: DataFrame, text: str, by_mention: bool = False, suffix: str = "_count") -> DataFrame:
     """``df`` with ``<category>_count`` columns; see ``counted_categories``. A null text has zeros."""
 
     @F.pandas_udf(T.StructType([T.StructField(c, T.DoubleType()) for c in K.NUMBER_CATEGORIES]))
     def run(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([counted_categories(t) for t in texts], columns=K.NUMBER_CATEGORIES)
+        return pd.DataFrame([counted_categories(t, by_mention) for t in texts], columns=K.NUMBER_CATEGORIES)
 
-    return df.withColumn("__n", run(text)).select("*", *[F.col(f"__n.{c}").alias(f"{c}_count") for c in K.NUMBER_CATEGORIES]).drop("__n")
+    return df.withColumn("__n", run(text)).select("*", *[F.col(f"__n.{c}").alias(f"{c}{suffix}") for c in K.NUMBER_CATEGORIES]).drop("__n")
 
 
 #: A small polarity lexicon (-4 to 4); a project supplies its own.
@@ -368,18 +370,24 @@ def extract_pages(df: DataFrame, html: str) -> DataFrame:
     return df.withColumn("__p", run(html)).select("*", "__p.header", "__p.body").drop("__p")
 
 
-def find_places(df: DataFrame, text: str, gazetteer: DataFrame, name: str = "name", key: str = "doc_id", longest: int = 4) -> DataFrame:
+def find_places(df: DataFrame, text: str, gazetteer: DataFrame, name: str = "name", key: str = "doc_id") -> DataFrame:
     """``key``, ``places`` (names of the gazetteer in the order they occur in the text).
 
-    Texts are cut into runs of up to ``longest`` words, which meet the gazetteer in an
-    equi-join, so neither side needs to fit a task. Of overlapping names the longest counts.
+    Names of any number of words are found. The words of a text first meet the first words
+    of the names, which bring the lengths names with that first word have; only runs of
+    these lengths meet the gazetteer. Both are equi-joins, so neither side needs to fit a
+    task. Of overlapping names the longest counts.
     """
     words = F.split(F.trim(F.regexp_replace(F.lower(F.col(text)), r"[^\p{L}\p{N}'-]+", " ")), " ")
-    runs = F.flatten(
-        F.transform(F.sequence(F.lit(1), F.size("w")), lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(longest), F.size("w") - i + 1)), lambda k: F.struct(i.alias("at"), k.alias("n"), F.array_join(F.slice("w", i, k), " ").alias("run"))))
-    )
-    grams = df.select(F.col(key), words.alias("w")).filter(F.col("w").isNotNull()).select(key, F.explode(runs).alias("g")).select(key, "g.*")
-    met = grams.join(gazetteer.select(F.lower(F.col(name)).alias("run")).distinct(), "run")
+    plain = F.trim(F.regexp_replace(F.lower(F.col(name)), r"[^\p{L}\p{N}'-]+", " "))
+    names = gazetteer.select(plain.alias("run")).filter("run <> ''").distinct()
+    first = names.select(F.split("run", " ").alias("w")).groupBy(F.get("w", F.lit(0)).alias("first")).agg(F.collect_set(F.size("w")).alias("sizes"))
+    at = df.select(F.col(key), words.alias("w")).filter(F.col("w").isNotNull()).select(key, "w", F.posexplode("w").alias("p", "first"))
+    longest = names.agg(F.max(F.size(F.split("run", " ")))).first()[0] or 0
+    begun = at.select(key, (F.col("p") + 1).alias("at"), "first", F.slice("w", F.col("p") + 1, F.lit(longest)).alias("w")).join(first, "first")
+    runs = F.transform(F.filter("sizes", lambda n: n <= F.size("w")), lambda n: F.struct(n.alias("n"), F.array_join(F.slice("w", F.lit(1), n), " ").alias("run")))
+    grams = begun.select(key, "at", F.explode(runs).alias("g")).select(key, "at", "g.*")
+    met = grams.join(names, "run")
     listed = met.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("at", (-F.col("n")).alias("m"), "run"))).alias("hits"))
 
     @F.pandas_udf(T.ArrayType(T.StringType()))

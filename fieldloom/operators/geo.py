@@ -141,12 +141,14 @@ AREA_RULES: list[Rule] = [
     ({"name_1": "masvingo urban"}, "name_1", "masvingo"),
     ({"name_1": "harare", "name_2": "harare"}, "name_2", "harare urban"),
 ]
-# The region of each district of Malawi.
+# The districts of each region of Malawi.
 MALAWI_REGIONS = {
-    "central": "dedza dowa kasungu lilongwe mchinji nkhotakota ntcheu ntchisi salima".split(),
+    "central": ["dedza", "dowa", "kasungu", "lilongwe", "mchinji", "nkhotakota", "ntcheu", "ntchisi", "salima"],
     "northern": ["chitipa", "karonga", "mzimba", "nkhata bay", "rumphi"],
-    "southern": "balaka blantyre chikwawa chiradzulu machinga mangochi mulanje mwanza neno nsanje phalombe thyolo zomba".split(),
-}
+    "southern": [
+        "balaka", "blantyre", "chikwawa", "chiradzulu", "machinga", "mangochi", "mulanje", "mwanza", "neno", "nsanje", "phalombe", "thyolo", "zomba",
+    ],
+}
 AREA_RULES.append(({"name_0": "malawi"}, "name_1", {d: r for r, ds in MALAWI_REGIONS.items() for d in ds}))
 
 
@@ -172,15 +174,28 @@ SCORE_RULES: list[Rule] = [
 ]
 # The region of each district of Uganda.
 UGANDA_REGIONS = {
-    "northern": "adjumani apac arua gulu kitgum kotido lira moroto moyo nakapiripirit nebbi pader yumbe",
-    "eastern": "amuria budaka bududa bugiri bukedea bukwo bulambuli busia butaleja buyende iganga jinja kaberamaido kaliro kamuli kapchorwa katakwi kibuku kumi kween luuka manafwa mayuge mbale namayingo namutumba ngora pallisa serere sironko soroti tororo",
-    "central": "buikwe bukomansimbi butambala buvuma gomba kalangala kalungu kampala kayunga kiboga kyankwanzi luwero lwengo lyantonde masaka mityana mpigi mubende mukono nakaseke nakasongola rakai sembabule wakiso",
-    "western": "bundibugyo bushenyi hoima kabale kabarole kamwenge kanungu kasese kisoro kyenjojo masindi mbarara ntungamo rukungiri",
-}
+    "adjumani": "northern", "amuria": "eastern", "apac": "northern", "arua": "northern", "budaka": "eastern", "bududa": "eastern", "bugiri": "eastern",
+    "buikwe": "central", "bukedea": "eastern", "bukomansimbi": "central", "bukwo": "eastern", "bulambuli": "eastern", "bundibugyo": "western",
+    "bushenyi": "western", "busia": "eastern", "butaleja": "eastern", "butambala": "central", "buvuma": "central", "buyende": "eastern", "gomba": "central",
+    "gulu": "northern", "hoima": "western", "iganga": "eastern", "jinja": "eastern", "kabale": "western", "kabarole": "western", "kaberamaido": "eastern",
+    "kalangala": "central", "kaliro": "eastern", "kalungu": "central", "kampala": "central", "kamuli": "eastern", "kamwenge": "western", "kanungu": "western",
+    "kapchorwa": "eastern", "kasese": "western", "katakwi": "eastern", "kayunga": "central", "kiboga": "central", "kibuku": "eastern", "kisoro": "western",
+    "kitgum": "northern", "kotido": "northern", "kumi": "eastern", "kween": "eastern", "kyankwanzi": "central", "kyenjojo": "western", "lira": "northern",
+    "luuka": "eastern", "luwero": "central", "lwengo": "central", "lyantonde": "central", "manafwa": "eastern", "masaka": "central", "masindi": "western",
+    "mayuge": "eastern", "mbale": "eastern", "mbarara": "western", "mityana": "central", "moroto": "northern", "moyo": "northern", "mpigi": "central",
+    "mubende": "central", "mukono": "central", "nakapiripirit": "northern", "nakaseke": "central", "nakasongola": "central", "namayingo": "eastern",
+    "namutumba": "eastern", "nebbi": "northern", "ngora": "eastern", "ntungamo": "western", "pader": "northern", "pallisa": "eastern", "rakai": "central",
+    "rukungiri": "western", "sembabule": "central", "serere": "eastern", "sironko": "eastern", "soroti": "eastern", "tororo": "eastern", "wakiso": "central",
+    "yumbe": "northern",
+}
 # Areas of Uganda that keep their own name; others take that of the district around them.
-UGANDA_KEPT = """buikwe bukomansimbi butambala buvuma gomba kalangala kalungu kyankwanzi luwero lwengo lyantonde mityana mpigi nakaseke amuria budaka bududa bukedea
-bukwo bulambuli butaleja buyende kaliro kibuku kumi kween luuka manafwa namayingo namutumba ngora serere abim agago alebtong amolatar amudat amuru dokolo kaabong
-koboko kole lamwo maracha napak nwoya otuke oyam zombo buhweju buliisa ibanda isingiro kibaale kiruhura kiryandongo kyegegwa mitooma ntoroko rubirizi sheema"""
+UGANDA_KEPT = [
+    "buikwe", "bukomansimbi", "butambala", "buvuma", "gomba", "kalangala", "kalungu", "kyankwanzi", "luwero", "lwengo", "lyantonde", "mityana", "mpigi",
+    "nakaseke", "amuria", "budaka", "bududa", "bukedea", "bukwo", "bulambuli", "butaleja", "buyende", "kaliro", "kibuku", "kumi", "kween", "luuka", "manafwa",
+    "namayingo", "namutumba", "ngora", "serere", "abim", "agago", "alebtong", "amolatar", "amudat", "amuru", "dokolo", "kaabong", "koboko", "kole", "lamwo",
+    "maracha", "napak", "nwoya", "otuke", "oyam", "zombo", "buhweju", "buliisa", "ibanda", "isingiro", "kibaale", "kiruhura", "kiryandongo", "kyegegwa",
+    "mitooma", "ntoroko", "rubirizi", "sheema",
+]
 
 
 def align_areas(df: DataFrame) -> DataFrame:
@@ -193,8 +208,8 @@ def align_areas(df: DataFrame) -> DataFrame:
     df = apply_rules(df)
     malawi, uganda = F.coalesce(F.col("name_0") == "malawi", F.lit(False)), F.coalesce(F.col("name_0") == "uganda", F.lit(False))
     df = df.withColumn("name_2", F.when(malawi, F.regexp_replace("name_2", " (?:boma|city|town)", "")).otherwise(F.col("name_2")))
-    df = df.withColumn("name_2", F.when(uganda & ~F.coalesce(F.col("name_2").isin(UGANDA_KEPT.split()), F.lit(False)), F.col("name_1")).otherwise(F.col("name_2")))
-    regions = F.create_map(*[F.lit(x) for r, ds in UGANDA_REGIONS.items() for d in ds.split() for x in (d, r)])
+    df = df.withColumn("name_2", F.when(uganda & ~F.coalesce(F.col("name_2").isin(UGANDA_KEPT), F.lit(False)), F.col("name_1")).otherwise(F.col("name_2")))
+    regions = F.create_map(*[F.lit(x) for pair in UGANDA_REGIONS.items() for x in pair])
     return df.withColumn("name_1", F.when(uganda, F.coalesce(F.try_element_at(regions, F.col("name_1")), F.col("name_1"))).otherwise(F.col("name_1")))
 
 

@@ -175,7 +175,7 @@ def record_counts(spark: SparkSession, root: str) -> DataFrame:
 _BUCKET = " ".join(f"when regexp_matches(code, '{'|'.join(words)}') then '{b}'" for b, words in K.COUNT_BUCKETS.items())
 _COUNTS = (
     "with r as (select row_number() over () as id, gkgrecordid, counts from gkg_raw), e as (select id, unnest(string_split(coalesce(counts, ''), ';')) as e from r), "
-    "p as (select id, lower(string_split(e, '#')[1]) as code, case when regexp_full_match(string_split(e, '#')[2], '\\s*[0-9]{1,12}\\s*') then cast(string_split(e, '#')[2] as bigint) end as n from e), "
+    "p as (select id, lower(string_split(e, '#')[1]) as code, case when regexp_full_match(string_split(e, '#')[2], '\\s*[0-9]+\\s*') then try_cast(trim(string_split(e, '#')[2]) as bigint) end as n from e), "
     f"b as (select id, case {_BUCKET} end as bucket, n from p) select r.gkgrecordid, "
     + ", ".join(f"cast(coalesce(sum(n) filter (bucket = '{b}'), 0) as bigint) as {b}" for b in K.COUNT_BUCKETS)
     + " from r left join b using (id) group by r.id, r.gkgrecordid"
@@ -184,7 +184,7 @@ _COUNTS = (
 
 def record_places(spark: SparkSession, root: str) -> DataFrame:
     """Coordinates of the first location in a wanted country, else of the first one."""
-    place = X.first_coordinates("v2locations", K.FIPS[:8], entries=";")
+    place = X.first_coordinates("v2locations", K.FIPS, entries=";")
     return table(spark, root, "gkg_raw").select("gkgrecordid", place["lat"].alias("lat"), place["lon"].alias("lon"))
 
 
@@ -192,7 +192,7 @@ _PLACES = f"""
 with s as (select gkgrecordid, list_filter(list_transform(string_split(v2locations, ';'), lambda e: string_split(e, '#')), lambda p: len(p) >= 7) as a from gkg_raw),
 g as (select gkgrecordid, list_filter(list_transform(a, lambda p: struct_pack(c := p[3], lat := try_cast(p[6] as double), lon := try_cast(p[7] as double))),
   lambda p: p.lat is not null and p.lon is not null and not (p.lat = 0 and p.lon = 0)) as g from s),
-f as (select gkgrecordid, coalesce(list_filter(g, lambda p: list_contains([{", ".join(f"'{c}'" for c in K.FIPS[:8])}], p.c))[1], g[1]) as p from g)
+f as (select gkgrecordid, coalesce(list_filter(g, lambda p: list_contains([{", ".join(f"'{c}'" for c in K.FIPS)}], p.c))[1], g[1]) as p from g)
 select gkgrecordid, p.lat as lat, p.lon as lon from f
 """
 

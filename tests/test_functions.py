@@ -67,6 +67,8 @@ def test_countries_and_records(spark):
     assert one(spark, "nothing", "string", X.main_country("x", ["niger"])) is None
     assert one(spark, "FOOD,1; war ,2;;", "string", X.theme_list("x")) == ["FOOD", "WAR"]
     assert one(spark, "1#Kenya#KE#KE##1#2,2#N#UG#", "string", X.fips_list("x")) == ["KE", "UG"]
+    long = spark.createDataFrame([("KILL#1234567890123#x,KILL# 1 #,KILL#99999999999999999999#",), ("KILL#9223372036854775807,KILL#1",)], "x string").select(X.bucket_counts("x")["n_killed"]).collect()
+    assert [r.n_killed for r in long] == [1234567890124, None]
     got = spark.createDataFrame([("KILL#5#x,CRISISLEX_T02_INJURED#3,CASUALTY#2,KILL#x,AID#10",), (None,)], "x string").select(*X.bucket_counts("x").values()).collect()
     assert (got[0].n_killed, got[0].n_injured, got[0].usd_aid, got[1].n_killed) == (7, 3, 10, 0)
     place = spark.createDataFrame([("1#A#XX#a#b#0#0,1#B#YY#a#b#1.5#2.5,1#C#KE#a#b#3#4",), ("1#B#YY#a#b#1.5#2.5",), ("x",), (None,)], "x string").select(X.first_coordinates("x", ["KE"]).alias("p")).collect()
@@ -77,8 +79,9 @@ def test_countries_and_records(spark):
 
 def test_words_and_numbers(spark):
     assert one(spark, "a  b\nc d", "string", X.truncate_words("x", 3)) == "a b c"
-    assert X.written_number(["two", "hundred", "five"]) == 205 and X.written_number(["zero"]) is None and X.written_number(["one", "million", "two", "hundred"]) == 1000002 * 100
-    assert X.numbers_to_digits("Twenty  five men and zero") == "25 men and zero"
+    assert X.value_of([2, 100, 5]) == 205 and X.value_of([]) == X.value_of([0, 0]) == 0 and X.value_of([1, 1_000_000, 2, 100]) == 1000002 * 100
+    assert X.numbers_to_digits("Twenty  five men and zero") == "25 men and zero" and X.numbers_to_digits("One Hundred\nthousand, two; someone  ten") == "100 thousand, two; someone 10"
+    assert X.numbers_to_digits("zero zero five zero") == "5" and X.numbers_to_digits("twenty-one hundred") == "twenty-one 100" and X.numbers_to_digits(" ") == ""
     assert X.clean_words("It can't see http://x.y two children, 1.2.3 men.") == "cannot see 2 child man ."
     assert X.clean_words(None) == "" and X.lemma("countries") == "country" and X.lemma("boss") == "boss"
     assert one(spark, list(range(5)), "array<int>", X.token_windows("x", 3, 2)) == [[0, 1, 2], [2, 3, 4], [4]]
@@ -91,6 +94,9 @@ def test_counts_and_sentiment(spark):
     assert X.counted_categories(None)["fatalities"] == 0 and X.counted_categories("2 million fled")["displaced"] == 2_000_000
     up, down = X.sentiment_scores("good help and peace"), X.sentiment_scores("war and death")
     assert up[0] > 0.5 > 0 > down[0] and X.sentiment_scores(" ") == (0.0, 0.0, 0.0, 0.0) and X.sentiment_scores("not good")[0] < 0
+    near = X.counted_categories("In 40 villages the floods of May left 7 dead and drove out others. They were held. 3 days on, 12 fled and 9 fled.", by_mention=True)
+    assert (near["fatalities"], near["displaced"], near["detained"]) == (7, 12, 1) and X.counted_categories("In 40 villages 7 were killed")["fatalities"] == 40
+    assert X.counted_categories("4 killed 6", by_mention=True)["fatalities"] == 4 and X.counted_categories(None, by_mention=True)["torture"] == 0
     df = X.count_categories(spark.createDataFrame([("5 killed",), (None,)], "t string"), "t").collect()
     assert df[0].fatalities_count == 5 and df[1].fatalities_count == 0
 
@@ -104,7 +110,9 @@ def test_pages(spark):
 
 def test_places(spark):
     docs = spark.createDataFrame([(1, "In North Kivu, Congo and Mali; Congo again"), (2, None), (3, "nothing")], "doc_id int, t string")
-    names = spark.createDataFrame([("Congo",), ("North Kivu",), ("Kivu",), ("mali",)], "name string")
+    names = spark.createDataFrame([("Congo",), ("North Kivu",), ("Kivu",), ("mali",), (None,), ("--",), ("The Old Town by the Great River",)], "name string")
+    far = spark.createDataFrame([(9, "x the old town by the great river, the old")], "doc_id int, t string")
+    assert X.find_places(far, "t", names).first().places == ["the old town by the great river"] and X.find_places(far, "t", names.limit(0)).count() == 0
     got = {r.doc_id: r.places for r in X.find_places(docs, "t", names).collect()}
     assert got == {1: ["north kivu", "congo", "mali", "congo"]}
     row = spark.createDataFrame([(got[1],)], "p array<string>").select(X.choose_admins("p", ["mali", "congo"]).alias("a"), X.choose_admins("p").alias("b")).first()
