@@ -216,14 +216,63 @@ def test_leaks_partly_loose():
     assert finder.kept(15, 0) and not finder.kept(39, 6)
     [(key, begin, size, span, edits)] = find(rest)
     assert key == 1 and begin == 5 and size == span >= 15 and finder.kept(span, edits)
-    short, longer = item[50:66], loose(0, 41, 5, 3)
+    exact_then_loose = item[:20] + [f"z{k}" if k % 4 == 0 else item[k] for k in range(20, 50)]
+    assert find(exact_then_loose)[0][3] >= 20
+    runs = item[10:14] + ["z"] + item[15:19] + ["z"] + item[20:23] + ["z"] + item[24:27]  # 17 words, runs of 4, 4, 3 and 3
+    assert finder.kept(17, 3) and [x[3:] for x in find(runs)] == [(17, 3)]
+    short, longer = item[50:66], [f"z{k}" if k % 3 == 2 else item[k] for k in range(41)]
     for words in (short + ["u"] * 9 + longer, longer + ["u"] * 9 + short):
         [(_, _, size, span, edits)] = find(words)
         assert (size, span, edits) == (16, 16, 0)
     two = item[20:27] + ["z1", item[28], "z2"] + item[30:36]
     [(_, begin, size, span, edits)] = find(two)
     assert (begin, size, span, edits) == (5, 16, 16, 2)
-    assert leaks.hop_edits(["a", "m", "b"], ["c", "m", "d"]) == (2, [(1, 1, 1)]) and not find(longer) and not find(item[:14])
+    assert not find(longer) and not find(item[:14])
+    assert leaks.seed_words() == 4 and leaks.seed_words(15, 100) == 7 and leaks.seed_words(10, 2) == 1
+
+
+def has_passage(doc, item, finder):
+    """By dynamic programming over every begin and end: equal first and last words, least edits in between."""
+    for i in range(len(item)):
+        for d in range(len(doc)):
+            if doc[d] != item[i]:
+                continue
+            row = list(range(len(doc) - d))  # edits from the first word to each place of the document
+            for y in range(1, len(item) - i):
+                last, row = row, [y]
+                for x in range(1, len(doc) - d):
+                    row.append(min(last[x - 1] + (doc[d + x] != item[i + y]), last[x] + 1, row[x - 1] + 1))
+                    if doc[d + x] == item[i + y] and finder.kept(y + 1, last[x - 1]):
+                        return True
+    return False
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_leaks_against_every_alignment(seed):
+    rng = random.Random(seed)
+    got, want = [], []
+    for case in range(40):
+        item = [rng.choice("abcdefghijklmnopqrstuvwxyz") * 2 for _ in range(rng.randrange(14, 40))]
+        at = rng.randrange(len(item) // 2)
+        words = item[at : at + rng.randrange(13, 36)]
+        for _ in range(rng.randrange(7)):
+            k = rng.randrange(len(words))
+            kind = rng.randrange(3)
+            words[k : k + (kind != 1)] = [["zz1"], ["zz2", words[k]], []][kind] if kind != 1 else ["zz2"]
+        doc = ["w1", "w2"] + words + ["w3", rng.choice(item)]
+        finder = leaks.PassageFinder([(1, " ".join(item))])
+        found = list(finder.find(" ".join(doc)))
+        got.append(bool(found))
+        want.append(has_passage(doc, item, finder))
+        for _, first, size, span, edits in found:
+            assert finder.kept(span, edits) and first + size <= len(doc)
+    assert got == want and 5 < sum(want) < 40
+
+
+def test_markup_of_any_length():
+    long = "<a href='" + "x" * 900 + "' \n title='y'>"
+    assert leaks.words_of(f"one {long}two</a> a < b and c > d") == ["one", "two", "a", "b", "and", "c", "d"]
+    assert len(leaks.word_spans(f"one {long}two</a>")) == 2
 
 
 def test_fold_and_spans():
