@@ -3,7 +3,8 @@
 Each distinct token is repaired first: it is joined to the tokens of the reference list
 by edit distance (through shared deletion variants, an equi-join). The corrected tokens
 of a whole entry then rank the list's entries by soft TF-IDF; entries below a limit are
-reported as matching none.
+reported as matching none. Names meet only entries with which they share one of the
+entry's heaviest tokens, as without these no score reaches the limit.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,44 +59,86 @@ def allowed(length: int) -> int:
     return 0 if length <= 2 else 1 if length <= 4 else 2 if length <= 7 else 3
 
 
-def edit_distance(a: str, b: str, most: int) -> int:
-    """Insertions, deletions, changes and swaps of neighbours (each pair once); ``most + 1`` if there are more."""
-    if abs(len(a) - len(b)) > most:
-        return most + 1
-    before, row = None, list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        last, row, older = row, [i], before
-        for j, y in enumerate(b, 1):
-            d = min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (x != y))
-            if older is not None and j > 1 and x == b[j - 2] and a[i - 2] == y:
-                d = min(d, older[j - 2] + 1)
-            row.append(d)
-        before = last
-        if min(row) > most:
-            return most + 1
-    return min(row[-1], most + 1)
+#: The most edits that are repaired.
+MOST_EDITS = 3
+#: Listed tokens of more characters are met by their pieces, as their deletion variants are too many.
+LONGEST_VARIED = 20
 
 
-def deletions(token: str, most: int) -> list[str]:
-    """``token`` with up to ``most`` and no more than the ``allowed`` characters left out.
+def edit_distances(a: list[str], b: list[str], most: int = MOST_EDITS) -> np.ndarray:
+    """For each pair insertions, deletions, changes and swaps of neighbours (each pair once); ``most + 1`` if there are more.
+
+    All pairs of about one length go through the band of the distance matrix together.
+    """
+    out = np.full(len(a), most + 1)
+    la, lb = np.fromiter(map(len, a), int, len(a)), np.fromiter(map(len, b), int, len(b))
+    near = np.flatnonzero(np.abs(la - lb) <= most)
+    for size in np.unique(la[near] // 8):
+        rows = near[la[near] // 8 == size]
+        n, m = int(la[rows].max()), int(lb[rows].max())
+        x = np.array([a[k] for k in rows], dtype=f"U{max(n, 1)}").view(np.uint32).reshape(len(rows), -1)
+        y = np.array([b[k] for k in rows], dtype=f"U{max(m, 1)}").view(np.uint32).reshape(len(rows), -1)
+        far = most + 1
+        older, last = None, np.minimum(np.arange(m + 1), far)[None, :].repeat(len(rows), 0)
+        done = np.where(la[rows] == 0, np.minimum(lb[rows], far), far)
+        for i in range(1, n + 1):
+            row = np.full_like(last, far)
+            row[:, 0] = min(i, far)
+            for j in range(max(1, i - most), min(m, i + most) + 1):
+                d = np.minimum(np.minimum(last[:, j] + 1, row[:, j - 1] + 1), last[:, j - 1] + (x[:, i - 1] != y[:, j - 1]))
+                if i > 1 and j > 1:
+                    d = np.where((x[:, i - 1] == y[:, j - 2]) & (x[:, i - 2] == y[:, j - 1]), np.minimum(d, older[:, j - 2] + 1), d)
+                row[:, j] = np.minimum(d, far)
+            older, last = last, row
+            end = np.flatnonzero(la[rows] == i)
+            done[end] = row[end, lb[rows[end]]]
+        out[rows] = done
+    return out
+
+
+def deletions(token: str) -> list[str]:
+    """``token`` with up to the ``allowed`` characters left out.
 
     Two tokens within that distance share one: a change or a swap of neighbours leaves equal
     texts if a character is left out of each.
     """
     out = layer = {token}
-    for _ in range(min(most, allowed(len(token)))):
+    for _ in range(allowed(len(token))):
         layer = {t[:i] + t[i + 1 :] for t in layer for i in range(len(t))}
         out = out | layer
     return list(out)
 
 
-def similarity(a: str, b: str) -> float:
-    """1 for equal tokens, less by the share of edits, 0 beyond the allowed distance."""
-    if a == b:
-        return 1.0
-    most = min(allowed(len(a)), allowed(len(b)))
-    d = edit_distance(a, b, most)
-    return 0.0 if d > most else 1.0 - d / max(len(a), len(b))
+def _pieces(size: int) -> list[tuple[int, int]]:
+    """Begin and end of the pieces a listed token is cut into: an edit touches two at most, so one is left whole."""
+    n = 2 * MOST_EDITS + 1
+    return [(k * size // n, (k + 1) * size // n) for k in range(n)]
+
+
+def listed_keys(token: str) -> list[str]:
+    """What a listed token is met by: deletion variants, or its pieces if it's long."""
+    if len(token) <= LONGEST_VARIED:
+        return deletions(token)
+    return [f"\0{len(token)} {k} {token[a:b]}" for k, (a, b) in enumerate(_pieces(len(token)))]
+
+
+def typed_keys(token: str) -> list[str]:
+    """What a typed token meets listed ones by: deletion variants, and if it's long what pieces of a listed token may have become."""
+    n, out = len(token), []
+    if n <= LONGEST_VARIED + MOST_EDITS:
+        out += deletions(token)
+    for size in range(max(LONGEST_VARIED + 1, n - MOST_EDITS), n + MOST_EDITS + 1):
+        for k, (a, b) in enumerate(_pieces(size)):
+            out += {f"\0{size} {k} {token[x : x + b - a]}" for x in range(max(0, a - MOST_EDITS), min(n - (b - a), a + MOST_EDITS) + 1)}
+    return out
+
+
+def similarities(a: list[str], b: list[str]) -> np.ndarray:
+    """1 for equal tokens, less by the share of edits, 0 beyond the distance allowed to both."""
+    d = edit_distances(a, b)
+    la, lb = np.fromiter(map(len, a), int, len(a)), np.fromiter(map(len, b), int, len(b))
+    most = np.fromiter((min(allowed(x), allowed(y)) for x, y in zip(la, lb)), int, len(a))
+    return np.where(d > most, 0.0, 1.0 - d / np.maximum(1, np.maximum(la, lb)))
 
 
 @dataclass(frozen=True)
@@ -142,26 +186,6 @@ def entry_scores(qd: list[str], qr: list[str], entry: dict, sim: dict[tuple[str,
     return district, district + limits.region_weight * region
 
 
-def _index(units: pd.DataFrame) -> pd.DataFrame:
-    """The entries of one country with their tokens and the tokens' inverse document frequencies."""
-    units = units.drop_duplicates().sort_values("unit_id")
-    rows = [(u, tokens(r), tokens(d)) for u, r, d in zip(units["unit_id"], units["admin1"], units["admin2"])]
-    count: dict[str, int] = {}
-    for _, r, d in rows:
-        for t in {*r, *d}:
-            count[t] = count.get(t, 0) + 1
-    n = len(rows)
-    out = []
-    for u, r, d in rows:
-        own = sorted({*r, *d})
-        out.append((units["admin0"].iloc[0], u, r, d, own, [math.log(1 + n / count[t]) for t in own], math.log(1 + n), sorted({*own, joined(r), joined(d)} - {""}), sorted({*d, joined(d)} - {""})))
-    return pd.DataFrame(out, columns=_INDEX_COLUMNS)
-
-
-_INDEX_COLUMNS = ["c", "unit_id", "region", "district", "tokens", "weights", "unknown", "vocabulary", "keys"]
-_INDEX_SCHEMA = "c string, unit_id bigint, region array<string>, district array<string>, tokens array<string>, weights array<double>, unknown double, vocabulary array<string>, keys array<string>"
-
-
 _WORDS = T.ArrayType(T.StringType())
 
 
@@ -175,42 +199,83 @@ def _parsed(region: pd.Series, district: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["qd", "qr", "keys", "all"])
 
 
-def _variants(token: str, most: int) -> Column:
+@F.pandas_udf(T.StructType([T.StructField(n, _WORDS) for n in ("region", "district", "vocabulary")] + [T.StructField("whole", T.StringType())]))
+def _entry(region: pd.Series, district: pd.Series) -> pd.DataFrame:
+    rows = []
+    for r, d in zip(region, district):
+        rt, dt = tokens(r), tokens(d)
+        rows.append((rt, dt, sorted({*rt, *dt, joined(rt), joined(dt)} - {""}), joined(dt)))
+    return pd.DataFrame(rows, columns=["region", "district", "vocabulary", "whole"])
+
+
+def _heaviest(accept: float):
+    @F.pandas_udf(_WORDS)
+    def run(district: pd.Series, own: pd.Series, weights: pd.Series, whole: pd.Series) -> pd.Series:
+        def one(d, o, w, x) -> list[str]:
+            square = {t: v * v for t, v in zip(o, w)}
+            least = accept * accept * sum(square[t] for t in d) - 1e-9
+            left, keys = sum(square[t] for t in set(d)), {x} - {""}
+            for t in sorted(set(d), key=lambda t: (-square[t], t)):
+                if left < least:
+                    break
+                keys.add(t)
+                left -= square[t]
+            return sorted(keys)
+
+        return pd.Series([one(*row) for row in zip(district, own, weights, whole)], dtype=object)
+
+    return run
+
+
+def indexed(units: DataFrame, limits: Matching = Matching()) -> DataFrame:
+    """The list's entries with their tokens, the tokens' inverse document frequencies in the country, and ``keys``.
+
+    ``keys`` are the district's heaviest tokens, so many that the others' squared weights add
+    up to less than ``accept`` squared of all: the score is at most the root of the matched
+    tokens' part, so an entry none of whose keys is met can't reach ``accept``. The district
+    in one word is a key too. Frequencies are counted per country and token, so a large
+    country isn't one task's work.
+    """
+    listed = units.filter(F.col("admin0").isNotNull() & F.col("admin2").isNotNull()).select("unit_id", F.col("admin0").alias("c"), "admin1", "admin2").distinct()
+    parsed = listed.withColumn("e", _entry("admin1", "admin2")).select("c", "unit_id", F.xxhash64("admin1", "admin2").alias("row"), "e.*").withColumn("own", F.array_sort(F.array_union("region", "district")))
+    parsed = reliable_checkpoint(parsed)
+    size = parsed.groupBy("c").agg(F.count("*").alias("n"))
+    held = parsed.select("c", "unit_id", "row", F.explode("own").alias("token"))
+    weight = held.groupBy("c", "token").agg(F.count("*").alias("df")).join(size, "c").select("c", "token", F.log(1 + F.col("n") / F.col("df")).alias("w"))
+    weighed = held.join(weight, ["c", "token"]).groupBy("c", "unit_id", "row").agg(F.array_sort(F.collect_list(F.struct("token", "w"))).alias("x"))
+    full = parsed.drop("own").join(weighed, ["c", "unit_id", "row"]).join(size, "c")
+    out = full.select("c", "unit_id", "row", "region", "district", F.col("x.token").alias("tokens"), F.col("x.w").alias("weights"), F.log(1.0 + F.col("n")).alias("unknown"), "vocabulary", "whole")
+    return reliable_checkpoint(out.withColumn("keys", _heaviest(limits.accept)("district", "tokens", "weights", "whole")).drop("whole"))
+
+
+def _keyed(token: str, keys) -> Column:
     @F.pandas_udf(_WORDS)
     def run(tokens_: pd.Series) -> pd.Series:
-        return tokens_.map(lambda t: deletions(t, most))
+        return tokens_.map(keys)
 
     return F.explode(run(token))
 
 
 @F.pandas_udf(T.DoubleType())
 def _similar(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([similarity(x, y) for x, y in zip(a, b)])
+    return pd.Series(similarities(a.tolist(), b.tolist()))
 
 
 def repaired_tokens(typed: DataFrame, listed: DataFrame) -> DataFrame:
-    """Columns ``c, token, entry, sim``: for each distinct token of a country the listed tokens within the allowed edit distance.
-
-    Both inputs have ``c, token``. They meet in a deletion variant, so no token is compared
-    with all others; a token equal to a listed one meets it too. Variants of two deletions
-    serve nearly all tokens; those of three, of which a token has many more, are only made
-    of tokens that met nothing before. Tokens are few bytes but much work, so they're spread
-    over a fixed number of tasks (by an expression of their own, as a repartition by the
-    columns of the ``distinct`` would be dropped and its small partitions joined to one).
+    """Columns ``c, token, entry, sim``: for each distinct token of a country all listed tokens within the allowed edit distance.
+
+    Both inputs have ``c, token``. They meet in a deletion variant or, if they're long, in a
+    piece, so no token is compared with all others and none within the distance is missed.
+    Tokens are few bytes but much work, so they're spread over a fixed number of tasks (by
+    an expression of their own, as a repartition by the columns of the ``distinct`` would be
+    dropped and its small partitions joined to one).
     """
     spark = typed.sparkSession
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    entries = listed.distinct().select("c", F.col("token").alias("entry"))
-
-    def within(tokens_: DataFrame, most: int) -> DataFrame:
-        left = tokens_.repartition(tasks, F.xxhash64("c", "token")).withColumn("v", _variants("token", most))
-        right = entries.withColumn("v", _variants("entry", most))
-        met = left.join(right, ["c", "v"]).select("c", "token", "entry").distinct().repartition(tasks, F.xxhash64("c", "token", "entry"))
-        return reliable_checkpoint(met.withColumn("sim", _similar("token", "entry")).filter(F.col("sim") > 0))
-
-    every = typed.distinct()
-    near = within(every, 2)
-    return near.unionByName(within(every.join(near, ["c", "token"], "left_anti"), 3))
+    left = typed.distinct().repartition(tasks, F.xxhash64("c", "token")).withColumn("v", _keyed("token", typed_keys))
+    right = listed.distinct().select("c", F.col("token").alias("entry")).repartition(tasks, F.xxhash64("c", "entry")).withColumn("v", _keyed("entry", listed_keys))
+    met = left.join(right, ["c", "v"]).select("c", "token", "entry").distinct().repartition(tasks, F.xxhash64("c", "token", "entry"))
+    return reliable_checkpoint(met.withColumn("sim", _similar("token", "entry")).filter(F.col("sim") > 0))
 
 
 def match_names(typed: DataFrame, units: DataFrame, limits: Matching = Matching()) -> DataFrame:
@@ -231,15 +296,15 @@ def match_names(typed: DataFrame, units: DataFrame, limits: Matching = Matching(
     cases = cases.join(exact, ["country", "region", "district"], "left_anti")
     gap = "\u0000"
     cases = cases.select("src", F.col("row_key").cast("bigint").alias("row_key"), F.coalesce("country", F.lit(gap)).alias("c"), F.coalesce("region", F.lit(gap)).alias("r"), F.col("district").alias("d"))
-    index = reliable_checkpoint(units.filter(F.col("admin0").isNotNull() & F.col("admin2").isNotNull()).select("unit_id", "admin0", "admin1", "admin2").groupBy("admin0").applyInPandas(_index, _INDEX_SCHEMA))
+    index = indexed(units, limits)
     names = cases.select("c", "r", "d").distinct().withColumn("q", _parsed(F.when(F.col("r") != gap, F.col("r")), "d")).select("c", "r", "d", "q.*")
     names = reliable_checkpoint(names)
     repaired = repaired_tokens(names.select("c", F.explode("all").alias("token")), index.select("c", F.explode("vocabulary").alias("token")))
     met = names.select("c", "r", "d", F.explode("all").alias("token"), "keys").join(repaired, ["c", "token"])
     sims = met.groupBy("c", "r", "d").agg(F.collect_set(F.struct("token", "entry", "sim")).alias("sims"))
-    entries = index.select("c", "unit_id", F.explode("keys").alias("entry"))
-    pairs = met.filter(F.array_contains("keys", F.col("token"))).join(entries, ["c", "entry"]).select("c", "r", "d", "unit_id").distinct()
-    full = pairs.join(names.drop("keys", "all"), ["c", "r", "d"]).join(sims, ["c", "r", "d"]).join(index.drop("vocabulary", "keys"), ["c", "unit_id"])
+    entries = index.select("c", "unit_id", "row", F.explode("keys").alias("entry"))
+    pairs = met.filter(F.array_contains("keys", F.col("token"))).join(entries, ["c", "entry"]).select("c", "r", "d", "unit_id", "row").distinct()
+    full = pairs.join(names.drop("keys", "all"), ["c", "r", "d"]).join(sims, ["c", "r", "d"]).join(index.drop("vocabulary", "keys"), ["c", "unit_id", "row"])
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

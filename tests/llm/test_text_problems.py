@@ -115,15 +115,45 @@ def osa(a, b):
     return d[len(a), len(b)]
 
 
-def test_edit_distance_and_deletions():
+def test_edit_distances_and_keys():
     rng = random.Random(3)
-    for _ in range(600):
-        a = "".join(rng.choice("abc") for _ in range(rng.randrange(1, 9)))
-        b = "".join(rng.choice("abc") for _ in range(rng.randrange(1, 9)))
-        d = osa(a, b)
-        assert naming.edit_distance(a, b, 3) == min(d, 4)
-        if d <= min(naming.allowed(len(a)), naming.allowed(len(b))):
-            assert set(naming.deletions(a, 3)) & set(naming.deletions(b, 3))
+    pairs = []
+    for size in (9, 9, 9, 30, 60):
+        for _ in range(250):
+            a = "".join(rng.choice("abc") for _ in range(rng.randrange(size > 9 and size - 13, size)))
+            b = list(a)
+            for _ in range(rng.randrange(4)):
+                k = rng.randrange(len(b) + 1)
+                b[k : k + rng.randrange(3)] = rng.choice([["c"], [], b[k : k + 2][::-1], ["a", "b"]])
+            pairs.append((a, "".join(b)))
+    got = naming.edit_distances([a for a, _ in pairs], [b for _, b in pairs])
+    assert got.tolist() == [min(osa(a, b), 4) for a, b in pairs]
+    near = 0
+    for a, b in pairs:
+        if a and b and osa(a, b) <= min(naming.allowed(len(a)), naming.allowed(len(b))):
+            near += 1
+            assert set(naming.typed_keys(a)) & set(naming.listed_keys(b)), (a, b)
+    assert near > 500 and len(naming.typed_keys("ab" * 400)) < 400
+    assert naming.edit_distances([], []).tolist() == [] and naming.similarities(["abcd", "", "ab"], ["abce", "", "ac"]).tolist() == [0.75, 1.0, 0.0]
+
+
+def test_keys_bound_the_score(spark):
+    """Every entry that reaches the limit for a name shares a key with it."""
+    rng = random.Random(5)
+    words = ["north", "south", "old", "new", "kelimot", "baruvan", "dola", "gir", "zanimor", "district", "x1", "x2", "port"]
+    units = [(i, "X", rng.choice(words), " ".join(rng.choice(words) for _ in range(rng.randrange(1, 4)))) for i in range(60)]
+    index = naming.indexed(spark.createDataFrame(units, "unit_id bigint, admin0 string, admin1 string, admin2 string")).collect()
+    limits, reached = naming.Matching(), 0
+    assert len(index) == 60 and sum(len(r["keys"]) for r in index) < sum(len({*r["district"], ""}) for r in index)
+    for _ in range(150):
+        qd = naming.tokens(" ".join(rng.choice(words) for _ in range(rng.randrange(1, 4))))
+        for r in index:
+            entry = {k: r[k] for k in ("region", "district", "tokens", "weights", "unknown")}
+            sim = {(q, e): 1.0 for q in {*qd, naming.joined(qd)} for e in r["vocabulary"] if q == e}
+            if naming.entry_scores(qd, [], entry, sim, limits)[0] >= limits.accept:
+                reached += 1
+                assert {*qd, naming.joined(qd)} & set(r["keys"])
+    assert reached > 100
 
 
 def test_match_names(spark):
