@@ -189,7 +189,9 @@ def test_recurring_lines(spark):
                 docs.setdefault((s.lower(), key(x)), set()).add(i)
     often = {k for k, v in docs.items() if len(v) >= 10 and k[1]}
     want = {(i, n) for i, s, t, _ in rows if s and t is not None for n, x in enumerate(t.split("\n"), 1) if (s.lower(), key(x)) in often}
-    assert {tuple(r) for r in lines.repeated_line_numbers(df).collect()} == want and want
+    for chunk in (20, lines.CHUNK_DOCUMENTS):
+        got = lines.repeated_line_numbers(df, chunk=chunk)
+        assert {tuple(r) for r in got.collect()} == want and want and got.count() == len(want)
     for r in lines.remove_repeated_lines(df).collect():
         if r.sourcecommonname and r.clean_text is not None:
             assert r.kept_text == "\n".join(x for x in r.clean_text.split("\n") if (r.sourcecommonname.lower(), key(x)) not in often)
@@ -198,10 +200,31 @@ def test_recurring_lines(spark):
     assert lines.repeated_line_numbers(df.limit(0)).count() == 0
 
 
-def test_bitmaps_are_exact(spark):
-    df = spark.createDataFrame([(i, "s", "same") for i in (0, 1, 63, 64, 129, 129, 10**15)], "article_id bigint, sourcecommonname string, clean_text string")
-    got = lines.line_bitmaps(df, "article_id", "sourcecommonname", "clean_text")
-    assert got.agg(F.sum(F.bit_count("bits"))).first()[0] == 6 and got.count() == 4
+def test_rows_with_one_key(spark):
+    rows = [(i, "s", "often\nx") for i in range(12)] + [(0, "s", "y\nOFTEN  1"), (0, None, "often\nx")]
+    df = spark.createDataFrame(rows, "article_id int, sourcecommonname string, clean_text string")
+    kept = [(r.sourcecommonname, r.clean_text, r.kept_text) for r in lines.remove_repeated_lines(df).filter("article_id = 0").collect()]
+    assert sorted(kept, key=repr) == sorted([("s", "often\nx", ""), ("s", "y\nOFTEN  1", "y"), (None, "often\nx", "often\nx")], key=repr)
+
+
+def test_bitmaps(spark):
+    rng = np.random.default_rng(1)
+    sizes = {}
+    for n in (0, 1, 3, 50, 2000, 9000, 16384):
+        numbers = np.unique(rng.integers(0, 16384, n).astype(np.uint16))
+        held = lines.Bitmap(numbers)
+        again = lines.Bitmap.from_bytes(held.to_bytes())
+        assert (again.numbers == numbers).all() and len(again) == len(numbers) and again.contains(numbers).all()
+        assert again.contains(np.arange(16384, dtype=np.uint16)).sum() == len(numbers)
+        sizes[n] = len(held.to_bytes())
+    assert sizes[50] <= 101 and sizes[9000] <= 2049 and len(lines.Bitmap(np.arange(16384, dtype=np.uint16)).to_bytes()) == 5
+    a, b = lines.Bitmap(np.array([1, 5], np.uint16)), lines.Bitmap(np.array([2, 5], np.uint16))
+    assert lines.Bitmap.union([a, b]).numbers.tolist() == [1, 2, 5]
+    df = spark.createDataFrame([(i, "s", t) for i in (0, 1, 63, 64, 129, 129, 10**15) for t in ("same", "SAME 2")], "article_id bigint, sourcecommonname string, clean_text string")
+    [row] = lines.line_bitmaps(df, "article_id", "sourcecommonname", "clean_text").collect()
+    assert row.n == 6 and lines.Bitmap.from_bytes(bytes(row.bitmap)).numbers.tolist() == [0, 1, 2, 3, 4, 5]
+    parted = lines.line_bitmaps(df, chunk=3).collect()
+    assert len(parted) > 1 and sum(r.n for r in parted) == 6
 
 
 # --- leaks
