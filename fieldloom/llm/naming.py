@@ -61,8 +61,8 @@ def allowed(length: int) -> int:
 
 #: The most edits that are repaired.
 MOST_EDITS = 3
-#: Listed tokens of more characters are met by their pieces, as their deletion variants are too many.
-LONGEST_VARIED = 20
+#: Characters of a token from which its deletion variants are made.
+VARIED = 8
 
 
 def edit_distances(a: list[str], b: list[str], most: int = MOST_EDITS) -> np.ndarray:
@@ -97,42 +97,21 @@ def edit_distances(a: list[str], b: list[str], most: int = MOST_EDITS) -> np.nda
 
 
 def deletions(token: str) -> list[str]:
-    """``token`` with up to the ``allowed`` characters left out.
+    """The first ``VARIED`` characters of ``token`` with up to the ``allowed`` ones left out.
 
-    Two tokens within that distance share one: a change or a swap of neighbours leaves equal
-    texts if a character is left out of each.
+    Two tokens within that distance share one: leaving a character out of each at a change or
+    a swap of neighbours, and out of one at an addition, makes them equal. The part of that
+    text which lies in the beginnings of both leaves no more characters unmatched there: where
+    its next character stands behind one beginning, all unmatched ones of that beginning are
+    left out, and the other, as long, has as many.
     """
-    out = layer = {token}
+    out = layer = {token[:VARIED]}
     for _ in range(allowed(len(token))):
         layer = {t[:i] + t[i + 1 :] for t in layer for i in range(len(t))}
         out = out | layer
     return list(out)
 
 
-def _pieces(size: int) -> list[tuple[int, int]]:
-    """Begin and end of the pieces a listed token is cut into: an edit touches two at most, so one is left whole."""
-    n = 2 * MOST_EDITS + 1
-    return [(k * size // n, (k + 1) * size // n) for k in range(n)]
-
-
-def listed_keys(token: str) -> list[str]:
-    """What a listed token is met by: deletion variants, or its pieces if it's long."""
-    if len(token) <= LONGEST_VARIED:
-        return deletions(token)
-    return [f"\0{len(token)} {k} {token[a:b]}" for k, (a, b) in enumerate(_pieces(len(token)))]
-
-
-def typed_keys(token: str) -> list[str]:
-    """What a typed token meets listed ones by: deletion variants, and if it's long what pieces of a listed token may have become."""
-    n, out = len(token), []
-    if n <= LONGEST_VARIED + MOST_EDITS:
-        out += deletions(token)
-    for size in range(max(LONGEST_VARIED + 1, n - MOST_EDITS), n + MOST_EDITS + 1):
-        for k, (a, b) in enumerate(_pieces(size)):
-            out += {f"\0{size} {k} {token[x : x + b - a]}" for x in range(max(0, a - MOST_EDITS), min(n - (b - a), a + MOST_EDITS) + 1)}
-    return out
-
-
 def similarities(a: list[str], b: list[str]) -> np.ndarray:
     """1 for equal tokens, less by the share of edits, 0 beyond the distance allowed to both."""
     d = edit_distances(a, b)
@@ -248,12 +227,9 @@ def indexed(units: DataFrame, limits: Matching = Matching()) -> DataFrame:
     return reliable_checkpoint(out.withColumn("keys", _heaviest(limits.accept)("district", "tokens", "weights", "whole")).drop("whole"))
 
 
-def _keyed(token: str, keys) -> Column:
-    @F.pandas_udf(_WORDS)
-    def run(tokens_: pd.Series) -> pd.Series:
-        return tokens_.map(keys)
-
-    return F.explode(run(token))
+@F.pandas_udf(_WORDS)
+def _variants(tokens_: pd.Series) -> pd.Series:
+    return tokens_.map(deletions)
 
 
 @F.pandas_udf(T.DoubleType())
@@ -264,17 +240,17 @@ def _similar(a: pd.Series, b: pd.Series) -> pd.Series:
 def repaired_tokens(typed: DataFrame, listed: DataFrame) -> DataFrame:
     """Columns ``c, token, entry, sim``: for each distinct token of a country all listed tokens within the allowed edit distance.
 
-    Both inputs have ``c, token``. They meet in a deletion variant or, if they're long, in a
-    piece, so no token is compared with all others and none within the distance is missed.
-    Tokens are few bytes but much work, so they're spread over a fixed number of tasks (by
-    an expression of their own, as a repartition by the columns of the ``distinct`` would be
-    dropped and its small partitions joined to one).
+    Both inputs have ``c, token``. They meet in a deletion variant, so no token is compared
+    with all others and none within the distance is missed. Tokens are few bytes but much
+    work, so they're spread over a fixed number of tasks (by an expression of their own, as a
+    repartition by the columns of the ``distinct`` would be dropped and its small partitions
+    joined to one).
     """
     spark = typed.sparkSession
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    left = typed.distinct().repartition(tasks, F.xxhash64("c", "token")).withColumn("v", _keyed("token", typed_keys))
-    right = listed.distinct().select("c", F.col("token").alias("entry")).repartition(tasks, F.xxhash64("c", "entry")).withColumn("v", _keyed("entry", listed_keys))
-    met = left.join(right, ["c", "v"]).select("c", "token", "entry").distinct().repartition(tasks, F.xxhash64("c", "token", "entry"))
+    varied = lambda df: df.distinct().repartition(tasks, F.xxhash64("c", "token")).withColumn("v", F.explode(_variants("token")))
+    near = F.abs(F.length("token") - F.length("entry")) <= MOST_EDITS
+    met = varied(typed).join(varied(listed).withColumnRenamed("token", "entry"), ["c", "v"]).filter(near).select("c", "token", "entry").distinct().repartition(tasks, F.xxhash64("c", "token", "entry"))
     return reliable_checkpoint(met.withColumn("sim", _similar("token", "entry")).filter(F.col("sim") > 0))
 
 

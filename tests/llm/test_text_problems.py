@@ -132,8 +132,8 @@ def test_edit_distances_and_keys():
     for a, b in pairs:
         if a and b and osa(a, b) <= min(naming.allowed(len(a)), naming.allowed(len(b))):
             near += 1
-            assert set(naming.typed_keys(a)) & set(naming.listed_keys(b)), (a, b)
-    assert near > 500 and len(naming.typed_keys("ab" * 400)) < 400
+            assert set(naming.deletions(a)) & set(naming.deletions(b)), (a, b)
+    assert near > 500 and len(naming.deletions("ab" * 400)) < 100
     assert naming.edit_distances([], []).tolist() == [] and naming.similarities(["abcd", "", "ab"], ["abce", "", "ac"]).tolist() == [0.75, 1.0, 0.0]
 
 
