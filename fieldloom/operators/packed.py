@@ -30,9 +30,9 @@ class PackedLayout:
         isn't empty) the matched text is a delimiter. Used for delimiters that may
         also be part of a value, by what follows them.
     absent: whole-field texts that mean "no value" (compared without surrounding blanks).
-    brackets: opening brackets that raise the nesting depth; brackets that aren't
-        closed in the value don't count.
-    escape: a character that takes the next one literally, or "".
+    brackets: opening brackets that raise the nesting depth: what they enclose isn't
+        parted. Brackets that are never closed, or closed without being opened, don't count.
+    escape: a character that takes the next one literally, within quotes too, or "".
     prepare: picks another layout by looking at the text (None: keep this one).
     clean: applied to bare values.
     """
@@ -56,41 +56,64 @@ class _Machine:
         parts = [self.delimiter.pattern] + ([f"[{re.escape(special)}]"] if special else [])
         self.stop = re.compile("|".join(f"(?:{p})" for p in parts))
         self.blank = re.compile(rf"[^\S{re.escape(layout.hard)}]*")
-        self.quoted = re.compile(r'"((?:[^"]|"")*)"')
+        inner = rf'[^"{re.escape(layout.escape)}]|""|{re.escape(layout.escape)}.' if layout.escape else '[^"]|""'
+        self.quoted = re.compile(rf'"((?:{inner})*)"', re.S)
+        self.literal = re.compile(rf'{re.escape(layout.escape)}(.)|"(")' if layout.escape else '()"(")', re.S)
+        self.nesting = re.compile(rf"{self.quoted.pattern}|[{re.escape(special)}]", re.S) if layout.brackets else None
+
+    def enclosed(self, text: str) -> dict[int, int]:
+        """For each bracket that is closed the end of what it encloses, by a stack of open ones; quoted stretches and escaped characters are passed over."""
+        ends: dict[int, int] = {}
+        if not self.nesting or not any(b in text for b in self.layout.brackets):
+            return ends
+        opened: list[tuple[str, int]] = []
+        waiting = dict.fromkeys(_CLOSERS.values(), 0)
+        at = 0
+        while m := self.nesting.search(text, at):
+            c, at = m[0], m.end()
+            if c == self.layout.escape:
+                at += 1
+            elif c in self.layout.brackets:
+                opened.append((_CLOSERS[c], m.start()))
+                waiting[_CLOSERS[c]] += 1
+            elif waiting.get(c):
+                while True:  # brackets left open within are ordinary characters
+                    closer, begin = opened.pop()
+                    waiting[closer] -= 1
+                    if closer == c:
+                        ends[begin] = at
+                        break
+        return ends
 
     def run(self, text: str) -> list[str]:
         values: list[str] = []
+        ends = self.enclosed(text)
         at, end = 0, len(text)
         while at < end:
             at = self.blank.match(text, at).end()
             if at >= end:
                 break
             if text[at] == '"' and (q := self.quoted.match(text, at)) and (a := self.after_quote.match(text, q.end())):
-                if value := q[1].replace('""', '"').strip():
+                if value := self.literal.sub(lambda m: m[1] or m[2], q[1]).strip():
                     values.append(value)
                 at = max(a.end(), q.end())
                 continue
-            value, at = self.bare(text, at)
+            value, at = self.bare(text, at, ends)
             if value:
                 values.append(value)
         return values
 
-    def bare(self, text: str, begin: int, nested: bool = True) -> tuple[str, int]:
-        layout, depth, taken, start, at = self.layout, [], [], begin, begin
+    def bare(self, text: str, begin: int, ends: dict[int, int]) -> tuple[str, int]:
+        layout, taken, start, at = self.layout, [], begin, begin
         while m := self.stop.search(text, at):
             hit, at = m[0], m.end()
             if layout.escape and hit == layout.escape:
                 taken.append(text[start : m.start()])
                 start, at = m.end(), m.end() + 1
-            elif nested and hit in layout.brackets and hit in _CLOSERS:
-                depth.append(_CLOSERS[hit])
-            elif depth:
-                if hit == depth[-1]:
-                    depth.pop()
+            elif m.start() in ends:
+                at = ends[m.start()]
             elif at > m.start() and self.delimiter.match(text, m.start()):
                 return self.cleaned("".join(taken) + text[start : m.start()]), at
-        if depth:  # a bracket is never closed: brackets of this value are ordinary characters
-            return self.bare(text, begin, False)
         return self.cleaned("".join(taken) + text[start:]), len(text)
 
     def cleaned(self, value: str) -> str:
@@ -116,11 +139,13 @@ def _theme(value: str) -> str:
     return re.sub(r"\s*,\s*", ",", value)
 
 
+#: What is in brackets is one value, and a backslash takes the next character as it is.
+_NESTED = {"brackets": "([{", "escape": "\\"}
 #: A comma or blank before a theme ends the value before it; a comma before an offset doesn't.
-THEMES = PackedLayout(hard=";|\t\n\r", soft=r'\s*,(?!\s*\d)|(?<=[^\s,])\s+(?=[^\s,;|\d])', clean=_theme)
+THEMES = PackedLayout(hard=";|\t\n\r", soft=r'\s*,(?!\s*\d)|(?<=[^\s,])\s+(?=[^\s,;|\d])', clean=_theme, **_NESTED)
 #: A comma ends an entry if an entry follows.
-LOCATIONS = PackedLayout(soft=r',(?=\s*(?:"?\d#|$))|,(?=\s*,)')
-COUNTS = PackedLayout(soft=r',(?=\s*(?:"?[A-Z][A-Z0-9_]+#|$))|,(?=\s*,)')
+LOCATIONS = PackedLayout(soft=r',(?=\s*(?:"?\d#|$))|,(?=\s*,)', **_NESTED)
+COUNTS = PackedLayout(soft=r',(?=\s*(?:"?[A-Z][A-Z0-9_]+#|$))|,(?=\s*,)', **_NESTED)
 _TONE_COMMA = PackedLayout(hard=",;|\t\n\r", soft=r"\s+")
 _TONE_DECIMAL = PackedLayout(hard=";|\t\n\r", soft=r",(?!\d)|(?<!\d),|\s+")
 _QUOTED = re.compile(r'"(?:[^"]|"")*"')

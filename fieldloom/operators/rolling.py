@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def latest_revisions(df: DataFrame, key: str, version: str) -> DataFrame:
@@ -29,6 +30,17 @@ def latest_revisions(df: DataFrame, key: str, version: str) -> DataFrame:
     return keyed.unionByName(df.filter(F.col(key).isNull()))
 
 
+#: Decimal places kept of fractions.
+PLACES = 12
+
+
+def _kind(kind: T.DataType) -> T.DataType:
+    """The type in which amounts of a type are added."""
+    if isinstance(kind, T.DecimalType):
+        return kind
+    return T.DecimalType(25 + PLACES, PLACES) if isinstance(kind, (T.FloatType, T.DoubleType)) else T.LongType()
+
+
 def trailing_totals(
     df: DataFrame,
     entity: str,
@@ -45,21 +57,26 @@ def trailing_totals(
     two change points, so the days in between are filled from the segment and no
     per-day self join or range frame is needed.
 
-    Rows with a null entity or day are left out; a null measure counts as 0. An
+    Averages are totals over ``w``, also where the entity has fewer days behind it. Whole
+    numbers give bigint totals, decimals decimal ones; fractions (float, double) are added
+    as decimals of ``PLACES`` places, so that taking an amount back leaves nothing, and
+    come out as double. Rows with a null entity or day are left out; a null measure counts
+    as 0, as do NaN, infinities and fractions of more than 25 digits before the point. An
     empty table gives an empty result. Amounts are summed per entity and day before
     the first shuffle, so what reaches the per-entity running sum is at most
     ``1 + len(windows)`` rows per calendar day, however many rows an entity has.
     """
     windows = sorted(set(windows))
+    kinds = [_kind(df.schema[m].dataType) for m in measures]
     base = df.filter(F.col(entity).isNotNull() & F.col(day).isNotNull()).select(
-        F.col(entity).alias("__e"), F.col(day).cast("date").alias("__d"), *[F.coalesce(F.col(m), F.lit(0)).cast("bigint").alias(f"__m{i}") for i, m in enumerate(measures)]
+        F.col(entity).alias("__e"), F.col(day).cast("date").alias("__d"), *[F.coalesce(F.col(m).try_cast(k), F.lit(0).cast(k)).alias(f"__m{i}") for i, (m, k) in enumerate(zip(measures, kinds))]
     )
     names = [(i, w, f"__m{i}_{w}") for i in range(len(measures)) for w in windows]
 
     def entry(shift: int) -> Column:
         def amount(i: int, w: int) -> Column:
-            sign = 1 if shift == 0 else -1 if shift == w else 0
-            return F.col(f"__m{i}") * F.lit(sign).cast("bigint") if sign else F.lit(0).cast("bigint")
+            m = F.col(f"__m{i}")
+            return m if shift == 0 else -m if shift == w else F.lit(0).cast(daily.schema[f"__m{i}"].dataType)
 
         return F.struct(F.date_add("__d", shift).alias("d"), F.lit(shift == 0).alias("event"), *[amount(i, w).alias(n) for i, w, n in names])
 
@@ -82,7 +99,8 @@ def trailing_totals(
     end = F.least(F.coalesce(F.date_sub("__next", 1), F.col("__last")), F.col("__last"))
     days = segments.select("__e", F.explode(F.sequence(F.col("__d"), end)).alias("__d"), *[n for _, _, n in names])
     out = [F.col("__e").alias(entity), F.col("__d").alias(day)]
-    out += [F.col(n).alias(f"{measures[i]}_{w}") for i, w, n in names]
+    total = lambda i, n: F.col(n).cast("double") if isinstance(df.schema[measures[i]].dataType, (T.FloatType, T.DoubleType)) else F.col(n)
+    out += [total(i, n).alias(f"{measures[i]}_{w}") for i, w, n in names]
     if averages:
-        out += [(F.col(n) / F.lit(float(w))).alias(f"{measures[i]}_{w}_avg") for i, w, n in names]
+        out += [(F.col(n).cast("double") / F.lit(float(w))).alias(f"{measures[i]}_{w}_avg") for i, w, n in names]
     return days.select(*out)

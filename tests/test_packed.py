@@ -38,6 +38,19 @@ def test_open_quotes_brackets_and_escapes():
     assert split_packed("(a;b", nested) == ["(a", "b"]
     assert split_packed(r"a\;b;c", nested) == ["a;b", "c"]
     assert split_packed('x "q" y;z', nested) == ['x "q" y', "z"]
+    assert split_packed('"a\\"b;c";d', nested) == ['a"b;c', "d"]
+    assert split_packed("(a;[b;c);d];e", nested) == ["(a;[b;c)", "d]", "e"]
+    assert split_packed(r"\(a;b);(c;d)", nested) == ["(a", "b)", "(c;d)"]
+    assert split_packed('(x;"a (b";c);d', nested) == ['(x;"a (b";c)', "d"]
+    assert split_packed(");(a", nested) == [")", "(a"] and len(split_packed("(a;" * 20000, nested)) == 20000
+    assert len(split_packed("(" * 50000 + ")" * 50000 + ";b", nested)) == 2
+
+
+def test_feed_fields_with_brackets_and_escapes():
+    assert split_packed("AB,1;CD(EF; GH),2,IJ,3", THEMES) == ["AB,1", "CD(EF; GH),2", "IJ,3"]
+    assert split_packed("4#Old Town (north; by the river), Kelimot#KE#KE1##1#2#3;2#A [B|C]#D", LOCATIONS) == ["4#Old Town (north; by the river), Kelimot#KE#KE1##1#2#3", "2#A [B|C]#D"]
+    assert split_packed(r"KILL#2#men\; women#4#X;WOUND#1#{a;b}", COUNTS) == ["KILL#2#men; women#4#X", "WOUND#1#{a;b}"]
+    assert split_packed("KILL#2#men (armed#4#X;WOUND#1", COUNTS) == ["KILL#2#men (armed#4#X", "WOUND#1"]
 
 
 @settings(max_examples=300, deadline=None)

@@ -1,5 +1,8 @@
 import datetime as dt
 import random
+from decimal import Decimal
+
+from pyspark.sql import functions as F
 
 from fieldloom.operators.rolling import latest_revisions, trailing_totals
 
@@ -47,3 +50,12 @@ def test_latest_revision_ties_nulls_and_repeats(spark):
     rows = [(1, 1, "a"), (1, 2, "b"), (1, 2, "c"), (1, 2, "c"), (2, None, "d"), (2, 0, "e"), (None, 1, "f"), (None, 1, "f")]
     got = latest_revisions(spark.createDataFrame(rows, "id int, v int, x string"), "id", "v").collect()
     assert sorted((r.id or 0, r.x) for r in got) == [(0, "f"), (0, "f"), (1, "c"), (2, "e")]
+
+
+def test_fractions_and_decimals(spark):
+    rows = [("a", "2020-01-01", 0.9, Decimal("0.90"), 2), ("a", "2020-01-02", 2.7, Decimal("2.70"), None), ("a", "2020-01-12", float("nan"), None, 5), ("a", "2020-01-13", 0.1, Decimal("0.10"), 1)]
+    df = spark.createDataFrame(rows, "e string, d string, x double, y decimal(9,2), z int").withColumn("d", F.to_date("d"))
+    got = trailing_totals(df, "e", "d", ["x", "y", "z"], (7,)).orderBy("d").collect()
+    assert [r.x_7 for r in got[:2]] == [0.9, 3.6] and [r.y_7 for r in got[:2]] == [Decimal("0.90"), Decimal("3.60")] and [r.z_7 for r in got[:2]] == [2, 2]
+    assert got[8].x_7 == 0.0 and got[8].y_7 == 0 and got[-1].x_7 == 0.1 and got[-1].z_7 == 6 and abs(got[1].y_7_avg - 3.6 / 7) < 1e-12
+    assert dict(trailing_totals(df, "e", "d", ["x", "y", "z"], (7,), averages=False).dtypes)["z_7"] == "bigint"
