@@ -14,7 +14,9 @@ from fieldloom.operators.spatial import inside_rings, valid_point
 
 #: Radius of the sphere of the map projection.
 MERCATOR_M = 6378137.0
-#: Points of one task.
+#: Corners of areas that are sent to all tasks at once (16 bytes each); more are taken in blocks.
+MOST_CORNERS = 2_000_000
+#: Points of one task where areas are taken in blocks.
 POINTS_PER_TASK = 200_000
 
 
@@ -38,37 +40,62 @@ def largest_part(geometry: Column | str) -> Column:
 
 
 class _Areas:
-    """Areas as rings on the web map, with a bounding box each."""
+    """Areas as rings on the web map, in a tree of bounding boxes."""
 
-    def __init__(self, areas: list[tuple[int, list[list[tuple[float, float]]]]]) -> None:
+    LEAF = 6
+
+    def __init__(self, areas: list[tuple[int, list[np.ndarray], list[np.ndarray]]]) -> None:
         self.ids, self.rings = [], []
-        for key, rings in sorted(areas):
-            mapped = [web_mercator(*np.asarray(r, float).T) for r in rings if len(r) > 2]
+        for key, lons, lats in sorted(areas, key=lambda a: a[0]):
+            mapped = [web_mercator(np.asarray(x, float), np.asarray(y, float)) for x, y in zip(lons, lats) if len(x) > 2]
             if mapped:
                 self.ids.append(key)
                 self.rings.append(mapped)
         boxes = [[min(x.min() for x, _ in r), min(y.min() for _, y in r), max(x.max() for x, _ in r), max(y.max() for _, y in r)] for r in self.rings]
         self.boxes = np.array(boxes, float).reshape(-1, 4)
+        self.root = self._build(np.arange(len(self.ids))) if self.ids else None
+
+    def _build(self, own: np.ndarray):
+        b = self.boxes[own]
+        box = np.r_[b[:, :2].min(axis=0), b[:, 2:].max(axis=0)]
+        if len(own) <= self.LEAF:
+            return box, own, None, None
+        middle = (b[:, :2] + b[:, 2:]) / 2
+        axis = int(np.argmax(np.ptp(middle, axis=0)))
+        order, half = np.argsort(middle[:, axis], kind="stable"), len(own) // 2
+        return box, None, self._build(own[order[:half]]), self._build(own[order[half:]])
+
+    @staticmethod
+    def _to_box(box: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return np.hypot(np.maximum(0, np.maximum(box[0] - x, x - box[2])), np.maximum(0, np.maximum(box[1] - y, y - box[3])))
 
     def nearest(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Index of the nearest area (the first on a tie) and the distance in map metres, 0 inside."""
-        n = len(x)
-        best, at = np.full(n, np.inf), np.full(n, -1)
-        b = self.boxes
-        dx = np.maximum(0, np.maximum(b[:, 0] - x[:, None], x[:, None] - b[:, 2]))
-        dy = np.maximum(0, np.maximum(b[:, 1] - y[:, None], y[:, None] - b[:, 3]))
-        low = np.hypot(dx, dy)
-        order = np.argsort(low, axis=1, kind="stable")
-        for k in range(low.shape[1]):
-            area = order[:, k]
-            todo = np.flatnonzero(low[np.arange(n), area] <= best)
-            if not len(todo):
-                break
-            for i in np.unique(area[todo]):
-                mine = todo[area[todo] == i]
-                d = self._distance(i, x[mine], y[mine])
-                better = (d < best[mine]) | ((d == best[mine]) & (i < at[mine]))
-                best[mine[better]], at[mine[better]] = d[better], i
+        """Index of the nearest area (the first on a tie) and the distance in map metres, 0 inside.
+
+        All points go down the tree together, each into the nearer box first; a box farther
+        than the best area so far is left out.
+        """
+        best, at = np.full(len(x), np.inf), np.full(len(x), -1)
+
+        def visit(node, q: np.ndarray) -> None:
+            box, own, one, two = node
+            q = q[self._to_box(box, x[q], y[q]) <= best[q] + 1e-6]
+            if not len(q):
+                return
+            if own is None:
+                first = self._to_box(one[0], x[q], y[q]) <= self._to_box(two[0], x[q], y[q])
+                for child, mine in ((one, q[first]), (two, q[~first]), (two, q[first]), (one, q[~first])):
+                    visit(child, mine)
+                return
+            for i in own:
+                mine = q[self._to_box(self.boxes[i], x[q], y[q]) <= best[q] + 1e-6]
+                if len(mine):
+                    d = self._distance(i, x[mine], y[mine])
+                    better = (d < best[mine]) | ((d == best[mine]) & (i < at[mine]))
+                    best[mine[better]], at[mine[better]] = d[better], i
+
+        if self.root is not None:
+            visit(self.root, np.arange(len(x)))
         return at, best
 
     def _distance(self, i: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -87,43 +114,53 @@ class _Areas:
         return np.round(out, 6)  # so that a point on a common border is equally near to both
 
 
-def nearest_area(points: DataFrame, key: str, lat: str, lon: str, areas: DataFrame, area_key: str = "poly_id", geometry: str = "geometry", most_areas: int = 20_000) -> DataFrame:
+def nearest_area(points: DataFrame, key: str, lat: str, lon: str, areas: DataFrame, area_key: str = "poly_id", geometry: str = "geometry", most_corners: int = MOST_CORNERS, points_per_task: int = POINTS_PER_TASK) -> DataFrame:
     """``key``, ``area_id``, ``distance_m`` (on the web map) of the nearest area of every distinct point; on a tie the smallest id.
 
-    Points without valid coordinates have null columns. The areas, a map's districts, are
-    sent to the tasks; their number is checked against ``most_areas`` first, beyond which
-    they're taken in blocks and the nearest of the blocks wins. Repeated places are looked
-    up once per task batch.
+    Points without valid coordinates have null columns. Areas of up to ``most_corners``
+    corners in all, a map's districts, are broadcast. Where there are more, blocks of areas
+    and of points meet by their numbers, so neither the driver nor a task holds all of
+    them, and the nearest of the blocks wins. Repeated places are looked up once per batch.
     """
-    n = areas.count()
-    blocks = max(1, math.ceil(n / most_areas))
+    schema = "key bigint, area_id bigint, distance_m double"
     base = points.select(F.col(key).cast("bigint").alias("key"), F.when(valid_point(lat, lon), F.col(lat)).cast("double").alias("lat"), F.when(valid_point(lat, lon), F.col(lon)).cast("double").alias("lon")).distinct()
-    out = None
-    for i in range(blocks):
-        rows = areas.filter(F.pmod(F.xxhash64(area_key), F.lit(blocks)) == i).select(area_key, geometry).collect()  # at most about most_areas rows
-        held = [(r[0], [[(p["lon"], p["lat"]) for p in ring] for ring in r[1]]) for r in rows if r[1] and r[0] is not None]
-        part = base.mapInPandas(_finder(held), "key bigint, area_id bigint, distance_m double")
-        out = part if out is None else out.unionByName(part)
-    if blocks > 1:
-        out = out.groupBy("key").agg(F.min(F.when(F.col("area_id").isNotNull(), F.struct("distance_m", "area_id"))).alias("x")).select("key", "x.area_id", "x.distance_m")
-    return out.withColumnRenamed("key", key)
-
-
-def _finder(held):
-    def run(batches):
-        areas = _Areas(held)
-        for b in batches:
-            lat, lon = b["lat"].to_numpy(float), b["lon"].to_numpy(float)
-            ids, far = np.full(len(b), None, dtype=object), np.full(len(b), np.nan)
-            ok = np.flatnonzero(~np.isnan(lat))
-            if len(ok) and areas.ids:
-                spots, of = np.unique(np.stack([lat[ok], lon[ok]], 1), axis=0, return_inverse=True)
-                at, d = areas.nearest(*web_mercator(spots[:, 1], spots[:, 0]))
-                ids[ok] = np.array(areas.ids)[at[of.reshape(-1)]]
-                far[ok] = d[of.reshape(-1)]
-            yield pd.DataFrame({"key": b["key"], "area_id": pd.array(ids, dtype="Int64"), "distance_m": far})
-
-    return run
+    flat = areas.filter(F.col(area_key).isNotNull() & F.col(geometry).isNotNull()).select(
+        F.col(area_key).cast("bigint").alias("id"), F.transform(geometry, lambda r: r["lon"]).alias("lon"), F.transform(geometry, lambda r: r["lat"]).alias("lat")
+    )
+    corners = flat.agg(F.sum(F.size(F.flatten("lon")))).first()[0] or 0
+    if corners <= most_corners:
+        held = [(r.id, r.lon, r.lat) for r in flat.toLocalIterator()]
+        sent = points.sparkSession.sparkContext.broadcast(held)  # at most ``most_corners`` corners
+
+        def run(batches):
+            found = _Areas(sent.value)
+            for b in batches:
+                yield _located(found, b)
+
+        return base.mapInPandas(run, schema).withColumnRenamed("key", key)
+    blocks, tasks = math.ceil(corners / most_corners), math.ceil(base.count() / points_per_task) or 1
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = base.withColumn("task", F.pmod(F.xxhash64("key", "lat", "lon"), F.lit(tasks))).withColumn("block", every(blocks))
+    right = flat.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).withColumn("task", every(tasks).cast("bigint"))
+
+    def meet(p: pd.DataFrame, a: pd.DataFrame) -> pd.DataFrame:
+        return _located(_Areas([(i, x, y) for i, x, y in zip(a["id"], a["lon"], a["lat"])]), p).assign(spot=p["spot"])
+
+    met = left.withColumn("spot", F.xxhash64("lat", "lon")).groupBy("task", "block").cogroup(right.groupBy("task", "block")).applyInPandas(meet, schema + ", spot bigint")
+    nearest = F.min(F.when(F.col("area_id").isNotNull(), F.struct("distance_m", "area_id"))).alias("x")
+    return met.groupBy("key", "spot").agg(nearest).select(F.col("key").alias(key), "x.area_id", "x.distance_m")
+
+
+def _located(areas: _Areas, b: pd.DataFrame) -> pd.DataFrame:
+    lat, lon = b["lat"].to_numpy(float), b["lon"].to_numpy(float)
+    ids, far = np.full(len(b), None, dtype=object), np.full(len(b), np.nan)
+    ok = np.flatnonzero(~np.isnan(lat))
+    if len(ok) and areas.ids:
+        spots, of = np.unique(np.stack([lat[ok], lon[ok]], 1), axis=0, return_inverse=True)
+        at, d = areas.nearest(*web_mercator(spots[:, 1], spots[:, 0]))
+        ids[ok] = np.array(areas.ids)[at[of.reshape(-1)]]
+        far[ok] = d[of.reshape(-1)]
+    return pd.DataFrame({"key": b["key"], "area_id": pd.array(ids, dtype="Int64"), "distance_m": far})
 
 
 #: A rule: in rows where all of ``where`` hold, ``column`` becomes ``to`` (a value, or old-to-new values).

@@ -1,12 +1,14 @@
 """Points near places and points in regions, by a Voronoi partition and vantage-point trees.
 
-The globe is cut into the Voronoi cells of a bounded number of pivots. A point goes
-to the cell of its nearest pivot. A place that reaches ``r`` km is copied to every
-cell where a point within its reach may lie: by the triangle inequality these are the
-cells whose pivot is at most ``2 r`` farther from the place than its nearest pivot.
-So every pair meets in exactly one cell, the point's, and the join is complete
-without a cross join. In each cell a vantage-point tree over the places finds the
-candidates with the exact great-circle metric.
+The globe is cut into the Voronoi cells of pivots, in two levels: each cell of the first
+is cut again by the pivots that lie in it. Their number grows with the number of places,
+so a cell holds about as many however many there are. A point goes to the cell of its
+nearest pivot. A place that reaches ``r`` km is copied to every cell where a point within
+its reach may lie: by the triangle inequality these are, on each level, the cells whose
+pivot is at most ``2 r`` farther from the place than its nearest pivot. So every pair
+meets in exactly one cell, the point's, and the join is complete without a cross join. In
+each cell a vantage-point tree over the places finds the candidates with the exact
+great-circle metric.
 """
 
 from __future__ import annotations
@@ -19,9 +21,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fieldloom.session import reliable_checkpoint
+
 EARTH_KM = 6371.0
-#: Cells the globe is cut into; the pivots are all that's collected.
+#: Cells there are at least (if there are as many places) and at most; their pivots, 16 bytes each, are all that's collected.
 PIVOTS = 96
+MOST_PIVOTS = 32_768
+#: Places a cell has about, up to ``MOST_PIVOTS`` cells.
+PLACES_PER_CELL = 2_000
+#: Pivots of the first level.
+TOP_PIVOTS = 128
 #: Points and places one task holds at a time; fuller cells are cut into blocks.
 POINTS_PER_BLOCK = 200_000
 PLACES_PER_BLOCK = 20_000
@@ -48,32 +57,71 @@ def _unit(lat: np.ndarray, lon: np.ndarray) -> np.ndarray:
     return np.stack([np.cos(p) * np.cos(q), np.cos(p) * np.sin(q), np.sin(p)], axis=1)
 
 
-def _pivots(places: DataFrame, n: int) -> np.ndarray:
-    """At most ``n`` distinct places (to a tenth of a degree), picked by hash."""
-    spots = places.select(F.round("lat", 1).alias("lat"), F.round("lon", 1).alias("lon")).distinct()
+def _pivots(places: DataFrame, least: int, per_cell: int) -> np.ndarray:
+    """One distinct place (to a hundredth of a degree) in ``per_cell``, at least ``least`` and at most ``MOST_PIVOTS``, picked by hash."""
+    spots = places.select(F.round("lat", 2).alias("lat"), F.round("lon", 2).alias("lon")).distinct()
+    n = min(MOST_PIVOTS, max(least, math.ceil(spots.count() / per_cell)))
     rows = spots.orderBy(F.xxhash64("lat", "lon"), "lat", "lon").limit(n).collect()
     return np.array([(r.lat, r.lon) for r in rows], dtype=float).reshape(-1, 2)
 
 
-def _nearest(pivots: np.ndarray):
-    units = _unit(pivots[:, 0], pivots[:, 1])
-
+class Cells:
+    """The Voronoi cells of pivots in two levels; a cell is named by the number of its pivot."""
+
+    def __init__(self, pivots: np.ndarray, top: int = TOP_PIVOTS) -> None:
+        self.pivots, self.units = pivots, _unit(pivots[:, 0], pivots[:, 1])
+        self.top = np.arange(min(top, len(pivots)))
+        above = np.argmax(self.units @ self.units[self.top].T, axis=1)
+        self.under = [np.flatnonzero(above == t) for t in self.top]
+
+    def nearest(self, lat: np.ndarray, lon: np.ndarray) -> np.ndarray:
+        """The cell of each point."""
+        points = _unit(lat, lon)
+        above = np.argmax(points @ self.units[self.top].T, axis=1)
+        out = np.empty(len(points), np.int32)
+        for t in np.unique(above):
+            mine, under = np.flatnonzero(above == t), self.under[t]
+            for at in range(0, len(mine), 4096):
+                part = mine[at : at + 4096]
+                out[part] = under[np.argmax(points[part] @ self.units[under].T, axis=1)]
+        return out
+
+    def reached(self, lat: np.ndarray, lon: np.ndarray, reach: np.ndarray) -> list[np.ndarray]:
+        """For each place the cells in which a point within its reach may lie."""
+        rows, cells = [], []
+        above = self._within(lat, lon, reach, self.top)
+        for t in np.flatnonzero(above.any(axis=0)):
+            mine = np.flatnonzero(above[:, t])
+            for at in range(0, len(mine), 4096):
+                part = mine[at : at + 4096]
+                r, c = np.nonzero(self._within(lat[part], lon[part], reach[part], self.under[t]))
+                rows.append(part[r])
+                cells.append(self.under[t][c])
+        if not rows:
+            return []
+        row, cell = np.concatenate(rows), np.concatenate(cells).astype(np.int32)
+        order = np.argsort(row, kind="stable")
+        return np.split(cell[order], np.searchsorted(row[order], np.arange(1, len(lat))))
+
+    def _within(self, lat: np.ndarray, lon: np.ndarray, reach: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+        d = great_circle_km(lat[:, None], lon[:, None], self.pivots[None, pivots, 0], self.pivots[None, pivots, 1])
+        return d <= d.min(axis=1, keepdims=True) + 2 * reach[:, None] + SLACK_KM
+
+
+def _nearest(cells: Cells):
     @F.pandas_udf(T.IntegerType())
     def cell(lat: pd.Series, lon: pd.Series) -> pd.Series:
-        points = _unit(lat.to_numpy(float), lon.to_numpy(float))
-        return pd.Series(np.argmax(points @ units.T, axis=1).astype(np.int32))
+        return pd.Series(cells.nearest(lat.to_numpy(float), lon.to_numpy(float)))
 
     return cell
 
 
-def _reached(pivots: np.ndarray):
+def _reached(cells: Cells):
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def cells(lat: pd.Series, lon: pd.Series, reach: pd.Series) -> pd.Series:
-        d = great_circle_km(lat.to_numpy(float)[:, None], lon.to_numpy(float)[:, None], pivots[None, :, 0], pivots[None, :, 1])
-        hit = d <= d.min(axis=1, keepdims=True) + 2 * reach.to_numpy(float)[:, None] + SLACK_KM
-        return pd.Series([np.flatnonzero(row).astype(np.int32) for row in hit])
+    def reached(lat: pd.Series, lon: pd.Series, reach: pd.Series) -> pd.Series:
+        return pd.Series(cells.reached(lat.to_numpy(float), lon.to_numpy(float), reach.to_numpy(float)), dtype=object)
 
-    return cells
+    return reached
 
 
 class VantageTree:
@@ -218,6 +266,7 @@ def locate(
     region_key: str = "poly_id",
     geometry: str = "geometry",
     pivots: int = PIVOTS,
+    places_per_cell: int = PLACES_PER_CELL,
     points_per_block: int = POINTS_PER_BLOCK,
     places_per_block: int = PLACES_PER_BLOCK,
 ) -> DataFrame:
@@ -231,32 +280,34 @@ def locate(
     cell; edges are straight in degrees and don't wrap at the date line. Empty inputs
     give an empty result.
 
-    Nothing but the pivots and the row counts per cell (at most ``pivots`` numbers each)
-    reaches the driver. A cell that holds more rows than a block, as one around a hot
-    place does, is cut into blocks by the hash of the rows; places are copied to the
-    point blocks of their cell and the other way round, so a task's rows are bounded.
+    Nothing but the pivots and the row counts per cell (at most ``MOST_PIVOTS`` of each)
+    reaches the driver. Cells have about ``places_per_cell`` places, so a place is copied to
+    few of them. A cell that holds more rows than a block, as one around a hot place does,
+    is cut into blocks by the hash of the rows; places are copied to the point blocks of
+    their cell and the other way round, so a task's rows are bounded. Points and copied
+    places are laid down once (checkpoint) and then counted and joined.
     """
     schema = "kind string, key bigint, ref_id bigint"
     spark = points.sparkSession
     parts = [x for x in (_places(places, place_key, place_lat, place_lon, radius_km), _regions(regions, region_key, geometry)) if x is not None]
     targets = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    marks = _pivots(targets, pivots)
+    marks = _pivots(targets, pivots, places_per_cell)
     if not len(marks):
         return spark.createDataFrame([], schema)
-    spread = (
+    cells = Cells(marks)
+    spread = reliable_checkpoint(
         points.filter(valid_point(lat, lon) & F.col(key).isNotNull())
         .select(F.col(key).cast("bigint").alias("key"), F.col(lat).cast("double").alias("lat"), F.col(lon).cast("double").alias("lon"))
-        .distinct()
-        .withColumn("cell", _nearest(marks)("lat", "lon"))
+        .withColumn("cell", _nearest(cells)("lat", "lon"))
     )
-    copied = targets.withColumn("cell", F.explode(_reached(marks)("lat", "lon", "reach")))
-    n_points = {r.cell: r.n for r in spread.groupBy("cell").agg(F.count("*").alias("n")).collect()}
+    copied = reliable_checkpoint(targets.withColumn("cell", F.explode(_reached(cells)("lat", "lon", "reach"))))
+    n_points = {r.cell: r.n for r in spread.groupBy("cell").agg(F.count("*").alias("n")).collect()}  # one row per pivot
     n_places = {r.cell: r.n for r in copied.groupBy("cell").agg(F.count("*").alias("n")).collect()}
     rows = [(c, math.ceil(n / points_per_block), math.ceil(n_places[c] / places_per_block)) for c, n in n_points.items() if c in n_places]
     blocks = spark.createDataFrame(rows, "cell int, pb int, qb int")
     h = lambda *c: F.xxhash64(*c)
     left = (
-        spread.join(F.broadcast(blocks), "cell")  # at most `pivots` rows
+        spread.join(F.broadcast(blocks), "cell")  # one row per pivot
         .withColumn("a", F.pmod(h("key", "lat", "lon"), F.col("pb")).cast("int"))
         .withColumn("b", F.explode(F.sequence(F.lit(0), F.col("qb") - 1)))
         .select("cell", "a", "b", "key", "lat", "lon")

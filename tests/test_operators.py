@@ -156,10 +156,18 @@ def test_nearest_area(spark):
     areas = [(1, [square(0, 0, 1)]), (2, [square(1, 0, 1)]), (3, [square(10, 10, 2)])]
     df = spark.createDataFrame(areas, "poly_id bigint, geometry array<array<struct<lon:double,lat:double>>>")
     pts = spark.createDataFrame([(1, 0.5, 0.5), (2, 0.5, 1.0), (3, 0.5, -0.2), (4, 9.0, 9.0), (5, None, 1.0), (6, 95.0, 1.0)], "id bigint, la double, lo double")
-    for most in (20_000, 1):
-        got = {r.id: r for r in G.nearest_area(pts, "id", "la", "lo", df, most_areas=most).collect()}
+    for most, task in ((20_000, 200_000), (6, 2)):
+        got = {r.id: r for r in G.nearest_area(pts, "id", "la", "lo", df, most_corners=most, points_per_task=task).collect()}
         assert [got[i].area_id for i in (1, 2, 3, 4)] == [1, 1, 1, 3] and got[1].distance_m == 0 and got[3].distance_m == pytest.approx(22263.9, rel=1e-3)
         assert got[5].area_id is None and got[6].area_id is None
+    assert G.nearest_area(pts, "id", "la", "lo", df.limit(0)).filter("area_id is null").count() == 6
+    rng = np.random.default_rng(4)
+    rings = [(k, [np.r_[x + np.array([0, 2, 2, 0, 0.0])]], [y + np.array([0, 0, 2, 2, 0.0])]) for k, (x, y) in enumerate(rng.uniform(-60, 60, (90, 2)))]
+    held = G._Areas(rings)
+    x, y = G.web_mercator(rng.uniform(-70, 70, 500), rng.uniform(-70, 70, 500))
+    at, d = held.nearest(x, y)
+    every = np.array([held._distance(i, x, y) for i in range(90)])
+    assert (d == every.min(axis=0)).all() and (at == every.argmin(axis=0)).all()
     parts = spark.createDataFrame([(1, [square(0, 0, 1), square(5, 5, 3)])], "i int, g array<array<struct<lon:double,lat:double>>>")
     assert parts.select(G.largest_part("g").alias("r")).first().r[0].lon == 5.0
 

@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pytest
 
-from fieldloom.operators.spatial import VantageTree, great_circle_km, locate
+from fieldloom.operators.spatial import Cells, VantageTree, great_circle_km, locate
 
 POINTS = "id bigint, la double, lo double, lat string"
 SITES = "site_id bigint, lat double, lon double"
@@ -42,7 +42,7 @@ def test_equal_to_brute_force(spark, blocks):
     df = spark.createDataFrame(points, POINTS)
     got = locate(
         df, "id", "la", "lo", places=spark.createDataFrame(sites, SITES), radius_km=25.0, regions=spark.createDataFrame([(i, [[{"lon": x, "lat": y} for x, y in r] for r in g], "k") for i, g in regions], REGIONS),
-        pivots=16, points_per_block=blocks[0], places_per_block=blocks[1],
+        pivots=16, points_per_block=blocks[0], places_per_block=blocks[1], places_per_cell=2_000 if blocks[0] > 100 else 1,
     )
     want = {("near", p, s) for p, a, b, _ in points for s, c, d in sites if far(a, b, c, d) <= 25} | {("in", p, r) for p, a, b, _ in points for r, g in regions if enclosed(a, b, g)}
     rows = [tuple(r) for r in got.collect()]
@@ -66,3 +66,17 @@ def test_tree_with_reaches():
     p, o = VantageTree(lat, lon, reach).query(qa, qo)
     want = np.argwhere(great_circle_km(qa[:, None], qo[:, None], lat, lon) <= reach)
     assert sorted(zip(p, o)) == [tuple(x) for x in want]
+
+
+@pytest.mark.parametrize("top", [1, 6, 500])
+def test_every_near_pair_meets_in_one_cell(top):
+    rng = np.random.default_rng(top)
+    crowd = lambda n: (np.r_[rng.uniform(-89, 89, n), rng.normal(10, 0.5, n)], np.r_[rng.uniform(-180, 180, n), rng.normal(20, 0.5, n)])
+    (lat, lon), (qa, qo) = crowd(300), crowd(400)
+    reach = rng.uniform(0, 120, len(lat))
+    cells = Cells(np.stack([lat, lon], 1)[rng.permutation(len(lat))[:150]], top)
+    assert sorted(np.concatenate(cells.under)) == list(range(150))
+    own, copies = cells.nearest(qa, qo), cells.reached(lat, lon, reach)
+    assert len(copies) == len(lat) and all(len(c) == len(set(c)) >= 1 for c in copies) and np.mean([len(c) for c in copies]) < 30
+    for q, p in np.argwhere(great_circle_km(qa[:, None], qo[:, None], lat, lon) <= reach):
+        assert own[q] in copies[p]
