@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,34 +25,69 @@ def token_set(text: Column | str) -> Column:
 def shingles(text: Column | str, n: int = 5) -> Column:
     """Sorted distinct runs of ``n`` words as 64-bit hashes; a shorter text is one run."""
     t = F.col(text) if isinstance(text, str) else text
-    words = F.filter(F.split(normalize_for_hash(t), " "), lambda w: w != "")
+    words = F.transform(F.filter(F.split(normalize_for_hash(t), " "), lambda w: w != ""), lambda w: F.xxhash64(w))
 
     def runs(w: Column) -> Column:
-        each = F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - (n - 1), F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice(w, i, n), " ")))
+        each = F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - n, F.lit(0))), lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(n)]))
         return F.when(F.size(w) > 0, F.array_sort(F.array_distinct(each))).otherwise(F.array().cast("array<bigint>"))
 
     return let(words, runs)
 
 
-def similar_sets(sets: DataFrame, threshold: float) -> DataFrame:
-    """Pairs ``a < b`` of ids whose sets (``id``, ``items``: sorted distinct) have a Jaccard similarity of at least ``threshold``, with it.
+#: Items are counted in so many buckets (8 bytes each on the driver and in the tasks) to tell rare from frequent ones.
+COUNT_BUCKETS = 1 << 18
+#: Bits of the summary of a set that rules out pairs before their sets are fetched.
+SUMMARY_BITS = 256
+
+
+def _prefixed(counts: np.ndarray, threshold: float):
+    @F.pandas_udf("prefix array<bigint>, summary array<bigint>")
+    def run(sets: pd.Series) -> pd.DataFrame:
+        prefix, summary = [], []
+        for items in sets:
+            x = np.asarray(items, dtype=np.int64)
+            n = len(x)
+            order = np.lexsort((x, counts[x & (COUNT_BUCKETS - 1)]))
+            prefix.append(x[order[: n - math.ceil(n * threshold - 1e-9) + 1]])
+            odd = (np.bincount((x >> 20) & (SUMMARY_BITS - 1), minlength=SUMMARY_BITS) & 1).astype(np.uint8)
+            summary.append(np.packbits(odd).view(np.int64))
+        return pd.DataFrame({"prefix": prefix, "summary": summary})
 
-    Exact, by prefix filtering: items are ordered from the rarest, and two similar sets must
-    share one of each other's first ``n - ceil(t n) + 1`` items. Sets of too different size
-    are dropped before they're compared. Frequent items are left out of all prefixes by
-    construction, so no item gathers a large group unless sets are equal; equal sets are
-    therefore to be made one before (``classes``). Empty sets have no pair.
+    return run
+
+
+def similar_sets(sets: DataFrame, threshold: float) -> DataFrame:
+    """Pairs ``a < b`` of ids whose sets (``id``, ``items``: distinct) have a Jaccard similarity of at least ``threshold``, with it.
+
+    Exact (for items of other types than bigint but for clashes of 64-bit hashes), by prefix
+    filtering: in any order of all items two similar sets must share one of each other's
+    first ``n - ceil(t n) + 1``, so rare items come first. How rare is told by counts in
+    ``COUNT_BUCKETS`` buckets, which is all that's collected. Pairs that meet are dropped
+    where their sizes, the places of the shared item, or the summaries rule the threshold
+    out: an item that isn't common changes at most one bit of the summary, so the sets differ
+    in at least as many items as the summaries in bits. What is left is compared in full.
+    Equal sets are to be made one before; a pair of different sets is never left out, so a
+    group of ``n`` similar sets has ``n ** 2 / 2`` pairs. Empty sets have no pair.
     """
-    items = sets.select("id", F.explode("items").alias("w"))
-    rank = items.groupBy("w").agg(F.count("*").alias("df"))
-    ordered = items.join(rank, "w").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "w"))).alias("x"))
-    n = F.size("x")
-    prefix = ordered.select("id", n.alias("n"), F.transform("x", lambda e: e["w"]).alias("s"), (n - F.ceil(n * threshold - 1e-9) + 1).cast("int").alias("p"))
-    keys = prefix.select("id", "n", F.explode(F.slice("s", F.lit(1), F.col("p"))).alias("w"))
-    a, b = keys.select(F.col("id").alias("a"), F.col("n").alias("na"), "w"), keys.select(F.col("id").alias("b"), F.col("n").alias("nb"), "w")
-    met = a.join(b, "w").filter((F.col("a") < F.col("b")) & (F.least("na", "nb") >= F.greatest("na", "nb") * threshold - 1e-9)).select("a", "b").distinct()
-    full = sets.select("id", "items")
-    both = met.join(full.select(F.col("id").alias("a"), F.col("items").alias("x")), "a").join(full.select(F.col("id").alias("b"), F.col("items").alias("y")), "b")
+    if dict(sets.dtypes)["items"] != "array<bigint>":
+        sets = sets.select("id", F.transform("items", lambda w: F.xxhash64(w)).alias("items"))
+    sets = sets.filter(F.size("items") > 0)
+    seen = sets.select(F.explode("items").alias("w")).groupBy(F.col("w").bitwiseAND(COUNT_BUCKETS - 1).alias("k")).agg(F.count("*").alias("n")).toLocalIterator()
+    counts = np.zeros(COUNT_BUCKETS, np.int64)
+    for r in seen:  # one row per bucket
+        counts[r.k] = r.n
+    cut = sets.withColumn("x", _prefixed(counts, threshold)("items")).select("id", F.size("items").alias("n"), "x.summary", F.posexplode("x.prefix").alias("at", "w"))
+    a, b = (cut.select(F.col("id").alias(k), F.col("n").alias(f"n{k}"), F.col("summary").alias(f"s{k}"), F.col("at").alias(f"at{k}"), "w") for k in "ab")
+    least = F.ceil((F.col("na") + F.col("nb")) * (threshold / (1 + threshold)) - 1e-6)  # items in common
+    bits = sum((F.bit_count(F.get("sa", F.lit(i)).bitwiseXOR(F.get("sb", F.lit(i)))) for i in range(SUMMARY_BITS // 64)), F.lit(0))
+    possible = (
+        (F.col("a") < F.col("b"))
+        & (F.least("na", "nb") >= F.greatest("na", "nb") * threshold - 1e-9)
+        & (F.least(F.col("na") - F.col("ata"), F.col("nb") - F.col("atb")) >= least)  # true at the first item in common
+        & (F.col("na") + F.col("nb") - bits >= 2 * least)
+    )
+    met = a.join(b, "w").filter(possible).select("a", "b").distinct()
+    both = met.join(sets.select(F.col("id").alias("a"), F.col("items").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("items").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
     return both.select("a", "b", (common / (F.size("x") + F.size("y") - common)).alias("similarity")).filter(F.col("similarity") >= threshold - 1e-12)
 
@@ -115,18 +151,20 @@ def deduplicate_by_shingles(df: DataFrame, key: str, text: str, threshold: float
 
 def _resolve(df: DataFrame, key: str, text: str, items: Column, threshold: float) -> DataFrame:
     # Texts with equal sets are one class: the class is that of the set, not of the spelling.
-    sets = df.filter(F.col(key).isNotNull()).select(F.col(key).cast("bigint").alias("id"), F.coalesce(items, F.array()).alias("items"))
+    if dict(df.select(items.alias("x")).dtypes)["x"] != "array<bigint>":
+        items = F.transform(items, lambda w: F.xxhash64(w))
+    once = F.explode(F.array(F.array_sort(F.coalesce(items, F.array().cast("array<bigint>")))))  # a generator, so that the sets aren't made anew for each column
+    sets = df.filter(F.col(key).isNotNull()).select(F.col(key).cast("bigint").alias("id"), once.alias("items"))
     hashed = sets.select("id", F.xxhash64("items").alias("h"), F.xxhash64(F.lit(1), "items").alias("g"), (F.size("items") > 0).alias("has"), "items")
     first = hashed.filter("has").groupBy("h", "g").agg(F.min("id").alias("class_id"), F.first("items").alias("items"))
     first = reliable_checkpoint(first)
-    member = hashed.select("id", "h", "g", "has").join(first.select("h", "g", "class_id"), ["h", "g"], "left").select("id", F.coalesce("class_id", "id").alias("class_id"))
+    member = hashed.select("id", "h", "g", "has").join(first.select("h", "g", "class_id"), ["h", "g"], "left").select("id", "has", F.coalesce("class_id", "id").alias("class_id"))
     pairs = reliable_checkpoint(similar_sets(first.select(F.col("class_id").alias("id"), "items"), threshold))
     links = pairs.select(F.explode(F.array("a", "b")).alias("class_id")).groupBy("class_id").agg(F.count("*").alias("n_links"))
     state = first_wins(pairs).withColumnRenamed("id", "class_id")
     out = member.join(links, "class_id", "left").join(state, "class_id", "left")
-    has = sets.select("id", (F.size("items") > 0).alias("has"))
     kept = ~F.col("has") | ((F.col("id") == F.col("class_id")) & F.coalesce("kept", F.lit(True)))
-    return out.join(has, "id").select(F.col("id").alias(key), "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), kept.alias("is_kept"))
+    return out.select(F.col("id").alias(key), "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), kept.alias("is_kept"))
 
 
 def minhash_bands(hashes: Column | str, size: int, bands: int, seed: int = 7) -> Column:

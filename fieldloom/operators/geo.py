@@ -139,9 +139,9 @@ def nearest_area(points: DataFrame, key: str, lat: str, lon: str, areas: DataFra
 
         return base.mapInPandas(run, schema).withColumnRenamed("key", key)
     blocks, tasks = math.ceil(corners / most_corners), math.ceil(base.count() / points_per_task) or 1
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
     left = base.withColumn("task", F.pmod(F.xxhash64("key", "lat", "lon"), F.lit(tasks))).withColumn("block", every(blocks))
-    right = flat.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).withColumn("task", every(tasks).cast("bigint"))
+    right = flat.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks))).withColumn("task", every(tasks))
 
     def meet(p: pd.DataFrame, a: pd.DataFrame) -> pd.DataFrame:
         return _located(_Areas([(i, x, y) for i, x, y in zip(a["id"], a["lon"], a["lat"])]), p).assign(spot=p["spot"])
