@@ -406,3 +406,23 @@ def test_stuffed_without_function_words(spark):
     heaps = [(100 + i, " ".join(f"tractor spare parts item{i % 7} pump{i}" for _ in range(12))) for i in range(40)]
     df = spark.createDataFrame(prose + heaps, "doc_id bigint, text string")
     assert {r.doc_id for r in stuffing.find_stuffed(df).filter("stuffed").collect()} == {i for i, _ in heaps}
+
+
+def test_stuffed_in_other_languages(spark):
+    prose = [(i, PROSE + f"On day {i} the road to town{i} was closed and the drivers of the lorries had to wait at the river until it was safe.") for i in range(60)]
+    others = [
+        (200, "Die Händler in der Stadt sagten, dass der Preis für Mais wieder gestiegen sei und dass sie nicht wüssten, wann der nächste Transport kommt. Die Straße nach Süden ist seit Montag gesperrt, und die Vorräte in den Dörfern werden knapp."),
+        (201, "Wafanyabiashara wa mji huo walisema kuwa bei ya mahindi imepanda tena na kwamba hawajui ni lini msafara ujao utafika. Barabara ya kusini imefungwa tangu Jumatatu na akiba ya vijiji imepungua kwa kiasi kikubwa, kwa mujibu wa wakulima wa eneo hilo."),
+        (202, "قال التجار في المدينة إن سعر الذرة ارتفع من جديد وإنهم لا يعرفون متى تصل القافلة التالية إلى السوق بعد إغلاق الطريق"),
+        (203, "ผู้ค้า ใน เมือง กล่าว ว่า ราคา ข้าวโพด เพิ่ม ขึ้น อีก และ ไม่ ทราบ ว่า ขบวน ถัดไป จะ มา เมื่อไร ราคา ข้าวโพด ใน เมือง เพิ่ม ขึ้น อีก ราคา ข้าวโพด ใน เมือง"),
+    ]
+    heaps = [(300, "Mais kaufen, Mais billig, Mais Preise, Mais Angebot, " * 8), (301, "mahindi bei nafuu " * 30)]
+    df = spark.createDataFrame(prose + others + heaps, "doc_id bigint, text string")
+    assert {r.doc_id for r in stuffing.find_stuffed(df).filter("stuffed").collect()} == {300, 301}
+    assert stuffing.measure(others[0][1])[0] == "de" and stuffing.measure(others[1][1])[0] == "sw" and stuffing.measure(others[3][1])[0] == stuffing.OTHER_SCRIPT
+
+
+def test_links_in_long_items():
+    one = " ".join(["word"] * 400) + " see www.example.org/a"
+    assert stuffing.measure(one)[6] == pytest.approx(15 / 402, abs=1e-6)
+    assert stuffing.measure(" ".join(f"buy here www.shop{i}.example" for i in range(200)))[6] == 1.0
