@@ -339,7 +339,7 @@ def test_fold_and_spans():
 
 
 def test_token_counts():
-    count = mixing.token_counter(TOKENIZER)
+    count = mixing.token_counter(mixing.vocabulary_of(TOKENIZER))
     rng = random.Random(1)
     for _ in range(200):
         text = "".join(rng.choice(["word", "D'été", " ", "  ", "\n", "12,5", "! ", "\t x", "it's"]) for _ in range(12))
@@ -356,6 +356,25 @@ def test_rake():
     assert mixing.rake({}, [("a", 1.0, 1)]).weights == {}
     lang = mixing.rake({("a", "en", "x"): 100.0, ("a", "fr", "x"): 100.0}, [("a", 1.0, 5)], total=200, lang_shares={"en": 0.8, "fr": 0.2})
     assert lang.weights["a", "en", "x"] == pytest.approx(1.6, rel=1e-3)
+    small = mixing.rake({("a", "en", "x"): 1000.0, ("b", "en", "x"): 10.0}, [("a", 0.5, 1), ("b", 0.5, 3)])
+    assert sum(small.goal.values()) == pytest.approx(60) and small.goal["a"] == pytest.approx(30)
+
+
+def test_topics(spark):
+    rng = random.Random(9)
+    words = {"food": ["maize", "harvest", "rice", "meals"], "war": ["attack", "militia", "soldiers", "armed"], "rain": ["flood", "river", "storm", "water"]}
+    text = lambda y: " ".join(rng.choice(words[y] if rng.random() < 0.3 else ["the", "town", "people", "said", "of", "day"]) for _ in range(40))
+    rows = [(text(y), y) for y in rng.choices(list(words), k=300)]
+    model = mixing.TopicModel.fit(spark.createDataFrame(rows[:200] + [(None, "food"), ("x", None), ("", "war")], "t string, y string"), "t", "y")
+    assert model.labels == ["food", "rain", "war"] and np.mean([model(t) == y for t, y in rows[200:]]) > 0.95
+    assert model(None) == model("12 --") == "none" and mixing.TopicModel.fit(spark.createDataFrame([], "t string, y string"), "t", "y") is None
+    with pytest.raises(ValueError):
+        mixing.TopicModel.fit(spark.createDataFrame([("a", str(i)) for i in range(mixing.MOST_TOPICS + 1)], "t string, y string"), "t", "y")
+    docs = spark.createDataFrame([(i, t, "s", "en", y) for i, (t, y) in enumerate(rows)], "doc_id int, text string, source string, lang string, kind string")
+    target = spark.createDataFrame([("s", 1.0, 2)], "source string, target_share double, max_repeats int")
+    for topic in (model, "kind"):
+        margins = mixing.mix(docs, target, total_tokens=6000, topic=topic, topic_shares={"food": 0.6, "war": 0.2, "rain": 0.2})[2].collect()
+        assert {r.value for r in margins if r.axis == "topic"} == {"food", "war", "rain"} and all(abs(r.share_reached - r.target_share) < 0.06 for r in margins)
 
 
 def test_mix(spark):
@@ -364,8 +383,11 @@ def test_mix(spark):
     rows += [(5000, None, "big", "en", 1), (5001, "", "big", "en", 1)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string, copies int")
     targets = spark.createDataFrame([("big", 0.5, 3), ("small", 0.3, 2), ("none", 0.2, 2), (None, 0.1, 1)], "source string, target_share double, max_repeats int")
-    drawn, report = mixing.mix(docs, targets)
+    drawn, report, margins = mixing.mix(docs, targets)
     got = drawn.collect()
+    by = {(r.axis, r.value): r for r in margins.collect()}
+    assert set(by) == {("lang", "en"), ("lang", "fr"), ("lang", "unknown"), ("topic", "all")} and sum(r.share_reached for k, r in by.items() if k[0] == "lang") == pytest.approx(1)
+    assert all(abs(r.target_share - r.share_reached) < 0.03 for r in by.values())
     assert all(r.copies <= {"big": 3, "small": 2}[r.source] for r in got) and len({r.doc_id for r in got}) == len(got)
     shares = {r.source: r for r in report.collect()}
     assert set(shares) == {"big", "small", "none"} and not shares["none"].reachable and shares["none"].share_reached == 0
