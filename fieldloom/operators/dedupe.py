@@ -36,6 +36,8 @@ def shingles(text: Column | str, n: int = 5) -> Column:
 
 #: Items are counted in so many buckets (8 bytes each on the driver and in the tasks) to tell rare from frequent ones.
 COUNT_BUCKETS = 1 << 18
+#: Pairs (16 bytes each) up to which their ids are broadcast to pick their sets.
+FEW_PAIRS = 200_000
 #: Bits of the summary of a set that rules out pairs before their sets are fetched.
 SUMMARY_BITS = 256
 
@@ -86,7 +88,10 @@ def similar_sets(sets: DataFrame, threshold: float) -> DataFrame:
         & (F.least(F.col("na") - F.col("ata"), F.col("nb") - F.col("atb")) >= least)  # true at the first item in common
         & (F.col("na") + F.col("nb") - bits >= 2 * least)
     )
-    met = a.join(b, "w").filter(possible).select("a", "b").distinct()
+    met = reliable_checkpoint(a.join(b, "w").filter(possible).select("a", "b").distinct())
+    if met.limit(FEW_PAIRS + 1).count() <= FEW_PAIRS:  # then only their sets are moved
+        ids = met.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        sets = sets.join(F.broadcast(ids), "id", "left_semi")
     both = met.join(sets.select(F.col("id").alias("a"), F.col("items").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("items").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
     return both.select("a", "b", (common / (F.size("x") + F.size("y") - common)).alias("similarity")).filter(F.col("similarity") >= threshold - 1e-12)
