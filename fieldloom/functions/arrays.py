@@ -99,8 +99,12 @@ def parallel_dedupe(df: DataFrame, key: str, others: Sequence[str]) -> DataFrame
     arrays as they were; null elements count as a value.
     """
     k = F.col(key)
-    first = F.filter(F.sequence(F.lit(0), F.size(k) - 1), lambda i: ~F.exists(F.slice(k, 1, i), lambda x: x.eqNullSafe(F.get(k, i))))
-    places = F.when(F.size(k) > 0, first).when(k.isNotNull(), F.array().cast("array<int>"))
+
+    def firsts(ordered: Column) -> Column:  # in the order of values and places the first place of each value
+        new = lambda x, i: F.when((i == 0) | ~x["v"].eqNullSafe(F.get(ordered, i - 1)["v"]), x["i"])
+        return F.array_sort(F.filter(F.transform(ordered, new), lambda x: x.isNotNull()))
+
+    places = let(F.array_sort(F.transform(k, lambda x, i: F.struct(x.alias("v"), i.alias("i")))), firsts)
 
     def take(name: str) -> Column:
         return F.when(k.isNull() | F.col(name).isNull(), F.col(name)).otherwise(F.transform("__places", lambda i: F.get(F.col(name), i))).alias(name)

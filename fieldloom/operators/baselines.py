@@ -25,13 +25,20 @@ def assessments(panel: DataFrame, score: str = "cs_score") -> DataFrame:
     return periods.withColumn("step", F.row_number().over(W.orderBy("period")).cast("int"))  # a few hundred periods
 
 
-def previous_score(panel: DataFrame, score: str = "cs_score", back: int = 1, keys: Sequence[str] = DISTRICT) -> DataFrame:
-    """Panel rows with a valid score and ``predicted``: the district's score ``back`` assessments before, 0 without one."""
+def _by_steps(panel: DataFrame, score: str, backs: Sequence[int], keys: Sequence[str]) -> DataFrame:
+    """Panel rows with a valid score and per entry of ``backs`` the district's score so many assessments before, 0 without one; one window, no join but that of the steps."""
+    from pyspark.sql import Window as W
+
     steps = F.broadcast(assessments(panel, score))  # one row per period
     valid = panel.filter(F.col(score).between(1, 5)).join(steps, "period")
-    past = valid.select(*[F.col(k).alias(f"__{k}") for k in keys], (F.col("step") + back).alias("__step"), F.col(score).alias("__p"))
-    cond = [valid[k].eqNullSafe(past[f"__{k}"]) for k in keys] + [valid["step"] == past["__step"]]
-    return valid.join(past, cond, "left").select(*keys, "period", F.col(score).alias("actual"), F.coalesce("__p", F.lit(0.0)).alias("predicted"))
+    w = W.partitionBy(*keys).orderBy("step")
+    before = lambda back: F.coalesce(*[F.when(F.lag("step", j).over(w) == F.col("step") - back, F.lag(score, j).over(w)) for j in range(1, back + 1)], F.lit(0.0))
+    return valid.select(*keys, "period", F.col(score).alias("actual"), *[before(k).alias(f"__{k}") for k in backs])
+
+
+def previous_score(panel: DataFrame, score: str = "cs_score", back: int = 1, keys: Sequence[str] = DISTRICT) -> DataFrame:
+    """Panel rows with a valid score and ``predicted``: the district's score ``back`` assessments before, 0 without one."""
+    return _by_steps(panel, score, [back], keys).withColumnRenamed(f"__{back}", "predicted")
 
 
 def same_period_last_year(panel: DataFrame, score: str = "cs_score", keys: Sequence[str] = DISTRICT) -> DataFrame:
@@ -44,9 +51,8 @@ def same_period_last_year(panel: DataFrame, score: str = "cs_score", keys: Seque
 
 def max_of_two_before(panel: DataFrame, score: str = "cs_score", keys: Sequence[str] = DISTRICT) -> DataFrame:
     """``predicted`` is the greater of the scores one and two assessments before, 0 without either."""
-    one, two = previous_score(panel, score, 1, keys), previous_score(panel, score, 2, keys).withColumnRenamed("predicted", "__two")
-    cond = [one[k].eqNullSafe(two[k]) for k in (*keys, "period")]
-    return one.join(two, cond).select(*[one[k] for k in keys], one["period"], one["actual"], F.greatest(one["predicted"], F.col("__two")).alias("predicted"))
+    both = _by_steps(panel, score, [1, 2], keys)
+    return both.select(*keys, "period", "actual", F.greatest("__1", "__2").alias("predicted"))
 
 
 def scores(forecast: DataFrame, by: Sequence[str] = ()) -> DataFrame:

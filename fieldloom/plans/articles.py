@@ -15,7 +15,7 @@ from fieldloom.operators import statistics as S
 from fieldloom.session import table
 
 LEXICON = ["harvest", "crop", "drought", "food aid", "malnourished", "fungus in the fields", "sorghum", "x"]
-COUNTRY_TERMS = ["health", "food", "water", "farmers", "market"]
+COUNTRIES = sorted(set(K.DEMONYMS.values()))
 
 
 def lexicon_filter(spark: SparkSession, root: str) -> DataFrame:
@@ -35,18 +35,29 @@ def keyword_freq(spark: SparkSession, root: str) -> DataFrame:
 
 
 def truncate_words(spark: SparkSession, root: str) -> DataFrame:
-    return table(spark, root, "documents").select("doc_id", X.truncate_words("text", 50).alias("head"))
+    """The first 500 words of every labelled text."""
+    return table(spark, root, "labelled_text").select("text_id", X.truncate_words("clean_text").alias("head"))
+
+
+def _with_demonyms(spark: SparkSession, root: str) -> DataFrame:
+    """Documents with two of the demonyms put behind the text, as the invented places have none."""
+    names = F.array(*[F.lit(d.title()) for d in K.DEMONYMS])
+    at = lambda k: F.get(names, F.pmod(F.col("doc_id") * k + k, F.lit(len(K.DEMONYMS))).cast("int"))
+    return table(spark, root, "documents").select("doc_id", F.concat("text", F.lit(" A "), at(1), F.lit(" and a "), at(7), F.lit(" trader")).alias("text"))
+
+
+_WITH_DEMONYMS = "d as (select doc_id, text || ' A ' || n[(doc_id + 1) % len(n) + 1] || ' and a ' || n[(doc_id * 7 + 7) % len(n) + 1] || ' trader' as text from documents, (select [" + ", ".join(f"'{d.title()}'" for d in K.DEMONYMS) + "] as n))"
 
 
 def main_country(spark: SparkSession, root: str) -> DataFrame:
-    """The listed term named most often, anywhere in the text."""
-    return table(spark, root, "documents").select("doc_id", X.main_country("text", COUNTRY_TERMS).alias("main"))
+    """The country named most often, anywhere in the text or by the demonyms in it."""
+    d = _with_demonyms(spark, root).select("doc_id", X.inject_countries("text").alias("text"))
+    return d.select("doc_id", X.main_country("text", COUNTRIES).alias("main"))
 
 
 def demonyms(spark: SparkSession, root: str) -> DataFrame:
-    """Texts with what stands for the words found in them appended."""
-    stands_for = {"farmers union": "union", "health mission": "mission", "grain board": "board", "water trust": "trust", "union": "assembly"}
-    return table(spark, root, "documents").select("doc_id", F.md5(X.inject_countries("text", stands_for)).alias("digest"))
+    """Texts with the countries of the demonyms found in them appended."""
+    return _with_demonyms(spark, root).select("doc_id", F.md5(X.inject_countries("text")).alias("digest"))
 
 
 def url_domain(spark: SparkSession, root: str) -> DataFrame:
@@ -54,11 +65,11 @@ def url_domain(spark: SparkSession, root: str) -> DataFrame:
 
 
 def blacklisted(spark: SparkSession, root: str) -> DataFrame:
-    """Articles whose host didn't fail too often; a failure is a text that is missing or ``Error``."""
+    """The host of each article, its failures (texts that are missing or ``Error``), and whether they are a hundred."""
     a = table(spark, root, "articles_events").withColumn("domain", X.domain("sourceurl"))
-    failed = F.coalesce(F.col("clean_text").isin("Error", ""), F.lit(True)) | F.col("clean_text").isNull()
-    bad = a.filter(failed & F.col("domain").isNotNull()).groupBy("domain").agg(F.count("*").alias("n")).filter("n >= 1").select("domain")
-    return J.unprocessed(a.select("article_id", "domain"), bad, "domain")
+    failed = F.coalesce(F.col("clean_text").isin("Error", ""), F.lit(True))
+    n = a.filter("domain is not null").groupBy("domain").agg(F.count_if(failed).alias("failures"))
+    return a.join(n, "domain", "left").select("article_id", "domain", "failures", F.coalesce(F.col("failures") >= 100, F.lit(True)).alias("is_blacklisted"))
 
 
 def normalized_names(spark: SparkSession, root: str) -> DataFrame:
@@ -67,12 +78,11 @@ def normalized_names(spark: SparkSession, root: str) -> DataFrame:
 
 def country_or_filter(spark: SparkSession, root: str) -> DataFrame:
     """Articles with a listed country in one of three columns."""
-    listed = [r.admin0 for r in table(spark, root, "admin_units").select("admin0").distinct().collect()]  # the countries of the fixed list
-    a = table(spark, root, "articles_events")
-    hit = F.lit(False)
-    for c in ("ner_admin0", "ner_admin1", "ner_admin2"):
-        hit = hit | F.coalesce(F.lower(c).isin([x.lower() for x in listed]), F.lit(False))
-    return a.filter(hit).select("article_id", "ner_admin0")
+    listed = table(spark, root, "admin_units").select(F.lower("admin0").alias("name")).distinct()
+    a = table(spark, root, "articles_events").select("article_id", "ner_admin0", "ner_admin1", "ner_admin2")
+    named = a.select("article_id", F.explode(F.array(*[F.lower(c) for c in ("ner_admin0", "ner_admin1", "ner_admin2")])).alias("name"))
+    hits = named.join(listed, "name", "left_semi").select("article_id").distinct()
+    return a.join(hits, "article_id", "left_semi").select("article_id", "ner_admin0")
 
 
 def article_features(articles: DataFrame) -> DataFrame:
@@ -119,7 +129,7 @@ def capped_arrays(spark: SparkSession, root: str) -> DataFrame:
     """Counts with their ceiling, for rows with more than one article or a valid score."""
     f = mapped_features(spark, root).join(table(spark, root, "events_panel").select("panel_id", "cs_score"), "panel_id")
     kept = f.filter((A.raw_size("fatalities_count_list") > 1) | F.coalesce(F.col("cs_score").isin(K.VALID_SCORES), F.lit(False)))
-    return kept.select("panel_id", A.cap("fatalities_count_list", 5).alias("capped"), A.safe_total("fatalities_count_list").alias("total"), A.non_empty("fatalities_count_list").alias("has_articles"))
+    return kept.select("panel_id", *[A.cap("fatalities_count_list", K.COUNT_CAPS[c]).alias(f"capped_as_{c}") for c in ("fatalities", "torture")], A.safe_total("fatalities_count_list").alias("total"), A.non_empty("fatalities_count_list").alias("has_articles"))
 
 
 def category_counter(spark: SparkSession, root: str) -> DataFrame:
@@ -152,9 +162,10 @@ def semi_valid(spark: SparkSession, root: str) -> DataFrame:
 
 
 def anti_processed(spark: SparkSession, root: str) -> DataFrame:
-    """Distinct web addresses of the panel without an article yet, in order."""
-    urls = table(spark, root, "events_panel").select(F.explode("sourceurl").alias("sourceurl")).filter(F.col("sourceurl").startswith("http")).distinct()
-    return J.unprocessed(urls, table(spark, root, "articles_events").filter(F.col("sourceurl").isNotNull()), "sourceurl").orderBy("sourceurl")
+    """Distinct web addresses of the events that have no text yet (none fetched or the fetch failed), in order."""
+    urls = table(spark, root, "gdelt_events").select("sourceurl").filter(F.col("sourceurl").startswith("http")).distinct()
+    done = table(spark, root, "articles_events").filter(F.col("sourceurl").isNotNull() & ~F.col("clean_text").isin("Error", ""))
+    return J.unprocessed(urls, done, "sourceurl").orderBy("sourceurl")
 
 
 def union_by_name(spark: SparkSession, root: str) -> DataFrame:
@@ -208,13 +219,6 @@ def found_places(spark: SparkSession, root: str) -> DataFrame:
     return places.withColumn("a", X.choose_admins("places")).select("article_id", F.size("places").alias("n_places"), "a.admin0", "a.admin1", "a.admin2")
 
 
-def jaccard_pairs(spark: SparkSession, root: str) -> DataFrame:
-    """Pairs of different eval items and documents' leads whose word sets are at least half alike."""
-    items = table(spark, root, "eval_items").select(F.col("item_id").alias("id"), D.token_set("text").alias("items"))
-    one = items.groupBy("items").agg(F.min("id").alias("id"))
-    return D.similar_sets(one, 0.4).select("a", "b", F.round("similarity", 9).alias("similarity"))
-
-
 def near_duplicates(spark: SparkSession, root: str) -> DataFrame:
     """Class, links and survival of every document: word sets at least 0.9 alike."""
     return D.deduplicate_by_similarity(table(spark, root, "documents").select("doc_id", "text"), "doc_id", "text", 0.9)
@@ -319,7 +323,7 @@ QUERIES = {
     "array_collect_reduce": array_reducers, "array_cap": capped_arrays, "category_counter": category_counter, "parallel_dedupe": parallel_dedupe, "flatten_parallel": flatten_parallel,
     "lookup_fill_admin0": fill_country, "semi_valid_docs": semi_valid, "anti_processed": anti_processed, "union_by_name": union_by_name, "country_articles": country_articles,
     "label_modes": label_modes, "label_flags": label_flags, "text_features": text_features, "cleaned_words": cleaned_words, "token_windows": token_windows, "found_places": found_places,
-    "jaccard_pairs": jaccard_pairs, "near_duplicates": near_duplicates, "shingle_duplicates": shingle_duplicates, "minhash_dedupe": minhash_dedupe, "nearest_area": nearest_area,
+    "near_duplicates": near_duplicates, "shingle_duplicates": shingle_duplicates, "minhash_dedupe": minhash_dedupe, "nearest_area": nearest_area,
     "largest_parts": largest_parts, "area_rules": area_rules, "fuzzy_crosswalk": fuzzy_crosswalk, "ratio_features": ratio_features,
 }
 
@@ -340,6 +344,13 @@ def _near(a: str, b: str) -> str:
     return f"(1 - levenshtein({a}, {b}) / greatest(length({a}), length({b}), 1))"
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_LISTED = ", ".join(_quoted(c) for c in COUNTRIES)
+_HITS = ", ".join(f"case when contains(lower(text), {_quoted(d)}) then {_quoted(c)} end" for d, c in K.DEMONYMS.items())
+_INJECTED = f"select doc_id, case when len(c) > 0 then text || ' ' || array_to_string(list_sort(list_distinct(c)), ' ') || ' ' else text end as text from (select *, list_filter([{_HITS}], lambda x: x is not null) as c from d)"
 _LEX = "|".join(X.lexicon_terms(LEXICON))
 _FAILED = "(clean_text is null or clean_text in ('Error', ''))"
 _DOMAIN = "nullif(replace(lower(regexp_extract({}, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)), 'www.', ''), '')"
@@ -356,28 +367,27 @@ SQL = {
     "lexicon_filter": f"select doc_id, lang, n_chars from documents where regexp_matches(text, '\\b(?:{_LEX})\\b', 'i')",
     "crisis_filter": "with r as (select doc_id, " + ", ".join(f"cast(coalesce(regexp_matches(text, '{'|'.join(t)}', 'i'), false) as integer) as {n}" for n, t in (("events_term", K.CRISIS_TERMS_EVENTS), ("records_term", K.CRISIS_TERMS_RECORDS))) + " from documents) select * from r where events_term + records_term > 0",
     "keyword_freq": "with t as (select doc_id, lower(replace(coalesce(text, ''), '.', ' ')) as t from documents) select doc_id, " + ", ".join(f"cast(len(regexp_extract_all(t, '\\b(?:{'|'.join(w)})\\b')) as integer) as {c}_freq" for c, w in K.WORD_CATEGORIES.items()) + " from t",
-    "truncate_words": "select doc_id, array_to_string(string_split(trim(regexp_replace(text, '\\s+', ' ', 'g')), ' ')[1:50], ' ') as head from documents",
-    "main_country": "with c as (select doc_id, unnest(['health', 'food', 'water', 'farmers', 'market']) as name, unnest([1, 2, 3, 4, 5]) as o, lower(text) as t from documents), n as (select *, (length(t) - length(replace(t, name, ''))) // length(name) as n from c) select doc_id, case when max(n) > 0 then first(name order by n desc, o) end as main from n group by 1",
-    "demonym_injection": "with d as (select doc_id, text, list_filter([case when contains(lower(text), 'farmers union') then 'union' end, case when contains(lower(text), 'health mission') then 'mission' end, case when contains(lower(text), 'grain board') then 'board' end, case when contains(lower(text), 'water trust') then 'trust' end, case when contains(lower(text), 'union') then 'assembly' end], lambda x: x is not null) as c from documents) select doc_id, md5(case when len(c) > 0 then text || ' ' || array_to_string(list_sort(list_distinct(c)), ' ') || ' ' else text end) as digest from d",
+    "truncate_words": "select text_id, array_to_string(string_split(trim(regexp_replace(clean_text, '\\s+', ' ', 'g')), ' ')[1:500], ' ') as head from labelled_text",
+    "main_country": f"with {_WITH_DEMONYMS}, i as ({_INJECTED}), c as (select doc_id, t as name, o, lower(text) as l from i, (select unnest([{_LISTED}]) as t, unnest(range({len(COUNTRIES)})) as o)), n as (select *, (length(l) - length(replace(l, name, ''))) // length(name) as n from c) select doc_id, case when max(n) > 0 then first(name order by n desc, o) end as main from n group by 1",
+    "demonym_injection": f"with {_WITH_DEMONYMS}, i as ({_INJECTED}) select doc_id, md5(text) as digest from i",
     "url_domain": f"select {_DOMAIN.format('url')} as domain, count(*) as n from documents group by 1",
-    "blacklisted_domains": f"with a as (select article_id, clean_text, {_DOMAIN.format('sourceurl')} as domain from articles_events) select article_id, domain from a where domain is null or domain not in (select domain from a where {_FAILED} and domain is not null)",
+    "blacklisted_domains": f"with a as (select article_id, clean_text, {_DOMAIN.format('sourceurl')} as domain from articles_events), n as (select domain, count(*) filter ({_FAILED}) as failures from a where domain is not null group by 1) select article_id, a.domain, failures, coalesce(failures >= 100, true) as is_blacklisted from a left join n using (domain)",
     "normalized_names": f"select unit_id, translate(replace(trim(lower({_plain('admin2')})), '-', ' '), '''`', '') as plain, {_match('admin2')} as matched, trim(regexp_replace(regexp_replace(lower(admin1), '[^a-z0-9\\s]', ' ', 'g'), '\\s+', ' ', 'g')) as hashed from admin_units",
     "country_or_filter": "with l as (select lower(admin0) as c from (select distinct admin0 from admin_units)) select article_id, ner_admin0 from articles_events where coalesce(lower(ner_admin0) in (select c from l), false) or coalesce(lower(ner_admin1) in (select c from l), false) or coalesce(lower(ner_admin2) in (select c from l), false)",
     "mapped_features": f"with {_FEATURES} select * from feats",
     "array_collect_reduce": f"with {_FEATURES} select panel_id, {_reduced_sql()} from feats",
-    "array_cap": f"with {_FEATURES} select f.panel_id, list_transform(fatalities_count_list, lambda x: case when x > 5 then 5 else x end) as capped, coalesce(list_sum(list_transform(fatalities_count_list, lambda x: cast(coalesce(x, 0) as double))), 0.0) as total, cast(len(fatalities_count_list) > 0 as integer) as has_articles from feats f join events_panel using (panel_id) where len(fatalities_count_list) > 1 or coalesce(cs_score in (1, 2, 3, 4, 5), false)",
+    "array_cap": f"with {_FEATURES} select f.panel_id, list_transform(fatalities_count_list, lambda x: case when x > 50 then 50 else x end) as capped_as_fatalities, list_transform(fatalities_count_list, lambda x: case when x > 10 then 10 else x end) as capped_as_torture, coalesce(list_sum(list_transform(fatalities_count_list, lambda x: cast(coalesce(x, 0) as double))), 0.0) as total, cast(len(fatalities_count_list) > 0 as integer) as has_articles from feats f join events_panel using (panel_id) where len(fatalities_count_list) > 1 or coalesce(cs_score in (1, 2, 3, 4, 5), false)",
     "category_counter": f"with {_FEATURES} select panel_id, " + ", ".join(f"cast(len(list_filter(pred_impact_type_list, lambda x: x = '{c}')) as integer) as impact_{c}" for c in K.IMPACT_LABELS) + " from feats",
     "parallel_dedupe": "with p as (select panel_id, eventcode, sqldate, nummentions, list_filter(range(1, len(eventcode) + 1), lambda i: list_position(eventcode, eventcode[i]) = i) as places from events_panel) select panel_id, " + ", ".join(f"list_transform(places, lambda i: {c}[i]) as {c}" for c in ("eventcode", "sqldate", "nummentions")) + " from p",
     "flatten_parallel": "with p as (select panel_id, unnest(sourceurl) as sourceurl, generate_subscripts(sourceurl, 1) as i, eventcode, nummentions from events_panel) select panel_id, cast(i - 1 as integer) as pos, sourceurl, eventcode[i] as eventcode, cast(nummentions[i] as varchar) as nummentions from p",
     "lookup_fill_admin0": "with p as (select panel_id, case when cs_score is not null then admin0 end as admin0, admin1, admin2 from events_panel), k as (select admin1, admin2, first(admin0 order by panel_id desc) as v from p where admin0 is not null group by 1, 2) select panel_id, coalesce(p.admin0, v) as admin0, p.admin1, p.admin2 from p left join k on p.admin1 is not distinct from k.admin1 and p.admin2 is not distinct from k.admin2",
     "semi_valid_docs": "with i as (select panel_id, unnest(sourceurl) as u, generate_subscripts(sourceurl, 1) as pos from events_panel), k as (select panel_id, list(u order by pos) as l from i where u in (select sourceurl from articles_events where clean_text is not null and sourceurl is not null) group by 1) select panel_id, coalesce(l, []) as valid_sourceurl from events_panel left join k using (panel_id)",
-    "anti_processed": "select distinct u as sourceurl from (select unnest(sourceurl) as u from events_panel) where u like 'http%' and u not in (select sourceurl from articles_events where sourceurl is not null) order by 1",
+    "anti_processed": "select distinct sourceurl from gdelt_events where sourceurl like 'http%' and sourceurl not in (select sourceurl from articles_events where sourceurl is not null and clean_text not in ('Error', '')) order by 1",
     "union_by_name": "select article_id, ner_admin0, compound_score, pred_urgency, eventcode, cast(null as timestamp) as seen_at, 'events' as feed from articles_events union all select article_id, ner_admin0, compound_score, pred_urgency, null, seen_at, 'gkg' from articles_gkg",
     "country_articles": "with n as (select lower(ner_admin0) as k, count(*) as c from articles_events where ner_admin0 is not null group by 1) select admin0, coalesce(c, 0) as article_count, cast(c is not null as integer) as has_data from (select distinct admin0 from admin_units) left join n on lower(admin0) = k",
     "label_modes": "select impact_type, urgency from (select impact_type, urgency, row_number() over (partition by impact_type order by count(*) desc, urgency) as rn from labelled_text where impact_type is not null and urgency is not null group by 1, 2) where rn = 1",
     "label_flags": "select text_id, " + ", ".join(f"cast(coalesce(contains(resource, '''{r}'''), false) as integer) as resource_{r}" for r in K.RESOURCE_LABELS) + " from labelled_text",
     "token_windows": "with t as (select text_id, list_filter(string_split(regexp_replace(clean_text, '\\s+', ' ', 'g'), ' '), lambda w: w <> '') as w from labelled_text), s as (select text_id, w, unnest(range(0, len(w), 32)) as i from t) select text_id, cast(i // 32 as integer) as window, cast(least(64, len(w) - i) as integer) as n_words, w[i + 1] as first_word from s",
-    "jaccard_pairs": "with s as (select min(item_id) as id, w from (select item_id, list_sort(list_distinct(list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda x: x <> ''))) as w from eval_items) group by w) select x.id as a, y.id as b, round(len(list_intersect(x.w, y.w)) / (len(x.w) + len(y.w) - len(list_intersect(x.w, y.w))), 9) as similarity from s x join s y on x.id < y.id where len(list_intersect(x.w, y.w)) / (len(x.w) + len(y.w) - len(list_intersect(x.w, y.w))) >= 0.4",
     "area_rules": "select poly_id, lower(name_0) as name_0, lower(name_1) as name_1, lower(name_2) as name_2 from admin_polygons",
     "fuzzy_crosswalk": f"""with p as (select poly_id, name_0, {_match('name_1')} || ' ' || {_match('name_2')} as t from admin_polygons where name_1 is not null and name_2 is not null),
   u as (select unit_id, admin0, {_match('admin1')} || ' ' || {_match('admin2')} as e from admin_units),

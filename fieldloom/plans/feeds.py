@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldloom.functions import constants as K
 from fieldloom.functions import text as X
+from fieldloom.functions.arrays import row_total
 from fieldloom.operators.aggregates import collect_features
 from fieldloom.operators.joins import distinct_first, outer_merge
 from fieldloom.session import table
@@ -77,16 +78,13 @@ union all select 'code', count(*) from f where a and b and c union all select 'p
 def noise_removed(spark: SparkSession, root: str) -> DataFrame:
     """Articles joined to the greatest event code of their address, without those that are noise."""
     top = table(spark, root, "gdelt_events").filter(F.col("sourceurl").isNotNull()).groupBy("sourceurl").agg(F.max(F.col("eventcode").try_cast("int")).alias("top_code"))
-    articles = table(spark, root, "articles_events").select("article_id", "sourceurl", "header", F.col("eventcode").try_cast("int").alias("own_code"))
-    joined = articles.join(top, "sourceurl", "left")
-    code = F.coalesce("top_code", "own_code")
-    return joined.withColumn("code", code).filter(code.isNotNull() & ~code.isin(K.NOISE_CODES)).select("article_id", "sourceurl", "code")
+    joined = table(spark, root, "articles_events").select("article_id", "sourceurl").join(top, "sourceurl")
+    return joined.filter(F.col("top_code").isNotNull() & ~F.col("top_code").isin(K.NOISE_CODES)).select("article_id", "sourceurl", F.col("top_code").alias("code"))
 
 
 _NOISE = f"""
 with top as (select sourceurl, max(try_cast(eventcode as integer)) as top_code from gdelt_events where sourceurl is not null group by 1)
-select article_id, a.sourceurl, coalesce(top_code, try_cast(a.eventcode as integer)) as code from articles_events a left join top using (sourceurl)
-where coalesce(top_code, try_cast(a.eventcode as integer)) not in ({", ".join(map(str, K.NOISE_CODES))})
+select article_id, a.sourceurl, top_code as code from articles_events a join top using (sourceurl) where top_code not in ({", ".join(map(str, K.NOISE_CODES))})
 """
 
 
@@ -157,12 +155,13 @@ from r, w
 
 
 def record_tone(spark: SparkSession, root: str) -> DataFrame:
-    """Tone of a record, its size and sign."""
+    """Tone of a record, its size, that as a part of one more, and its sign."""
     tone = X.tone("v2tone")
-    return table(spark, root, "gkg_raw").select("gkgrecordid", tone.alias("tone"), F.abs(tone).alias("tone_abs"), F.coalesce(tone < 0, F.lit(False)).cast("int").alias("is_negative"))
+    return table(spark, root, "gkg_raw").select("gkgrecordid", tone.alias("tone"), F.abs(tone).alias("tone_abs"), F.round(F.abs(tone) / (F.abs(tone) + 1), 9).alias("tone_part"), F.coalesce(tone < 0, F.lit(False)).cast("int").alias("is_negative"))
 
 
 _TONE = """select gkgrecordid, try_cast(string_split(v2tone, ',')[1] as double) as tone, abs(try_cast(string_split(v2tone, ',')[1] as double)) as tone_abs,
+  round(abs(try_cast(string_split(v2tone, ',')[1] as double)) / (abs(try_cast(string_split(v2tone, ',')[1] as double)) + 1), 9) as tone_part,
   cast(coalesce(try_cast(string_split(v2tone, ',')[1] as double) < 0, false) as integer) as is_negative from gkg_raw"""
 
 
@@ -172,6 +171,19 @@ def record_counts(spark: SparkSession, root: str) -> DataFrame:
     return r.select("gkgrecordid", *X.bucket_counts("counts", entries=";").values())
 
 
+def crisis_ratios(spark: SparkSession, root: str) -> DataFrame:
+    """Ratios of the counted things of a record: casualties, aid per casualty, intensity of conflict and severity of crisis."""
+    c = record_counts(spark, root)
+    related = [b for b in K.COUNT_BUCKETS if b.endswith("_related")]
+    killed, injured = F.col("n_killed"), F.col("n_injured")
+    casualties, themes = killed + injured + F.col("n_missing"), row_total(related)
+    severe = F.col("n_food_related") + F.col("n_water_related") + F.col("n_disease_related")
+    return c.select(
+        "gkgrecordid", F.round(killed / (killed + injured + 1), 9).alias("casualty_rate"), casualties.alias("total_casualties"), F.round(F.col("usd_aid") / (casualties + 1), 9).alias("aid_per_casualty"), themes.alias("total_themes"),
+        F.round(F.col("n_conflict_related") / (themes + 1), 9).alias("conflict_intensity"), F.round(severe / (themes + 1), 9).alias("crisis_severity"),
+    )
+
+
 _BUCKET = " ".join(f"when regexp_matches(code, '{'|'.join(words)}') then '{b}'" for b, words in K.COUNT_BUCKETS.items())
 _COUNTS = (
     "with r as (select row_number() over () as id, gkgrecordid, counts from gkg_raw), e as (select id, unnest(string_split(coalesce(counts, ''), ';')) as e from r), "
@@ -182,6 +194,12 @@ _COUNTS = (
 )
 
 
+_RELATED = " + ".join(b for b in K.COUNT_BUCKETS if b.endswith("_related"))
+_CRISIS = f"""select gkgrecordid, round(n_killed / (n_killed + n_injured + 1), 9) as casualty_rate, n_killed + n_injured + n_missing as total_casualties,
+  round(usd_aid / (n_killed + n_injured + n_missing + 1), 9) as aid_per_casualty, {_RELATED} as total_themes, round(n_conflict_related / ({_RELATED} + 1), 9) as conflict_intensity,
+  round((n_food_related + n_water_related + n_disease_related) / ({_RELATED} + 1), 9) as crisis_severity from ({_COUNTS})"""
+
+
 def record_places(spark: SparkSession, root: str) -> DataFrame:
     """Coordinates of the first location in a wanted country, else of the first one."""
     place = X.first_coordinates("v2locations", K.FIPS, entries=";")
@@ -242,12 +260,12 @@ _MERGED = f"""with a as ({_SIDE.format('articles_events')}), b as ({_SIDE.format
   a.n as n_events, a.compound as compound_events, b.n as n_gkg, b.compound as compound_gkg from a full join b on a.admin0 is not distinct from b.admin0 and a.pred_urgency is not distinct from b.pred_urgency"""
 
 QUERIES = {
-    "records_by_source": records_by_source, "panels_merged": panels_merged,
+    "crisis_ratios": crisis_ratios, "records_by_source": records_by_source, "panels_merged": panels_merged,
     "events_clean": events_clean, "events_funnel": events_funnel, "noise_removed": noise_removed, "events_by_area_month": events_by_area_month, "outer_merge_indicator": outer_merge_indicator,
     "record_themes": record_themes, "record_tone": record_tone, "record_counts": record_counts, "record_places": record_places, "record_months": record_months,
 }
 SQL = {
-    "records_by_source": _BY_SOURCE, "panels_merged": _MERGED,
+    "crisis_ratios": _CRISIS, "records_by_source": _BY_SOURCE, "panels_merged": _MERGED,
     "events_clean": _EVENTS + "select globaleventid, sqldate, eventcode, event_number, country, actiongeo_lat, actiongeo_long, nummentions, dateadded from clean",
     "events_funnel": _FUNNEL, "noise_removed": _NOISE, "events_by_area_month": _BY_AREA, "outer_merge_indicator": _OUTER,
     "record_themes": _THEMES, "record_tone": _TONE, "record_counts": _COUNTS, "record_places": _PLACES, "record_months": _MONTHS,

@@ -10,7 +10,9 @@ from fieldloom.functions import constants as K
 from fieldloom.operators import baselines as B
 from fieldloom.operators import panel as P
 from fieldloom.operators import statistics as S
+from fieldloom.functions.arrays import row_mean
 from fieldloom.operators.aggregates import collect_features, guarded
+from fieldloom.operators.joins import outer_merge
 from fieldloom.session import table
 
 KEYS = ["admin0", "admin1", "admin2"]
@@ -201,9 +203,9 @@ def duplicate_keys(spark: SparkSession, root: str) -> DataFrame:
 
 
 def period_pivot(spark: SparkSession, root: str) -> DataFrame:
-    """Distinct districts with a valid score per country and year of the first feed years, as columns."""
+    """Distinct districts with a valid score per country and year of the feed, as columns."""
     p = district_panel(spark, root).filter(F.col("cs_score").isin(K.VALID_SCORES))
-    years = [str(y) for y in range(K.FIRST_YEAR, K.FIRST_YEAR + 4)]
+    years = [str(y) for y in range(K.FIRST_YEAR, K.LAST_YEAR + 1)]
     wide = p.withColumn("y", F.substring("period", 1, 4)).groupBy("admin0").pivot("y", years).agg(F.count_distinct("admin2"))
     return wide.select("admin0", *[F.coalesce(F.col(y), F.lit(0)).alias(f"y{y}") for y in years])
 
@@ -233,7 +235,37 @@ def label_any(spark: SparkSession, root: str) -> DataFrame:
     return S.any_of(t, ["impact_type"], ["urgent", "food", "long"])
 
 
+def previous_by_region(spark: SparkSession, root: str) -> DataFrame:
+    """The score class (rounded up) of the row before in the region, whose districts follow one another within a period."""
+    p = district_panel(spark, root).withColumn("score_class", F.ceil("cs_score").cast("int"))
+    w = P.by_district(["admin0", "admin1"]).orderBy("period", "admin2")
+    return p.select(*KEYS, "period", "score_class", F.lag("score_class").over(w).alias("previous_class"))
+
+
+def transitions_total(spark: SparkSession, root: str) -> DataFrame:
+    """Changes of a district's score class over all its periods, on each of its rows."""
+    p = district_panel(spark, root).withColumn("score_class", F.ceil("cs_score").cast("int"))
+    flagged = p.withColumn("flag", P.change_flag("score_class", P.by_district()))
+    return flagged.select(*KEYS, "period", F.sum("flag").over(P.W.partitionBy(*KEYS)).alias("transitions"))
+
+
+def panel_summary(spark: SparkSession, root: str) -> DataFrame:
+    return S.describe(district_panel(spark, root), ["cs_score", "articles", "mentions"])
+
+
+def combined_scores(spark: SparkSession, root: str) -> DataFrame:
+    """Scores of country and month from panel rows with and without articles: their mean, difference, and whether both are there."""
+    e = table(spark, root, "events_panel").filter(F.col("admin0").isNotNull() & F.col("period_ym").isNotNull()).withColumn("has", F.size(F.coalesce("sourceurl", F.array())) > 0)
+    side = lambda has: e.filter(F.col("has") == has).groupBy("admin0", F.col("period_ym").alias("period")).agg(F.max("cs_score").alias("score"))
+    m = outer_merge(side(True), side(False), ["admin0", "period"], ("_events", "_records"))
+    a, b = F.col("score_events"), F.col("score_records")
+    return m.select(
+        "admin0", "period", "score_events", "score_records", row_mean(["score_events", "score_records"]).alias("score_combined"), (a - b).alias("score_diff"), (a.isNotNull() & b.isNotNull()).cast("int").alias("has_both")
+    )
+
+
 QUERIES = {
+    "previous_by_region": previous_by_region, "transitions_total": transitions_total, "panel_summary": panel_summary, "combined_scores": combined_scores,
     "guarded_scores": guarded_scores, "aggregated_articles": aggregated_articles, "label_any": label_any,
     "district_panel": district_panel, "monthly_conflicts": monthly_conflicts, "lag_lead": lag_lead, "transitions_prev": transitions, "rolling_lagged": rolling_before,
     "rolling_mean_least": rolling_with_least, "expanding_anomaly": expanding_anomaly, "forecast_targets": forecast_targets, "region_mean_anomaly": region_anomaly,
@@ -329,7 +361,14 @@ SQL = {
   select bin, count(n.n) as districts from b left join n on n.n > lo and n.n <= hi group by 1""",
     "pearson_corr": f"""with {_PANEL}, p as (select cs_score, cast(articles as double) as articles, cast(mentions as double) as mentions from panel where {_VALID})
   """ + " union all ".join(f"select '{a}' as x, '{b}' as y, round(corr({a}, {b}), 9) as r from p" for a in ("cs_score", "articles", "mentions") for b in ("cs_score", "articles", "mentions")),
+    "previous_by_region": f"with {_PANEL} {_ALL}, cast(ceil(cs_score) as integer) as score_class, lag(cast(ceil(cs_score) as integer)) over (partition by admin0, admin1 order by period, admin2) as previous_class from panel",
+    "transitions_total": f"with {_PANEL}, f as (select *, coalesce(cast(ceil(cs_score) <> lag(ceil(cs_score)) over {_W} as integer), 1) as flag from panel) {_ALL}, cast(sum(flag) over (partition by admin0, admin1, admin2) as bigint) as transitions from f",
+    "panel_summary": f"with {_PANEL} " + " union all ".join(f"select '{c}' as column, count({c}) as count, round(avg({c}), 9) as mean, round(stddev_samp({c}), 9) as std, cast(min({c}) as double) as min, " + ", ".join(f"quantile_cont(cast({c} as double), 0.{q}) as p{q}" for q in (25, 50, 75)) + f", cast(max({c}) as double) as max from panel" for c in ("cs_score", "articles", "mentions")),
+    "combined_scores": """with e as (select admin0, period_ym as period, cs_score, coalesce(len(sourceurl), 0) > 0 as has from events_panel where admin0 is not null and period_ym is not null),
+  a as (select admin0, period, max(cs_score) as score_events from e where has group by 1, 2), b as (select admin0, period, max(cs_score) as score_records from e where not has group by 1, 2)
+  select admin0, period, score_events, score_records, case when score_events is null then score_records when score_records is null then score_events else (score_events + score_records) / 2 end as score_combined,
+  score_events - score_records as score_diff, cast(score_events is not null and score_records is not null as integer) as has_both from a full join b using (admin0, period)""",
     "dup_key_check": "select admin0, admin1, admin2, period_ym, count(*) as n from events_panel group by 1, 2, 3, 4 having count(*) > 1",
-    "nunique_pivot": f"with {_PANEL} select admin0, " + ", ".join(f"count(distinct admin2) filter (substr(period, 1, 4) = '{y}') as y{y}" for y in range(2016, 2020)) + f" from panel where {_VALID} group by 1",
+    "nunique_pivot": f"with {_PANEL} select admin0, " + ", ".join(f"count(distinct admin2) filter (substr(period, 1, 4) = '{y}') as y{y}" for y in range(K.FIRST_YEAR, K.LAST_YEAR + 1)) + f" from panel where {_VALID} group by 1",
     "topk_sorted": f"with {_PANEL} {_ALL}, mentions from panel order by mentions desc, admin0 nulls last, admin1 nulls last, admin2, period limit 20",
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,13 +39,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The checkpoint folder of the session.
 
     A cluster names a folder all executors share in ``spark.checkpoint.dir``; that
-    one is used. Only where none is set (local tests) a temporary one is made.
+    one is used. Only where none is set and all runs in one process (tests) a temporary
+    one is made; on a cluster that is an error, as executors couldn't read it.
     """
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
+    if not named and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     folder = named or tempfile.mkdtemp(prefix="fieldloom-checkpoint-")
     sc.setCheckpointDir(folder)
     return folder

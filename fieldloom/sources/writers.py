@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from fieldloom.schemas import WIDE_RECORD_COLUMNS
 
 
-def by_period(df: DataFrame, path: str, period: str = "period") -> None:
+def by_period(df: DataFrame, path: str, period: str = "period", files: int = 8) -> None:
     """Parquet with one folder per period; only the periods in ``df`` are replaced.
 
-    Rows of a period are brought together first, spread over a few tasks by a hash, so a
-    busy month isn't one task's work.
+    Rows of a period are brought together first, spread over ``files`` tasks by a hash, so a
+    busy month isn't one task's work: as many as make files of the size wanted.
     """
-    spread = df.withColumn("__s", F.pmod(F.xxhash64(*[c for c in df.columns if c != period]), F.lit(8)))
+    spread = df.withColumn("__s", F.pmod(F.xxhash64(*[c for c in df.columns if c != period]), F.lit(files)))
     laid = spread.repartition(period, "__s").drop("__s")
     laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(period).parquet(path)
 
