@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -222,3 +223,55 @@ def deduplicate_by_minhash(df: DataFrame, key: str, text: str, threshold: float
     theirs too, so the links are taken from it alone and none is lost.
     """
     return _resolve(df, key, text, token_set(text), threshold)
+
+
+def numbered(df: DataFrame, order: str) -> DataFrame:
+    """``df`` with ``place``, from 0 in ``order``, without bringing all rows to one task: sorted by ranges, numbered within each and moved on by the rows before it."""
+    laid = reliable_checkpoint(df.repartitionByRange(order).sortWithinPartitions(order).withColumn("__m", F.monotonically_increasing_id()))
+    part, at = F.shiftright("__m", 33), F.col("__m").bitwiseAND((1 << 33) - 1)
+    before, rows = 0, []
+    for r in laid.groupBy(part.alias("p")).agg(F.count("*").alias("n")).orderBy("p").toLocalIterator():  # one row per task
+        rows.append((r.p, before))
+        before += r.n
+    starts = df.sparkSession.createDataFrame(rows, "__p bigint, __start bigint")
+    return laid.withColumn("__p", part).join(F.broadcast(starts), "__p").withColumn("place", at + F.col("__start")).drop("__m", "__p", "__start")
+
+
+def _window_pairs(threshold: float, window: int):
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("place")
+        places, sets = rows["place"].tolist(), [frozenset(x) for x in rows["items"]]
+        often = Counter(w for s in sets for w in s)
+        met: dict[int, list[int]] = {}
+        out = []
+        for j, s in enumerate(sets):
+            if not s:
+                continue
+            rare = sorted(s, key=lambda w: (often[w], w))[: len(s) - math.ceil(len(s) * threshold - 1e-9) + 1]
+            for i in {i for w in rare for i in met.get(w, ())}:
+                t = sets[i]
+                if places[i] // window == key[0] and places[j] - places[i] < window and min(len(s), len(t)) >= threshold * max(len(s), len(t)) - 1e-9:
+                    both = len(s & t)
+                    if both / (len(s) + len(t) - both) >= threshold - 1e-12:
+                        out.append((places[i], places[j]))
+            for w in rare:
+                met.setdefault(w, []).append(j)
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    return run
+
+
+def deduplicate_in_window(df: DataFrame, key: str, text: str, threshold: float = 0.9, window: int = 1000) -> DataFrame:
+    """``key`` and ``is_kept``: a row goes if an earlier kept one of the ``window - 1`` before it, in the order of ``key``, has a similar word set.
+
+    Rows are cut into blocks of ``window`` places; each block meets itself and the next one
+    in a task, so a task has two windows of rows at most whatever the texts. Null, empty and
+    blank texts are kept; null keys are left out.
+    """
+    sets = df.filter(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.transform(F.coalesce(token_set(text), F.array().cast("array<string>")), lambda w: F.xxhash64(w)).alias("items"))
+    rows = reliable_checkpoint(numbered(sets, "key"))
+    own = F.floor(F.col("place") / window).cast("bigint")
+    blocks = rows.select("place", "items", F.explode(F.filter(F.array(own, own - 1), lambda b: b >= 0)).alias("block"))
+    pairs = blocks.groupBy("block").applyInPandas(_window_pairs(threshold, window), "a bigint, b bigint")
+    state = first_wins(pairs)
+    return rows.join(state, rows["place"] == state["id"], "left").select(F.col("key").alias(key), F.coalesce("kept", F.lit(True)).alias("is_kept"))

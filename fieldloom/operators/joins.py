@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from fieldloom.functions.similarity import weighted
+
 
 def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     """Equality of all keys with null equal to null; still a hashable equi-join."""
@@ -84,18 +87,32 @@ def unprocessed(df: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return df.join(done.select(key).distinct(), key, "left_anti")
 
 
-def best_text_match(left: DataFrame, right: DataFrame, block: str, left_key: str, left_text: str, right_key: str, right_text: str, least: float = 0.5) -> DataFrame:
-    """``left_key``, ``right_key``, ``score``: the most similar reference entry of the same block.
+def best_text_match(left: DataFrame, right: DataFrame, block: str, left_key: str, left_text: str, right_key: str, right_text: str, least: float = 50.0, entries_per_task: int = 5_000, names_per_task: int = 5_000) -> DataFrame:
+    """``left_key``, ``right_key``, ``score``: the reference entry of the same block that is most alike by ``similarity.weighted`` (0 to 100).
 
     ``right`` is the reference list; distinct texts of ``left`` are compared with the
-    entries of their block only. The score is 1 less the edit distance over the longer
-    length, the better of the texts as they are and with their words sorted; below ``least``
-    there is no row; on a tie the smallest ``right_key`` wins.
+    entries of their block, as the score has no cheaper bound. Blocks are cut into parts of
+    about ``names_per_task`` names and ``entries_per_task`` entries that meet in one task, in
+    which only the best entry of a name is kept, so no pairs are written. Below ``least``
+    there is no row; on a tie the smallest ``right_key`` wins. Null texts and blocks match
+    nothing, empty texts neither.
     """
-    ordered = lambda c: F.array_join(F.array_sort(F.split(c, " ")), " ")
-    near = lambda a, b: 1 - F.try_divide(F.levenshtein(a, b), F.greatest(F.length(a), F.length(b), F.lit(1)))
-    q = left.select(F.col(block).alias("b"), F.col(left_text).alias("t")).distinct()
-    r = right.select(F.col(block).alias("b"), F.col(right_key).alias("k"), F.col(right_text).alias("e"))
-    scored = q.join(r, "b").withColumn("s", F.round(F.greatest(near(F.col("t"), F.col("e")), near(ordered(F.col("t")), ordered(F.col("e")))), 6)).filter(F.col("s") >= least)
-    best = scored.groupBy("b", "t").agg(F.min(F.struct((-F.col("s")).alias("n"), "k")).alias("x"))
-    return left.join(best, (left[block] == best["b"]) & (left[left_text] == best["t"])).select(left[left_key], F.col("x.k").alias(right_key), (-F.col("x.n")).alias("score"))
+    q = left.select(F.col(block).alias("b"), F.col(left_text).alias("t")).filter(F.col("b").isNotNull() & (F.length("t") > 0)).distinct()
+    r = right.select(F.col(block).alias("b"), F.col(right_key).cast("bigint").alias("k"), F.col(right_text).alias("e")).filter(F.col("b").isNotNull() & (F.length("e") > 0)).distinct()
+    parts = lambda df, n: max(1, -(-(df.groupBy("b").count().agg(F.max("count")).first()[0] or 0) // n))
+    x, y = parts(q, names_per_task), parts(r, entries_per_task)
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
+    names = q.withColumn("x", F.pmod(F.xxhash64("t"), F.lit(x))).withColumn("y", every(y))
+    entries = r.withColumn("y", F.pmod(F.xxhash64("e"), F.lit(y))).withColumn("x", every(x))
+
+    def best(key: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        listed, out = sorted(zip(b["k"], b["e"])), []
+        for t in a["t"]:
+            score, k = max(((round(weighted(t, e), 6), -k) for k, e in listed), default=(0.0, 0))
+            if score >= least:
+                out.append((key[0], t, -k, score))
+        return pd.DataFrame(out, columns=["b", "t", "k", "s"])
+
+    met = names.groupBy("b", "x", "y").cogroup(entries.groupBy("b", "x", "y")).applyInPandas(best, "b string, t string, k bigint, s double")
+    top = met.groupBy("b", "t").agg(F.min(F.struct((-F.col("s")).alias("n"), "k")).alias("best"))
+    return left.join(top, (left[block] == top["b"]) & (left[left_text] == top["t"])).select(left[left_key], F.col("best.k").alias(right_key), (-F.col("best.n")).alias("score"))

@@ -14,7 +14,9 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldloom.functions.text import token_windows
 from fieldloom.operators.baselines import balanced_weights
+from fieldloom.operators.statistics import any_of, mode_of
 
 
 def encoder(categories: Sequence[str], numbers: Sequence[str], scale: str | None = "minmax") -> list:
@@ -68,6 +70,21 @@ def grid_search(train: DataFrame, label: str, categories: Sequence[str], numbers
     return CrossValidator(estimator=pipeline, estimatorParamMaps=grid, evaluator=rated, numFolds=folds, seed=seed).fit(ready)
 
 
+def grid_scores(searched, spark) -> DataFrame:
+    """``depth``, ``trees``, ``f1`` (mean over the folds) of each setting of a ``grid_search``."""
+    rows = [(*(int(v) for _, v in sorted((p.name, v) for p, v in setting.items())), float(m)) for setting, m in zip(searched.getEstimatorParamMaps(), searched.avgMetrics)]
+    return spark.createDataFrame(rows, "depth int, trees int, f1 double")
+
+
+def save_model(model: PipelineModel, path: str) -> None:
+    """The fitted pipeline, encoders and labels with it, in a folder; what was there is replaced."""
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
 def _ready(df: DataFrame, categories: Sequence[str], numbers: Sequence[str]) -> DataFrame:
     return df.na.fill("(none)", list(categories)).na.fill(0, list(numbers))
 
@@ -85,9 +102,9 @@ def importances(model: PipelineModel, names: Sequence[str], spark, least: float
 
 def fit_text_head(df: DataFrame, text: str, label: str, features: int = 1 << 14) -> PipelineModel:
     """TF-IDF and logistic regression for one label of a text: stands in for a fine-tuned language model, with the same output."""
-    ready = df.filter(F.col(text).isNotNull() & F.col(label).isNotNull())
+    ready = df.filter(F.col(text).isNotNull() & F.col(label).isNotNull()).withColumn("__text", F.col(text))
     stages = [
-        StringIndexer(inputCol=label, outputCol="__label", stringOrderType="alphabetAsc"), Tokenizer(inputCol=text, outputCol="__t"),
+        StringIndexer(inputCol=label, outputCol="__label", stringOrderType="alphabetAsc"), Tokenizer(inputCol="__text", outputCol="__t"),
         HashingTF(inputCol="__t", outputCol="__tf", numFeatures=features), IDF(inputCol="__tf", outputCol="features"), LogisticRegression(labelCol="__label", maxIter=20),
     ]
     return Pipeline(stages=stages).fit(ready)
@@ -97,13 +114,34 @@ def predict_label(model: PipelineModel, df: DataFrame, text: str, out: str) -> D
     """``df`` with ``out``: the label of highest probability; null for null texts."""
     labels = model.stages[0].labels
     names = F.array(*[F.lit(x) for x in labels])
-    scored = Pipeline(stages=[]).fit(df).transform(df.filter(F.col(text).isNotNull()))
+    scored = df.filter(F.col(text).isNotNull()).withColumn("__text", F.col(text))
     for stage in model.stages[1:]:
         scored = stage.transform(scored)
     known = scored.withColumn(out, F.get(names, F.col("prediction").cast("int"))).select(*df.columns, out)
     return known.unionByName(df.filter(F.col(text).isNull()), allowMissingColumns=True)
 
 
+def chunk_votes(df: DataFrame, key: str, text: str, heads: dict[str, PipelineModel], flags: dict[str, PipelineModel] | None = None, size: int = 512, stride: int = 256) -> DataFrame:
+    """One row per text: for each of ``heads`` the label most of its chunks have (the smallest on a tie), for each of ``flags`` 1 if a chunk has the label ``1``.
+
+    Chunks are windows of ``size`` words, one starting at every ``stride``-th. Null and blank
+    texts have null labels and flags of 0. Chunks of a text are brought together by its key
+    with what was predicted only; a very long text has many chunks, but they're counted, not
+    collected.
+    """
+    words = F.filter(F.split(F.regexp_replace(text, r"\s+", " "), " "), lambda w: w != "")
+    chunks = df.select(key, F.posexplode(token_windows(words, size, stride)).alias("chunk", "w")).select(key, F.array_join("w", " ").alias("__text"))
+    flags = flags or {}
+    for name, model in {**heads, **flags}.items():
+        chunks = predict_label(model, chunks, "__text", name)
+    out = df.select(key).distinct()
+    for name in heads:
+        out = out.join(mode_of(chunks, [key], name), key, "left")
+    if flags:
+        out = out.join(any_of(chunks.select(key, *[(F.col(n) == "1").cast("int").alias(n) for n in flags]), [key], list(flags)), key, "left")
+    return out.select(key, *heads, *[F.coalesce(n, F.lit(0)).alias(n) for n in flags])
+
+
 def topics(df: DataFrame, embedding: str, k: int = 10, least: int = 50, seed: int = 42) -> DataFrame:
     """``df`` with ``topic`` by k-means on embeddings; -1 for all where there are fewer than ``least`` rows."""
     if df.limit(least).count() < least:

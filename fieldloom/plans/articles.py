@@ -9,7 +9,6 @@ from fieldloom.functions import arrays as A
 from fieldloom.functions import constants as K
 from fieldloom.functions import text as X
 from fieldloom.operators import dedupe as D
-from fieldloom.operators import geo as G
 from fieldloom.operators import joins as J
 from fieldloom.operators import statistics as S
 from fieldloom.session import table
@@ -234,30 +233,9 @@ def minhash_dedupe(spark: SparkSession, root: str) -> DataFrame:
     return D.deduplicate_by_minhash(table(spark, root, "documents").select("doc_id", "text"), "doc_id", "text")
 
 
-def nearest_area(spark: SparkSession, root: str) -> DataFrame:
-    """The nearest polygon of every event; null columns where it has no valid coordinates."""
-    events = table(spark, root, "gdelt_events")
-    found = G.nearest_area(events, "globaleventid", "actiongeo_lat", "actiongeo_long", table(spark, root, "admin_polygons"))
-    return found.select("globaleventid", "area_id", F.round("distance_m", 3).alias("distance_m"))
-
-
-def largest_parts(spark: SparkSession, root: str) -> DataFrame:
-    """Corners of the largest ring of every polygon."""
-    return table(spark, root, "admin_polygons").select("poly_id", F.size(G.largest_part("geometry")).alias("corners"), F.size("geometry").alias("rings"))
-
-
-def area_rules(spark: SparkSession, root: str) -> DataFrame:
-    """Area names after the renaming rules."""
-    p = table(spark, root, "admin_polygons").select("poly_id", F.lower("name_0").alias("name_0"), F.lower("name_1").alias("name_1"), F.lower("name_2").alias("name_2"))
-    return G.align_areas(p)
-
-
-def fuzzy_crosswalk(spark: SparkSession, root: str) -> DataFrame:
-    """The unit of the list most like each polygon's region and district, at least half alike."""
-    whole = lambda a, b: F.concat_ws(" ", X.normalize_for_match(a), X.normalize_for_match(b))
-    p = table(spark, root, "admin_polygons").filter(F.col("name_1").isNotNull() & F.col("name_2").isNotNull()).select("poly_id", F.col("name_0").alias("country"), whole("name_1", "name_2").alias("t"))
-    u = table(spark, root, "admin_units").select("unit_id", F.col("admin0").alias("country"), whole("admin1", "admin2").alias("e"))
-    return J.best_text_match(p, u, "country", "poly_id", "t", "unit_id", "e")
+def windowed_duplicates(spark: SparkSession, root: str) -> DataFrame:
+    """Which documents survive where only the next 999 in the order of ids are compared: word sets 0.9 alike."""
+    return D.deduplicate_in_window(table(spark, root, "documents").select("doc_id", "text"), "doc_id", "text")
 
 
 def ratio_features(spark: SparkSession, root: str) -> DataFrame:
@@ -323,8 +301,8 @@ QUERIES = {
     "array_collect_reduce": array_reducers, "array_cap": capped_arrays, "category_counter": category_counter, "parallel_dedupe": parallel_dedupe, "flatten_parallel": flatten_parallel,
     "lookup_fill_admin0": fill_country, "semi_valid_docs": semi_valid, "anti_processed": anti_processed, "union_by_name": union_by_name, "country_articles": country_articles,
     "label_modes": label_modes, "label_flags": label_flags, "text_features": text_features, "cleaned_words": cleaned_words, "token_windows": token_windows, "found_places": found_places,
-    "near_duplicates": near_duplicates, "shingle_duplicates": shingle_duplicates, "minhash_dedupe": minhash_dedupe, "nearest_area": nearest_area,
-    "largest_parts": largest_parts, "area_rules": area_rules, "fuzzy_crosswalk": fuzzy_crosswalk, "ratio_features": ratio_features,
+    "near_duplicates": near_duplicates, "shingle_duplicates": shingle_duplicates, "minhash_dedupe": minhash_dedupe,
+    "windowed_duplicates": windowed_duplicates, "ratio_features": ratio_features,
 }
 
 
@@ -336,14 +314,6 @@ def _match(c: str) -> str:
     return f"trim(regexp_replace(regexp_replace(regexp_replace(lower({_plain(c)}), '\\bal\\b', '', 'g'), '[^a-z0-9 ]', ' ', 'g'), '\\s+', ' ', 'g'))"
 
 
-def _sorted_words(c: str) -> str:
-    return f"array_to_string(list_sort(string_split({c}, ' ')), ' ')"
-
-
-def _near(a: str, b: str) -> str:
-    return f"(1 - levenshtein({a}, {b}) / greatest(length({a}), length({b}), 1))"
-
-
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -388,11 +358,6 @@ SQL = {
     "label_modes": "select impact_type, urgency from (select impact_type, urgency, row_number() over (partition by impact_type order by count(*) desc, urgency) as rn from labelled_text where impact_type is not null and urgency is not null group by 1, 2) where rn = 1",
     "label_flags": "select text_id, " + ", ".join(f"cast(coalesce(contains(resource, '''{r}'''), false) as integer) as resource_{r}" for r in K.RESOURCE_LABELS) + " from labelled_text",
     "token_windows": "with t as (select text_id, list_filter(string_split(regexp_replace(clean_text, '\\s+', ' ', 'g'), ' '), lambda w: w <> '') as w from labelled_text), s as (select text_id, w, unnest(range(0, len(w), 32)) as i from t) select text_id, cast(i // 32 as integer) as window, cast(least(64, len(w) - i) as integer) as n_words, w[i + 1] as first_word from s",
-    "area_rules": "select poly_id, lower(name_0) as name_0, lower(name_1) as name_1, lower(name_2) as name_2 from admin_polygons",
-    "fuzzy_crosswalk": f"""with p as (select poly_id, name_0, {_match('name_1')} || ' ' || {_match('name_2')} as t from admin_polygons where name_1 is not null and name_2 is not null),
-  u as (select unit_id, admin0, {_match('admin1')} || ' ' || {_match('admin2')} as e from admin_units),
-  s as (select poly_id, unit_id, round(greatest({_near('t', 'e')}, {_near(_sorted_words('t'), _sorted_words('e'))}), 6) as score from p join u on name_0 = admin0)
-  select poly_id, unit_id, score from (select *, row_number() over (partition by poly_id order by score desc, unit_id) as rn from s where score >= 0.5) where rn = 1""",
     "ratio_features": """with e as (select *, coalesce(nummentions, 0) as m, coalesce(numsources, 0) as s, coalesce(numarticles, 0) as a from gdelt_events where globaleventid is not null)
   select distinct globaleventid, round(m / (s + 1), 9) as mentions_per_source, round(a / (s + 1), 9) as articles_per_source, cast(m * s as bigint) as coverage, round(ln(1 + greatest(m, 0)), 9) as log_mentions,
   round(abs(avgtone) / (abs(avgtone) + 1), 9) as tone_part, cast(m + s as bigint) as total,

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldloom.plans import articles, data_problems, feeds, models, panels
+from fieldloom.plans import articles, data_problems, feeds, mapping, models, panels
 
-MODULES = [data_problems, feeds, panels, articles, models]
+MODULES = [data_problems, feeds, mapping, panels, articles, models]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

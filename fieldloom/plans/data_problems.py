@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fieldloom.operators.packed import FEED_LAYOUTS, unpack_fields
 from fieldloom.operators.rolling import latest_revisions, trailing_totals
 from fieldloom.operators.spatial import locate
+from fieldloom.plans.mapping import _EDGES, _SPOTS
 from fieldloom.session import table
 
 WINDOWS = (7, 30)
@@ -75,4 +76,9 @@ SQL = {
     "p2_averages": _DAYS
     + """select region, day, conflicts_7, conflicts_30, fatalities_7, fatalities_30, round(conflicts_7 / 7.0, 9) as conflicts_7_avg, round(conflicts_30 / 30.0, 9) as conflicts_30_avg,
     round(fatalities_7 / 7.0, 9) as fatalities_7_avg, round(fatalities_30 / 30.0, 9) as fatalities_30_avg from totals""",
+    "p7_found": f"""with {_EDGES}, {_SPOTS},
+  near as (select lat, lon, site_id from spots s join (select site_id, lat as slat, lon as slon from market_sites) on abs(lat - slat) < 0.1
+    where 2 * 6371.0 * asin(sqrt(least(1.0, sin(radians(slat - lat) / 2) ** 2 + cos(radians(lat)) * cos(radians(slat)) * sin(radians(slon - lon) / 2) ** 2))) <= 10),
+  met as (select 'near' as kind, lat, lon, site_id as ref_id from near union all select 'in', lat, lon, poly_id from inside)
+  select distinct kind, globaleventid, ref_id from gdelt_events join met on actiongeo_lat = lat and actiongeo_long = lon where globaleventid is not null""",
 }

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldloom.functions import constants as K
+from fieldloom.functions.arrays import parse_text_list
 from fieldloom.operators import baselines as B
 from fieldloom.operators import learning as L
 from fieldloom.operators import panel as P
@@ -52,6 +53,32 @@ def model_forest(spark: SparkSession, root: str) -> DataFrame:
     return _forecast(spark, root, "forest")
 
 
+def model_boosted(spark: SparkSession, root: str) -> DataFrame:
+    return _forecast(spark, root, "boosted")
+
+
+def model_grid(spark: SparkSession, root: str) -> DataFrame:
+    """Mean weighted F1 over the folds of each setting of a forest; no row without labelled rows."""
+    data = features(spark, root)
+    if data.isEmpty():
+        return spark.createDataFrame([], "depth int, trees int, f1 double")
+    return L.grid_scores(L.grid_search(data, "target", CATEGORIES, NUMBERS, depths=(4, 8), trees=(10, 20), folds=2), spark).select("depth", "trees", F.round("f1", 6).alias("f1"))
+
+
+def text_votes(spark: SparkSession, root: str) -> DataFrame:
+    """Impact, urgency and resources of every labelled text, voted by its chunks; three heads fitted on the training side."""
+    t = S.stratified_split(table(spark, root, "labelled_text").select("text_id", "clean_text", "impact_type", "urgency", "resource"), "text_id", "urgency")
+    train = t.filter("is_train = 1")
+    heads = {name: L.fit_text_head(train, "clean_text", name) for name in ("impact_type", "urgency")}
+    held = parse_text_list(F.coalesce("resource", F.lit("")))
+    flags = {}
+    for r in K.RESOURCE_LABELS:
+        marked = train.select("clean_text", F.array_contains(held, r).cast("int").cast("string").alias("y"))
+        if marked.select("y").distinct().count() == 2:
+            flags[f"resource_{r}"] = L.fit_text_head(marked, "clean_text", "y", 1 << 12)
+    return L.chunk_votes(t, "text_id", "clean_text", heads, flags)
+
+
 def improvement(spark: SparkSession, root: str) -> DataFrame:
     """What the model gains on the last score, per measure."""
     s = _forecast(spark, root, "logistic")
@@ -76,5 +103,5 @@ def embedding_topics(spark: SparkSession, root: str) -> DataFrame:
     return L.topics(table(spark, root, "embeddings"), "embedding").select("vec_id", "label", "topic")
 
 
-QUERIES = {"model_logistic": model_logistic, "model_forest": model_forest, "model_improvement": improvement, "forest_importances": forest_importances, "text_head": text_head, "embedding_topics": embedding_topics}
+QUERIES = {"model_logistic": model_logistic, "model_forest": model_forest, "model_boosted": model_boosted, "model_grid": model_grid, "text_votes": text_votes, "model_improvement": improvement, "forest_importances": forest_importances, "text_head": text_head, "embedding_topics": embedding_topics}
 SQL: dict[str, str] = {}

@@ -75,6 +75,12 @@ def names_map(spark: SparkSession, path: str) -> DataFrame:
     return pairs.filter(F.col("old").isNotNull())
 
 
+def concept_lexicon(spark: SparkSession, path: str) -> DataFrame:
+    """A JSON object of concepts and their phrases as a table ``concept, phrase`` (trimmed, lower case, distinct)."""
+    pairs = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "map<string,array<string>>")).alias("concept", "p"))
+    return pairs.select("concept", F.explode("p").alias("p")).select("concept", F.lower(F.trim("p")).alias("phrase")).filter("phrase <> ''").distinct()
+
+
 def labelled_csv(spark: SparkSession, path: str) -> DataFrame:
     """Labelled texts; ``resource``, a list stored as text, becomes an array."""
     from fieldloom.functions.arrays import parse_text_list

@@ -34,6 +34,8 @@ def test_lists(spark, tmp_path):
     assert R.theme_list(spark, str(tmp_path / "t.csv")) == ["A", "B"] and R.theme_list(spark, str(tmp_path / "none.csv")) == []
     (tmp_path / "m.json").write_text('{"a": "b",\n "b": "a"}')
     assert {tuple(r) for r in R.names_map(spark, str(tmp_path / "m.json")).collect()} == {("a", "b"), ("b", "a")}
+    (tmp_path / "c.json").write_text('{"Aid": ["Food aid ", "relief", "relief"], "None": []}')
+    assert {tuple(r) for r in R.concept_lexicon(spark, str(tmp_path / "c.json")).collect()} == {("Aid", "food aid"), ("Aid", "relief")}
     (tmp_path / "d.csv").write_text("clean_text,impact_type,resource\nhello,death,\"['food', 'water']\"\n")
     assert R.labelled_csv(spark, str(tmp_path / "d.csv")).first().resource == ["food", "water"]
 
@@ -83,3 +85,25 @@ def test_stream_equals_batch(spark, tmp_path):
     q = feeds.upsert_periods(stream.withColumn("period", F.date_format("ts", "yyyyMM")), str(tmp_path / "out"), str(tmp_path / "cp3"))
     q.awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 80
+
+
+def test_feed_to_area_months(spark, tmp_path):
+    from fieldloom.plans.mapping import write_area_months
+
+    at = schemas.EVENT_COLUMNS.index
+
+    def line(i, lat, lon, date, country="UG"):
+        row = event_line(i, "010", lat, date).split("\t")
+        row[at("actiongeo_long")], row[at("actiongeo_countrycode")], row[at("event_year")], row[at("dateadded")] = lon, country, date[:4], date
+        return "\t".join(row)
+
+    box = lambda x: [[{"lon": float(a + x), "lat": float(b)} for a, b in ((0, 0), (2, 0), (2, 2), (0, 2), (0, 0))]]
+    areas = spark.createDataFrame([(1, "Uganda", "Apac", "Maruzi", box(0)), (2, "Uganda", "Kampála", "Kampala", box(10))], "poly_id bigint, name_0 string, name_1 string, name_2 string, geometry array<array<struct<lon:double,lat:double>>>")
+    feed, out = tmp_path / "feed", str(tmp_path / "out")
+    feed.mkdir()
+    (feed / "20200102.csv").write_text("\n".join([line(1, "1", "1", "20200102"), line(1, "1", "1", "20200102"), line(2, "1", "9", "20200103"), line(3, "1", "1", "20200103", "FR"), "\t" * 57]) + "\n")
+    assert write_area_months(spark, str(feed), areas, out) == ["202001"]
+    (feed / "20200201.csv").write_text("\n".join([line(4, "1", "11", "20200201"), line(5, "1", "1", "20200104")]) + "\n")
+    assert write_area_months(spark, str(feed), areas, out) == ["202002"]
+    got = {(r.name_0, r.name_1, r.name_2, str(r.period), r.n, r.mentions) for r in spark.read.parquet(out).collect()}
+    assert got == {("uganda", "northern", "apac", "202001", 1, 3), ("uganda", "central", "kampala", "202001", 1, 3), ("uganda", "central", "kampala", "202002", 1, 3)}

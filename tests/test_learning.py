@@ -30,6 +30,7 @@ def test_forest_and_importances(spark, rows):
 
 def test_grid(rows):
     best = L.grid_search(rows, "y", ["k"], ["x"], depths=(1, 4), trees=(3,), folds=2)
+    assert {(r.depth, r.trees) for r in L.grid_scores(best, rows.sparkSession).collect()} == {(1, 3), (4, 3)}
     assert len(best.avgMetrics) == 2 and best.bestModel.stages[-1].getMaxDepth() == 4
 
 
@@ -53,3 +54,20 @@ def test_guarded_scores_hold_nothing_of_the_tested_period(spark):
     df = spark.createDataFrame([("a", "1", 2.0), ("a", "2", 66.0), ("a", "3", 4.0), ("b", "3", 1.0)], "k string, period string, s double")
     got = {(r.k, r.period): r.known_score for r in guarded(df, ["k"], "s", "period", "3").collect()}
     assert got == {("a", "1"): 2.0, ("a", "2"): 66.0, ("a", "3"): 2.0, ("b", "3"): None}
+
+
+def test_save_and_load(spark, rows, tmp_path):
+    model = L.fit_classifier(rows, "y", ["k"], ["x"], "forest")
+    L.save_model(model, str(tmp_path / "m"))
+    L.save_model(model, str(tmp_path / "m"))
+    again = L.load_model(str(tmp_path / "m"))
+    got = [sorted((r.id, r.predicted) for r in L.predict(m, rows, ["k"], ["x"]).collect()) for m in (model, again)]
+    assert got[0] == got[1]
+
+
+def test_chunk_votes(spark):
+    train = spark.createDataFrame([(w, k, f) for w, k, f in [("war attack", "a", "1"), ("rain storm", "b", "0"), ("food crop", "c", "0")] for _ in range(10)], "t string, k string, f string")
+    heads, flags = {"kind": L.fit_text_head(train, "t", "k", 1 << 8)}, {"flag": L.fit_text_head(train, "t", "f", 1 << 8)}
+    texts = [(1, "war attack " * 4 + "rain storm " * 2), (2, "rain storm " * 4 + "war attack"), (3, None), (4, " "), (5, "food crop")]
+    got = {r.id: tuple(r)[1:] for r in L.chunk_votes(spark.createDataFrame(texts, "id int, t string"), "id", "t", heads, flags, size=2, stride=2).collect()}
+    assert got == {1: ("a", 1), 2: ("b", 1), 3: (None, 0), 4: (None, 0), 5: ("c", 0)}

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from fieldloom.functions import similarity as sim
 from fieldloom.operators import baselines as B
 from fieldloom.operators import dedupe as D
 from fieldloom.operators import geo as G
@@ -69,10 +70,10 @@ def test_lookups(spark):
     assert {(r.i, r.c) for r in filled} == {(1, "D"), (2, "C"), (3, "E")}
 
 
-def test_best_text_match(spark):
+def test_best_text_match_in_its_block(spark):
     left = spark.createDataFrame([(1, "x", "abc def"), (2, "x", "zzz"), (3, "y", "abc def")], "id int, b string, t string")
     right = spark.createDataFrame([(10, "x", "def abc"), (11, "x", "abc dex"), (12, "x", "def abc")], "k int, b string, e string")
-    assert [tuple(r) for r in J.best_text_match(left, right, "b", "id", "t", "k", "e").collect()] == [(1, 10, 1.0)]
+    assert [tuple(r) for r in J.best_text_match(left, right, "b", "id", "t", "k", "e").collect()] == [(1, 10, 95.0)]
 
 
 def jaccard(a, b):
@@ -226,3 +227,61 @@ def test_statistics(spark):
     assert all(abs(m - 0.8) < 0.04 for m in shares)
     t = B.trimmed_summary(spark.createDataFrame([("m", x) for x in (1.0, 2.0, 3.0, 10.0)], "model string, v double"), "v", ["model"]).first()
     assert (t.mean, t.trimmed_mean, t.range) == (4.0, 2.5, 9.0)
+
+
+def test_weighted_ratio():
+    assert sim.ratio("this is a test", "this is a test!") == pytest.approx(96.55, abs=0.01) and sim.partial("this is a test", "this is a test!") == 100
+    assert sim.weighted("fuzzy wuzzy was a bear", "wuzzy fuzzy was a bear") == 95 and sim.by_words("fuzzy was a bear", "fuzzy fuzzy was a bear") == 100
+    assert sim.weighted("", "a") == 0 and sim.weighted("same", "same") == 100 and sim.weighted("north kelimot", "kelimot") == pytest.approx(90) and 0 < sim.weighted("abc", "xbz") < 50
+    rng = random.Random(1)
+    for _ in range(200):
+        a, b = ("".join(rng.choice("abc") for _ in range(rng.randrange(8))) for _ in range(2))
+        d = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i in range(1, len(a) + 1):
+            for j in range(1, len(b) + 1):
+                d[i][j] = d[i - 1][j - 1] + 1 if a[i - 1] == b[j - 1] else max(d[i - 1][j], d[i][j - 1])
+        assert sim.common(a, b) == d[-1][-1]
+
+
+def test_best_text_match(spark):
+    rng = random.Random(2)
+    words = ["north", "kelimot", "bar", "baruvan", "old", "dola"]
+    text = lambda: " ".join(rng.choice(words) for _ in range(rng.randrange(1, 4)))
+    left = [(i, rng.choice("xyz"), text()) for i in range(60)] + [(100, None, "old"), (101, "x", None), (102, "x", ""), (103, "nowhere", "old"), (0, "x", "old bar")]
+    right = [(i, rng.choice("xy"), text()) for i in range(40)] + [(40, "x", None), (3, None, "old")]
+    best = lambda **o: sorted(tuple(r) for r in J.best_text_match(spark.createDataFrame(left, "id int, c string, t string"), spark.createDataFrame(right, "u int, c string, e string"), "c", "id", "t", "u", "e", **o).collect())
+    want = []
+    for i, c, t in left:
+        s = [(round(sim.weighted(t, e), 6), -u) for u, d, e in right if c and t and c == d and e]
+        if s and max(s)[0] >= 50:
+            want.append((i, -max(s)[1], max(s)[0]))
+    assert best() == sorted(want) and best(entries_per_task=7, names_per_task=5) == sorted(want) and len(want) > 30
+
+
+def test_window_dedupe(spark):
+    rng = random.Random(7)
+    base = [" ".join(f"w{rng.randrange(400)}" for _ in range(30)) for _ in range(12)]
+    rows = []
+    for i in range(300):
+        t = rng.choice(base).split()
+        if rng.random() < 0.5:
+            t[rng.randrange(30)] = "new"
+        rows.append((i * 3, rng.choice([" ".join(t)] * 9 + [None, "", " "])))
+    got = {r.id: r.is_kept for r in D.deduplicate_in_window(spark.createDataFrame(rows, "id int, t string").repartition(5), "id", "t", 0.9, 20).collect()}
+    kept = {}
+    for n, (i, t) in enumerate(rows):
+        s = set((t or "").split())
+        kept[i] = not any(kept[j] and s and (o := set((u or "").split())) and len(s & o) / len(s | o) >= 0.9 for j, u in rows[max(0, n - 19) : n])
+    assert got == kept and 0 < sum(kept.values()) < 300
+    assert D.deduplicate_in_window(spark.createDataFrame([], "id int, t string"), "id", "t").count() == 0
+    assert [r.place for r in D.numbered(spark.range(100).repartition(7), "id").orderBy("id").collect()] == list(range(100))
+
+
+def test_summary_and_patterns(spark):
+    df = spark.createDataFrame([(1.0, 2, "a"), (3.0, None, "b"), (None, 4, "c"), (8.0, 6, "d")], "x double, y int, s_mean string")
+    got = {r.column: r for r in S.describe(df, ["x", "y"]).collect()}
+    assert (got["x"]["count"], got["x"].mean, got["x"].p50, got["x"].max) == (3, 4.0, 3.0, 8.0) and got["y"].p25 == 3.0
+    assert S.drop_matching(df, "_(mean|std)$", "^y").columns == ["x"]
+    assert S.fixed_effects_slope(df.limit(0).withColumn("a", F.lit("p")), "x", "y", "s_mean", "a").first().n == 0
+    with pytest.raises(ValueError):
+        S.fixed_effects_slope(spark.createDataFrame([("a", "b", 1.0, 2.0), ("c", "d", 2.0, 1.0)], "p string, q string, x double, y double"), "y", "x", "p", "q", most_levels=1)
