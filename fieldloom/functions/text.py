@@ -29,8 +29,8 @@ def unaccent(x: Column | str) -> Column:
 
 
 def normalize_name(x: Column | str) -> Column:
-    """Plain letters, lower case, trimmed, hyphens as blanks, no apostrophes and backticks."""
-    return F.translate(F.replace(F.trim(F.lower(unaccent(x))), F.lit("-"), F.lit(" ")), "'`", "")
+    """Plain letters and blanks, lower case, trimmed, hyphens as blanks, no apostrophes and backticks."""
+    return F.translate(F.replace(F.trim(F.lower(unaccent(F.regexp_replace(_c(x), r"[\p{Z}\t\n\r]", " ")))), F.lit("-"), F.lit(" ")), "'`", "")
 
 
 def normalize_for_match(x: Column | str) -> Column:

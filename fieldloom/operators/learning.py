@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from fieldloom.functions.text import token_windows
 from fieldloom.operators.baselines import balanced_weights
 from fieldloom.operators.statistics import any_of, mode_of
+from fieldloom.session import reliable_checkpoint
 
 
 def encoder(categories: Sequence[str], numbers: Sequence[str], scale: str | None = "minmax") -> list:
@@ -38,10 +39,12 @@ def encoder(categories: Sequence[str], numbers: Sequence[str], scale: str | None
     return [*stages, VectorAssembler(inputCols=last, outputCol="features", handleInvalid="keep")]
 
 
+#: Training rows of one partition, about.
+ROWS_PER_PART = 50_000
 MODELS = {
     "logistic": lambda label, weight, seed: LogisticRegression(labelCol=label, weightCol=weight, family="multinomial", maxIter=50),
     "forest": lambda label, weight, seed: RandomForestClassifier(labelCol=label, weightCol=weight, numTrees=50, maxDepth=8, seed=seed),
-    "boosted": lambda label, weight, seed: OneVsRest(classifier=GBTClassifier(maxIter=20, maxDepth=4, seed=seed), labelCol=label, weightCol=weight),
+    "boosted": lambda label, weight, seed: OneVsRest(classifier=GBTClassifier(maxIter=10, maxDepth=4, seed=seed), labelCol=label, weightCol=weight),
 }
 
 
@@ -56,7 +59,7 @@ def fit_classifier(train: DataFrame, label: str, categories: Sequence[str], numb
     ready = _ready(train.filter(F.col(label).isNotNull()), categories, numbers)
     if ready.isEmpty():
         raise ValueError("there is no labelled row to learn from")
-    ready = with_weights(ready, label).withColumn("__label", F.col(label).cast("double"))
+    ready = _laid(with_weights(ready, label).withColumn("__label", F.col(label).cast("double")))
     return Pipeline(stages=[*stages, MODELS[model]("__label", "weight", seed)]).fit(ready)
 
 
@@ -65,7 +68,7 @@ def grid_search(train: DataFrame, label: str, categories: Sequence[str], numbers
     forest = RandomForestClassifier(labelCol="__label", weightCol="weight", seed=seed)
     grid = ParamGridBuilder().addGrid(forest.maxDepth, list(depths)).addGrid(forest.numTrees, list(trees)).build()
     pipeline = Pipeline(stages=[*encoder(categories, numbers), forest])
-    ready = with_weights(_ready(train.filter(F.col(label).isNotNull()), categories, numbers), label).withColumn("__label", F.col(label).cast("double"))
+    ready = _laid(with_weights(_ready(train.filter(F.col(label).isNotNull()), categories, numbers), label).withColumn("__label", F.col(label).cast("double")))
     rated = MulticlassClassificationEvaluator(labelCol="__label", metricName="f1")
     return CrossValidator(estimator=pipeline, estimatorParamMaps=grid, evaluator=rated, numFolds=folds, seed=seed).fit(ready)
 
@@ -85,6 +88,11 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def _laid(df: DataFrame) -> DataFrame:
+    """``df`` written once, as an estimator goes over its rows many times, in parts of some size."""
+    return reliable_checkpoint(df.repartition(max(1, min(df.rdd.getNumPartitions(), -(-df.count() // ROWS_PER_PART)))))
+
+
 def _ready(df: DataFrame, categories: Sequence[str], numbers: Sequence[str]) -> DataFrame:
     return df.na.fill("(none)", list(categories)).na.fill(0, list(numbers))
 
@@ -102,22 +110,25 @@ def importances(model: PipelineModel, names: Sequence[str], spark, least: float
 
 def fit_text_head(df: DataFrame, text: str, label: str, features: int = 1 << 14) -> PipelineModel:
     """TF-IDF and logistic regression for one label of a text: stands in for a fine-tuned language model, with the same output."""
-    ready = df.filter(F.col(text).isNotNull() & F.col(label).isNotNull()).withColumn("__text", F.col(text))
+    ready = _laid(df.filter(F.col(text).isNotNull() & F.col(label).isNotNull()).select(label, F.col(text).alias("__text")))
     stages = [
         StringIndexer(inputCol=label, outputCol="__label", stringOrderType="alphabetAsc"), Tokenizer(inputCol="__text", outputCol="__t"),
-        HashingTF(inputCol="__t", outputCol="__tf", numFeatures=features), IDF(inputCol="__tf", outputCol="features"), LogisticRegression(labelCol="__label", maxIter=20),
+        HashingTF(inputCol="__t", outputCol="__tf", numFeatures=features), IDF(inputCol="__tf", outputCol="features"), LogisticRegression(labelCol="__label", maxIter=10),
     ]
     return Pipeline(stages=stages).fit(ready)
 
 
-def predict_label(model: PipelineModel, df: DataFrame, text: str, out: str) -> DataFrame:
-    """``df`` with ``out``: the label of highest probability; null for null texts."""
-    labels = model.stages[0].labels
-    names = F.array(*[F.lit(x) for x in labels])
-    scored = df.filter(F.col(text).isNotNull()).withColumn("__text", F.col(text))
+def _predicted(model: PipelineModel, df: DataFrame, text: str, out: str) -> DataFrame:
+    names = F.array(*[F.lit(x) for x in model.stages[0].labels])
+    scored = df.withColumn("__text", F.col(text))
     for stage in model.stages[1:]:
         scored = stage.transform(scored)
-    known = scored.withColumn(out, F.get(names, F.col("prediction").cast("int"))).select(*df.columns, out)
+    return scored.withColumn(out, F.get(names, F.col("prediction").cast("int"))).select(*df.columns, out)
+
+
+def predict_label(model: PipelineModel, df: DataFrame, text: str, out: str) -> DataFrame:
+    """``df`` with ``out``: the label of highest probability; null for null texts."""
+    known = _predicted(model, df.filter(F.col(text).isNotNull()), text, out)
     return known.unionByName(df.filter(F.col(text).isNull()), allowMissingColumns=True)
 
 
@@ -133,7 +144,8 @@ def chunk_votes(df: DataFrame, key: str, text: str, heads: dict[str, PipelineMod
     chunks = df.select(key, F.posexplode(token_windows(words, size, stride)).alias("chunk", "w")).select(key, F.array_join("w", " ").alias("__text"))
     flags = flags or {}
     for name, model in {**heads, **flags}.items():
-        chunks = predict_label(model, chunks, "__text", name)
+        chunks = _predicted(model, chunks, "__text", name)
+    chunks = reliable_checkpoint(chunks.drop("__text"))
     out = df.select(key).distinct()
     for name in heads:
         out = out.join(mode_of(chunks, [key], name), key, "left")

@@ -141,6 +141,10 @@ def _plain(c: str) -> str:
     return f"translate({c}, '{X.ACCENTED}', '{X.PLAIN}')"
 
 
+def _blank(c: str) -> str:
+    return f"regexp_replace({c}, '[\\p{{Z}}\\t\\n\\r]', ' ', 'g')"
+
+
 def _match(c: str) -> str:
     return f"trim(regexp_replace(regexp_replace(regexp_replace(lower({_plain(c)}), '\\bal\\b', '', 'g'), '[^a-z0-9 ]', ' ', 'g'), '\\s+', ' ', 'g'))"
 
@@ -185,9 +189,9 @@ SQL = {
   e as (select distinct globaleventid, case when ok then actiongeo_lat end as lat, case when ok then actiongeo_long end as lon from (select *, coalesce(actiongeo_lat between -90 and 90 and actiongeo_long between -180 and 180 and not (actiongeo_lat = 0 and actiongeo_long = 0), false) as ok from gdelt_events))
   select globaleventid, poly_id as area_id, round(d, 3) as distance_m from e left join n using (lat, lon)""",
     "events_mapped": f"""{_EVENTS}, {_NEAREST},
-  names as (select poly_id, {", ".join(f"translate(replace(trim(lower({_plain(c)})), '-', ' '), '''`', '') as {c}" for c in AREA)} from admin_polygons),
-  m as (select a.name_0, a.name_1, a.name_2, cast(sqldate // 100 as varchar) as period, nummentions from clean left join n on actiongeo_lat = n.lat and actiongeo_long = n.lon left join names a using (poly_id))
-  select name_0, name_1, name_2, period, count(*) as n, cast(coalesce(sum(nummentions), 0) as bigint) as mentions from m group by 1, 2, 3, 4""",
+  names as (select poly_id, {", ".join(f"translate(replace(trim(lower({_plain(_blank(c))})), '-', ' '), '''`', '') as {c}" for c in AREA)} from admin_polygons),
+  mapped as (select a.name_0, a.name_1, a.name_2, cast(sqldate // 100 as varchar) as period, nummentions from clean left join n on actiongeo_lat = n.lat and actiongeo_long = n.lon left join names a using (poly_id))
+  select name_0, name_1, name_2, period, count(*) as n, cast(coalesce(sum(nummentions), 0) as bigint) as mentions from mapped group by 1, 2, 3, 4""",
     "largest_parts": """with r as (select poly_id, unnest(geometry) as ring from admin_polygons),
   a as (select poly_id, len(ring) as n, abs(list_sum(list_transform(range(2, len(ring) + 1), lambda i: ring[i - 1].lon * ring[i].lat - ring[i].lon * ring[i - 1].lat))) / 2 as area from r where len(ring) > 3),
   b as (select poly_id, first(n order by area desc) as n from a group by 1) select p.poly_id, cast(n as integer) as corners, cast(len(geometry) as integer) as rings from admin_polygons p left join b using (poly_id)""",

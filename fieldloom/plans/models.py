@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ from fieldloom.operators import learning as L
 from fieldloom.operators import panel as P
 from fieldloom.operators import statistics as S
 from fieldloom.plans.panels import KEYS, district_panel
-from fieldloom.session import table
+from fieldloom.session import reliable_checkpoint, table
 
 CATEGORIES = ["admin0", "admin1"]
 NUMBERS = ["score_last", "articles", "mentions", "articles_3"]
@@ -69,14 +71,14 @@ def text_votes(spark: SparkSession, root: str) -> DataFrame:
     """Impact, urgency and resources of every labelled text, voted by its chunks; three heads fitted on the training side."""
     t = S.stratified_split(table(spark, root, "labelled_text").select("text_id", "clean_text", "impact_type", "urgency", "resource"), "text_id", "urgency")
     train = t.filter("is_train = 1")
-    heads = {name: L.fit_text_head(train, "clean_text", name) for name in ("impact_type", "urgency")}
     held = parse_text_list(F.coalesce("resource", F.lit("")))
-    flags = {}
-    for r in K.RESOURCE_LABELS:
-        marked = train.select("clean_text", F.array_contains(held, r).cast("int").cast("string").alias("y"))
-        if marked.select("y").distinct().count() == 2:
-            flags[f"resource_{r}"] = L.fit_text_head(marked, "clean_text", "y", 1 << 12)
-    return L.chunk_votes(t, "text_id", "clean_text", heads, flags)
+    flags = [F.array_contains(held, r).cast("int").cast("string").alias(f"resource_{r}") for r in K.RESOURCE_LABELS]
+    laid = reliable_checkpoint(train.select("clean_text", "impact_type", "urgency", *flags))
+    both = laid.agg(*[F.count_distinct(c).alias(c) for c in laid.columns[1:]]).first().asDict()
+    with ThreadPoolExecutor(4) as pool:  # the fits are many small jobs
+        fitted = dict(pool.map(lambda c: (c, L.fit_text_head(laid, "clean_text", c, 1 << 12)), [c for c, n in both.items() if n > 1]))
+    heads = {c: m for c, m in fitted.items() if not c.startswith("resource_")}
+    return L.chunk_votes(t, "text_id", "clean_text", heads, {c: m for c, m in fitted.items() if c not in heads})
 
 
 def improvement(spark: SparkSession, root: str) -> DataFrame:
