@@ -87,11 +87,18 @@ def test_story_of_a_page(spark):
 def test_tree_on_held_out_pages():
     pages = boilerplate.labelled_pages()
     assert sum(len(x[2]) for x in pages) <= boilerplate.MAX_BLOCKS
-    rows = [(boilerplate.describe(lines_, t, u)[1], y) for t, u, lines_, y in pages]
-    train, test = rows[::2], rows[1::2]
-    tree = boilerplate.DecisionTree().fit(np.concatenate([x for x, _ in train]), np.concatenate([y for _, y in train]))
-    got, want = tree.predict(np.concatenate([x for x, _ in test])) > 0.5, np.concatenate([y for _, y in test]) == 1
-    assert (got == want).mean() > 0.98
+    for side in (0, 1):
+        tree = boilerplate.fitted(pages[side::2])
+        same = np.concatenate([(tree.predict(boilerplate.describe(lines_, t, u)[1]) > 0.5) == (y == 1) for t, u, lines_, y in pages[1 - side :: 2]])
+        assert same.mean() > 0.99
+
+
+def test_blocks():
+    at, x = boilerplate.describe(["Home | Sport | Health", "", "A long sentence without any link stands here.", "Read also: more"], None, None)
+    f = lambda name: x[:, boilerplate.FEATURES.index(name)].tolist()
+    assert at == [0, 2, 3] and f("links") == [3 / 5, 0.0, 1.0] and f("links_prev") == [0.0, 3 / 5, 0.0] and f("links_next") == [0.0, 1.0, 0.0] and f("around") == [0, 0, 1] and f("paragraph") == [0, 1, 0]
+    assert boilerplate.describe([], "t", "u")[1].shape == (0, len(boilerplate.FEATURES)) and boilerplate.describe([" "], None, None)[0] == []
+    assert boilerplate.block("x" * 100_000)[6] == 1
 
 
 def test_tree_splits():
