@@ -190,16 +190,40 @@ def numbers_to_digits(text: str) -> str:
     return " ".join(digits.split())
 
 
-#: Small default tables; a project supplies its own.
-STOP_WORDS = frozenset("a an the and or but if of at by for with about to from in on is are was were be been it this that as not no so than too very".split())
-CONTRACTIONS = {"can't": "cannot", "won't": "will not", "n't": " not", "'re": " are", "'ve": " have", "'ll": " will", "'m": " am", "it's": "it is", "'d": " would"}
-IRREGULAR = {"men": "man", "women": "woman", "children": "child", "people": "people", "feet": "foot", "lives": "life", "crises": "crisis"}
+# English stop words.
+STOP_WORDS = frozenset("""
+i me my myself we our ours ourselves you you're you've you'll you'd your yours yourself yourselves he him his himself she she's her hers herself it it's its itself they them their
+theirs themselves what which who whom this that that'll these those am is are was were be been being have has had having do does did doing a an the and but if or because as until
+while of at by for with about against between into through during before after above below to from up down in out on off over under again further then once here there when where
+why how all any both each few more most other some such no nor not only own same so than too very s t can will just don don't should should've now d ll m o re ve y ain aren aren't
+couldn couldn't didn didn't doesn doesn't hadn hadn't hasn hasn't haven haven't isn isn't ma mightn mightn't mustn mustn't needn needn't shan shan't shouldn shouldn't wasn wasn't
+weren weren't won won't wouldn wouldn't
+""".split())
+# Contractions of whole words, and of endings.
+CONTRACTIONS = {
+    "can't": "cannot", "won't": "will not", "shan't": "shall not", "ain't": "are not", "let's": "let us", "it's": "it is", "he's": "he is", "she's": "she is", "that's": "that is",
+    "there's": "there is", "here's": "here is", "what's": "what is", "who's": "who is", "where's": "where is", "when's": "when is", "how's": "how is", "y'all": "you all",
+    "gonna": "going to", "wanna": "want to", "gotta": "got to", "'cause": "because", "o'clock": "of the clock", "ma'am": "madam",
+    "n't": " not", "'re": " are", "'ve": " have", "'ll": " will", "'m": " am", "'d": " would",
+}
+IRREGULAR = {
+    "men": "man", "women": "woman", "children": "child", "people": "people", "feet": "foot", "teeth": "tooth", "geese": "goose", "mice": "mouse", "oxen": "ox", "lives": "life", "wives": "wife",
+    "knives": "knife", "leaves": "leaf", "halves": "half", "loaves": "loaf", "calves": "calf", "thieves": "thief", "wolves": "wolf", "shelves": "shelf", "crises": "crisis", "analyses": "analysis",
+    "bases": "base", "criteria": "criterion", "phenomena": "phenomenon", "media": "medium", "data": "data", "news": "news", "series": "series", "species": "species",
+}
+
+
+def _contracted(table: dict[str, str]) -> re.Pattern:
+    whole, ends = [re.escape(k) for k in table if k[0].isalpha() and k != "n't"], [re.escape(k) for k in table if not k[0].isalpha() or k == "n't"]
+    return re.compile("|".join([*(rf"\b{k}\b" for k in whole), *(rf"(?<=\w){k}\b" for k in ends if k != "'cause"), r"(?<!\w)'cause\b"]), re.I)
 
 
 def lemma(word: str, irregular: dict[str, str] = IRREGULAR) -> str:
     """The singular of a noun by rule; known irregular ones by table."""
     if word in irregular:
         return irregular[word]
+    if len(word) > 4 and word.endswith("men"):
+        return word[:-2] + "an"
     if len(word) > 4 and word.endswith("ies"):
         return word[:-3] + "y"
     if len(word) > 4 and re.search(r"(?:s|x|z|ch|sh)es$", word):
@@ -209,13 +233,15 @@ def lemma(word: str, irregular: dict[str, str] = IRREGULAR) -> str:
     return word
 
 
+_CONTRACTED = _contracted(CONTRACTIONS)
+
+
 def clean_words(text: str | None, stop: frozenset[str] = STOP_WORDS, contractions: dict[str, str] = CONTRACTIONS) -> str:
     """Contractions and number words written out, addresses and dotted numbers removed, stop words dropped, nouns in the singular."""
     if not text or not text.strip():
         return ""
-    for short, full in contractions.items():
-        text = re.sub(re.escape(short), full, text, flags=re.I)
-    text = numbers_to_digits(text)
+    pattern = _CONTRACTED if contractions is CONTRACTIONS else _contracted(contractions)
+    text = numbers_to_digits(pattern.sub(lambda m: contractions[m[0].lower()], text.replace("\u2019", "'")))
     text = re.sub(r"\b\d+(?:\.\d+)+\b", "", re.sub(r"http\S+", "", text))
     text = re.sub(r"[^a-z0-9.\s]", "", text.lower())
     tokens = re.findall(r"\d+(?:\.\d+)?|[a-z0-9]+|\.", text)
@@ -281,43 +307,71 @@ def count_categories(df: DataFrame, text: str, by_mention: bool = False, suffix:
     return df.withColumn("__n", run(text)).select("*", *[F.col(f"__n.{c}").alias(f"{c}{suffix}") for c in K.NUMBER_CATEGORIES]).drop("__n")
 
 
-#: A small polarity lexicon (-4 to 4); a project supplies its own.
+#: A small polarity lexicon (-4 to 4); a project supplies its own (``sources.readers.polarity_lexicon``).
 POLARITY = {
     "killed": -3.5, "dead": -3.3, "death": -2.9, "wounded": -2.2, "attack": -2.1, "famine": -3.0, "hunger": -2.0, "crisis": -3.1, "lost": -1.3, "fear": -2.2,
     "war": -2.9, "violence": -3.1, "good": 1.9, "better": 1.9, "best": 3.2, "help": 1.7, "relief": 2.1, "hope": 1.9, "peace": 2.5, "safe": 1.9, "support": 1.7,
 }
-BOOSTERS = {"very": 0.293, "extremely": 0.293, "really": 0.293, "slightly": -0.293, "barely": -0.293}
-NEGATIONS = frozenset("not no never none nobody cannot without".split())
+# Fixed values of the published rule-based scoring: words that strengthen or weaken, negations, and weights.
+STRONGER = frozenset("""absolutely amazingly awfully completely considerable considerably decidedly deeply enormously entirely especially exceptionally extremely fabulously flipping frickin
+fully greatly hella highly hugely incredibly intensely major majorly more most particularly purely quite really remarkably so substantially thoroughly total totally tremendously uber
+unbelievably unusually utterly very""".split())
+WEAKER = frozenset("almost barely hardly kind-of kinda less little marginally occasionally partly scarcely slight slightly somewhat sort-of sorta".split())
+NEGATIONS = frozenset("""aint arent cannot cant couldnt darent didnt doesnt dont hadnt hasnt havent isnt mightnt mustnt neednt neither never none nope nor not nothing nowhere oughtnt shant
+shouldnt uhuh wasnt werent without wont wouldnt rarely seldom despite no nobody""".split())
+BOOST, SHOUT, NEGATED = 0.293, 0.733, -0.74
+BACK = (1.0, 0.95, 0.9)
+BEFORE_BUT, AFTER_BUT = 0.5, 1.5
+EXCLAIMED, ASKED = 0.292, 0.18
 
 
 def sentiment_scores(text: str | None, lexicon: dict[str, float] = POLARITY) -> tuple[float, float, float, float]:
-    """Compound, negative, neutral and positive scores by lexicon with boosters and negation; zeros for blank texts."""
-    words = re.findall(r"[\w']+", (text or "").lower())
-    if not words:
+    """Compound, negative, neutral and positive scores by lexicon; zeros for blank texts.
+
+    Of the three words before a word of the lexicon boosters add, less the farther they are,
+    and a negation turns it; words in capitals count more where not all are; of a sentence
+    with "but" the part after it counts more; exclamation and question marks add emphasis.
+    """
+    raw = re.findall(r"[\w'’-]+", text or "")
+    if not raw:
         return 0.0, 0.0, 0.0, 0.0
+    words = [w.lower().replace("’", "'") for w in raw]
+    plain = [w.replace("'", "") for w in words]
+    loud = [len(w) > 1 and w.isupper() for w in raw]
+    differs = 0 < sum(loud) < len(loud)
     values = []
     for i, w in enumerate(words):
-        v = lexicon.get(w, 0.0)
+        v = 0.0 if w in STRONGER or w in WEAKER else lexicon.get(w, 0.0)
         if v:
-            before = words[max(0, i - 3) : i]
-            boost = sum(BOOSTERS.get(b, 0.0) for b in before)
-            v += boost if v > 0 else -boost
-            if any(b in NEGATIONS or b.endswith("n't") for b in before):
-                v *= -0.74
+            sign = 1 if v > 0 else -1
+            v += sign * SHOUT * (loud[i] and differs)
+            for k, part in enumerate(BACK, 1):
+                if i >= k and words[i - k] not in lexicon:
+                    step = BOOST * ((words[i - k] in STRONGER) - (words[i - k] in WEAKER))
+                    v += sign * part * (step + (SHOUT if step > 0 and loud[i - k] and differs else 0.0))
+            if any(x in NEGATIONS or y.endswith("n't") for x, y in zip(plain[max(0, i - 3) : i], words[max(0, i - 3) : i])):
+                v *= NEGATED
         values.append(v)
+    if "but" in words:
+        at = words.index("but")
+        values = [v * (BEFORE_BUT if i < at else AFTER_BUT if i > at else 1.0) for i, v in enumerate(values)]
+    marks = text.count("?")
+    emphasis = min(4, text.count("!")) * EXCLAIMED + (min(0.96, marks * ASKED) if marks > 1 else 0.0)
     s = sum(values)
+    s += emphasis if s > 0 else -emphasis if s < 0 else 0.0
     up, down = sum(v + 1 for v in values if v > 0), sum(v - 1 for v in values if v < 0)
+    up, down = (up + emphasis, down) if up > abs(down) else (up, down - emphasis) if up < abs(down) else (up, down)
     neutral = sum(1 for v in values if v == 0)
     size = up + abs(down) + neutral
     return round(s / (s * s + 15) ** 0.5, 4), round(abs(down) / size, 3), round(neutral / size, 3), round(up / size, 3)
 
 
-def sentiment(x: Column | str) -> Column:
-    """Struct of ``compound``, ``neg``, ``neu``, ``pos``."""
+def sentiment(x: Column | str, lexicon: dict[str, float] = POLARITY) -> Column:
+    """Struct of ``compound``, ``neg``, ``neu``, ``pos``; see ``sentiment_scores``."""
 
     @F.pandas_udf(T.StructType([T.StructField(c, T.DoubleType()) for c in ("compound", "neg", "neu", "pos")]))
     def run(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([sentiment_scores(t) for t in texts], columns=["compound", "neg", "neu", "pos"])
+        return pd.DataFrame([sentiment_scores(t, lexicon) for t in texts], columns=["compound", "neg", "neu", "pos"])
 
     return run(_c(x))
 

@@ -75,6 +75,15 @@ def names_map(spark: SparkSession, path: str) -> DataFrame:
     return pairs.filter(F.col("old").isNotNull())
 
 
+def polarity_lexicon(spark: SparkSession, path: str, most: int = 100_000) -> dict[str, float]:
+    """Words and their polarity from a tab-separated file without header (further columns are passed over); more than ``most`` entries are refused."""
+    df = spark.read.option("sep", "\t").option("quote", "").csv(path)
+    rows = df.select(F.lower(df.columns[0]).alias("w"), F.col(df.columns[1]).try_cast("double").alias("v")).filter("w is not null and v is not null").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"a lexicon of more than {most} entries")
+    return {r.w: r.v for r in rows}
+
+
 def concept_lexicon(spark: SparkSession, path: str) -> DataFrame:
     """A JSON object of concepts and their phrases as a table ``concept, phrase`` (trimmed, lower case, distinct)."""
     pairs = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "map<string,array<string>>")).alias("concept", "p"))

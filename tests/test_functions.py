@@ -97,6 +97,12 @@ def test_counts_and_sentiment(spark):
     near = X.counted_categories("In 40 villages the floods of May left 7 dead and drove out others. They were held. 3 days on, 12 fled and 9 fled.", by_mention=True)
     assert (near["fatalities"], near["displaced"], near["detained"]) == (7, 12, 1) and X.counted_categories("In 40 villages 7 were killed")["fatalities"] == 40
     assert X.counted_categories("4 killed 6", by_mention=True)["fatalities"] == 4 and X.counted_categories(None, by_mention=True)["torture"] == 0
+    lexicon = {"good": 1.9, "great": 3.1, "bad": -2.5, "horrible": -2.5}
+    score = lambda t: X.sentiment_scores(t, lexicon)[0]
+    assert score("good") == pytest.approx(1.9 / (1.9**2 + 15) ** 0.5, abs=1e-4) and score("very good") > score("good") > score("slightly good") > 0 > score("it isn't good")
+    assert score("GOOD day") > score("good day") and score("GOOD DAY") == score("good day") and score("good!!") > score("good!") > score("good") and score("good!!!!!!") == score("good!!!!")
+    assert score("good but bad") < score("good and bad") < score("bad but good") and X.sentiment_scores("so so", {"so": 1.0})[0] == 0 and score("?? bad ??") < score("bad")
+    assert X.clean_words("He’s won't they'd policemen wolves; gonna") == "would policeman wolf going"
     df = X.count_categories(spark.createDataFrame([("5 killed",), (None,)], "t string"), "t").collect()
     assert df[0].fatalities_count == 5 and df[1].fatalities_count == 0
 
