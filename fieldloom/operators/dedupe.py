@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldloom.functions.arrays import let
 from fieldloom.functions.text import normalize_for_hash
 from fieldloom.session import reliable_checkpoint
 
@@ -23,16 +25,39 @@ def token_set(text: Column | str) -> Column:
     return F.array_sort(F.array_distinct(F.filter(F.split(F.lower(t), r"\s+"), lambda w: w != "")))
 
 
+#: Words whose hashes a Python worker remembers.
+REMEMBERED = 500_000
+
+
+@lru_cache(REMEMBERED)
+def _word_hash(word: str) -> int:
+    return xxhash.xxh64_intdigest(word)
+
+
+_NO_WORD = re.compile(r"[^a-z0-9]+")
+
+
+def shingle_hashes(text: str, n: int = 5) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the runs of ``n`` words (letters a to z and digits, without case); a shorter text is one run, one without words none."""
+    words = _NO_WORD.sub(" ", text.lower()).split()
+    if not words:
+        return np.empty(0, np.int64)
+    h = np.fromiter(map(_word_hash, words), np.uint64, len(words))
+    runs = np.zeros(max(1, len(h) - n + 1), np.uint64)
+    for k in range(min(n, len(h))):  # a number of the base below, whose digits are the words' hashes
+        runs = runs * np.uint64(0x9E3779B97F4A7C15) + h[k : k + len(runs)]
+    runs = (runs ^ (runs >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return np.unique((runs ^ (runs >> np.uint64(32))).view(np.int64))
+
+
 def shingles(text: Column | str, n: int = 5) -> Column:
-    """Sorted distinct runs of ``n`` words as 64-bit hashes; a shorter text is one run."""
-    t = F.col(text) if isinstance(text, str) else text
-    words = F.transform(F.filter(F.split(normalize_for_hash(t), " "), lambda w: w != ""), lambda w: F.xxhash64(w))
+    """``shingle_hashes`` of a text, null for a null one; over whole batches, which costs a fifth of array expressions."""
 
-    def runs(w: Column) -> Column:
-        each = F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - n, F.lit(0))), lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(n)]))
-        return F.when(F.size(w) > 0, F.array_sort(F.array_distinct(each))).otherwise(F.array().cast("array<bigint>"))
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else shingle_hashes(t, n))
 
-    return let(words, runs)
+    return run(F.col(text) if isinstance(text, str) else text)
 
 
 #: Items are counted in so many buckets (8 bytes each on the driver and in the tasks) to tell rare from frequent ones.

@@ -107,3 +107,32 @@ def test_feed_to_area_months(spark, tmp_path):
     assert write_area_months(spark, str(feed), areas, out) == ["202002"]
     got = {(r.name_0, r.name_1, r.name_2, str(r.period), r.n, r.mentions) for r in spark.read.parquet(out).collect()}
     assert got == {("uganda", "northern", "apac", "202001", 1, 3), ("uganda", "central", "kampala", "202001", 1, 3), ("uganda", "central", "kampala", "202002", 1, 3)}
+
+
+def test_areas_from_files(spark, tmp_path):
+    import sqlite3
+    import struct
+
+    from fieldloom.sources import shapes
+
+    square = [(0.0, 0.0), (2.0, 0.0), (2.0, 2.0), (0.0, 0.0)]
+    hole = [(0.5, 0.5), (1.0, 0.5), (1.0, 1.0), (0.5, 0.5)]
+    points = lambda ring, order, z=False: b"".join(struct.pack(order + ("ddd" if z else "dd"), *p, *([7.0] if z else [])) for p in ring)
+    wkb = lambda rings, order="<", kind=3: bytes([order == "<"]) + struct.pack(order + "II", kind, len(rings)) + b"".join(struct.pack(order + "I", len(r)) + points(r, order, kind == 1003) for r in rings)
+    many = b"\x01" + struct.pack("<II", 6, 2) + wkb([square, hole]) + wkb([hole], ">")
+    plain = lambda rings: [[(p["lon"], p["lat"]) for p in r] for r in rings]
+    assert plain(shapes.wkb_rings(many)) == [square, hole, hole] and plain(shapes.wkb_rings(wkb([square], kind=1003))) == [square] and shapes.wkb_rings(b"\x01" + struct.pack("<Idd", 1, 1, 2)) == []
+    path = str(tmp_path / "a.gpkg")
+    with sqlite3.connect(path) as db:
+        db.execute('create table "my layer" (fid integer primary key, NAME_0 text, geom blob)')
+        head = b"GP\0" + bytes([3]) + struct.pack("<i4d", 4326, 0, 2, 0, 2)
+        db.executemany('insert into "my layer" values (?, ?, ?)', [(1, "Mali", head + many), (9, None, head + wkb([square])), (10, "x", None)])
+    got = [(r.NAME_0, r.geometry and plain([[p.asDict() for p in ring] for ring in r.geometry])) for r in shapes.geopackage(spark, path, "my layer", ["NAME_0"], rows_per_task=4).collect()]
+    assert sorted(got, key=str) == sorted([("Mali", [square, hole, hole]), (None, [square]), ("x", None)], key=str)
+    record = lambda n, body: struct.pack(">ii", n, len(body) // 2) + body
+    polygon = struct.pack("<i4dii2i", 5, 0, 0, 2, 2, 2, 8, 0, 4) + points(square, "<") + points(hole, "<")
+    (tmp_path / "w.shp").write_bytes(b"\0" * 100 + record(1, polygon) + record(2, struct.pack("<i", 0)))
+    field = b"NAME\0\0\0\0\0\0\0" + b"C" + b"\0" * 4 + bytes([6]) + b"\0" * 15
+    (tmp_path / "w.dbf").write_bytes(struct.pack("<4BIHH", 3, 0, 0, 0, 2, 65, 7) + b"\0" * 20 + field + b"\x0d" + b" Mali  " + b"       ")
+    rows = shapes.shapefile(spark, str(tmp_path / "w"), ["NAME"]).collect()
+    assert [(r.NAME, r.geometry and [len(x) for x in r.geometry]) for r in rows] == [("Mali", [4, 4]), (None, None)]
