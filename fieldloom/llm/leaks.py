@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 PASSAGE_WORDS = 15
 #: One word in so many may differ, rounded up.
 WORDS_PER_EDIT = 8
-#: Item text (in characters) of one automaton, of about 100 bytes a character; larger item sets are scanned in blocks.
+#: Item text (in characters) of one automaton, pickled about 62 bytes a character; larger item sets are scanned in blocks.
 BLOCK_CHARS = 2_000_000
 
 _DROPPED = "'`\u2019\u02bc\u00ad\u200b\u200c\u200d\ufeff"
@@ -259,8 +259,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_key: str = "doc_id", doc_t
     15 words give no row; repeated rows count once. Long texts are scanned whole.
 
     The items are a stated query set. They are read in blocks of up to ``block_chars``
-    characters; the automaton of a block is built once, and broadcast pickled (about
-    100 bytes a character, so 200 MB at most by default, unpickled once per Python worker).
+    characters; the automaton of a block is built once, and broadcast pickled (about 62
+    bytes a character, so some 125 MB at most by default, unpickled once per Python worker).
     The corpus is read once per block and isn't shuffled but for the removal of repeated
     result rows.
     """
