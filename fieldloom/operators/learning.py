@@ -90,7 +90,8 @@ def load_model(path: str) -> PipelineModel:
 
 def _laid(df: DataFrame) -> DataFrame:
     """``df`` written once, as an estimator goes over its rows many times, in parts of some size."""
-    return reliable_checkpoint(df.repartition(max(1, min(df.rdd.getNumPartitions(), -(-df.count() // ROWS_PER_PART)))))
+    held = reliable_checkpoint(df)
+    return held.coalesce(max(1, -(-held.count() // ROWS_PER_PART)))
 
 
 def _ready(df: DataFrame, categories: Sequence[str], numbers: Sequence[str]) -> DataFrame:
