@@ -65,11 +65,11 @@ COUNT_BUCKETS = 1 << 18
 #: Pairs (16 bytes each) up to which their ids are broadcast to pick their sets.
 FEW_PAIRS = 200_000
 #: Bits of the summary of a set that rules out pairs before their sets are fetched.
-SUMMARY_BITS = 256
+SUMMARY_BITS = 128
 
 
 def _prefixed(counts: np.ndarray, threshold: float):
-    @F.pandas_udf("prefix array<bigint>, summary array<bigint>")
+    @F.pandas_udf("prefix array<bigint>, s0 bigint, s1 bigint")
     def run(sets: pd.Series) -> pd.DataFrame:
         prefix, summary = [], []
         for items in sets:
@@ -79,7 +79,8 @@ def _prefixed(counts: np.ndarray, threshold: float):
             prefix.append(x[order[: n - math.ceil(n * threshold - 1e-9) + 1]])
             odd = (np.bincount((x >> 20) & (SUMMARY_BITS - 1), minlength=SUMMARY_BITS) & 1).astype(np.uint8)
             summary.append(np.packbits(odd).view(np.int64))
-        return pd.DataFrame({"prefix": prefix, "summary": summary})
+        bits = np.stack(summary) if summary else np.empty((0, 2), np.int64)
+        return pd.DataFrame({"prefix": prefix, "s0": bits[:, 0], "s1": bits[:, 1]})
 
     return run
 
@@ -104,10 +105,11 @@ def similar_sets(sets: DataFrame, threshold: float) -> DataFrame:
     counts = np.zeros(COUNT_BUCKETS, np.int64)
     for r in seen:  # one row per bucket
         counts[r.k] = r.n
-    cut = sets.withColumn("x", _prefixed(counts, threshold)("items")).select("id", F.size("items").alias("n"), "x.summary", F.posexplode("x.prefix").alias("at", "w"))
-    a, b = (cut.select(F.col("id").alias(k), F.col("n").alias(f"n{k}"), F.col("summary").alias(f"s{k}"), F.col("at").alias(f"at{k}"), "w") for k in "ab")
+    cut = sets.withColumn("x", _prefixed(counts, threshold)("items")).select("id", F.size("items").cast("bigint").alias("n"), "x.s0", "x.s1", F.posexplode("x.prefix").alias("at", "w"))
+    rows = cut.select("id", (F.shiftleft("n", 32) + F.col("at")).alias("n_at"), "s0", "s1", "w")  # as few bytes as may be, as this is what is shuffled
+    a, b = (rows.select(F.col("id").alias(k), F.shiftright("n_at", 32).alias(f"n{k}"), F.col("n_at").bitwiseAND(0xFFFFFFFF).alias(f"at{k}"), F.col("s0").alias(f"s0{k}"), F.col("s1").alias(f"s1{k}"), "w") for k in "ab")
     least = F.ceil((F.col("na") + F.col("nb")) * (threshold / (1 + threshold)) - 1e-6)  # items in common
-    bits = sum((F.bit_count(F.get("sa", F.lit(i)).bitwiseXOR(F.get("sb", F.lit(i)))) for i in range(SUMMARY_BITS // 64)), F.lit(0))
+    bits = F.bit_count(F.col("s0a").bitwiseXOR(F.col("s0b"))) + F.bit_count(F.col("s1a").bitwiseXOR(F.col("s1b")))
     possible = (
         (F.col("a") < F.col("b"))
         & (F.least("na", "nb") >= F.greatest("na", "nb") * threshold - 1e-9)

@@ -64,11 +64,13 @@ def fit_classifier(train: DataFrame, label: str, categories: Sequence[str], numb
 
 
 def grid_search(train: DataFrame, label: str, categories: Sequence[str], numbers: Sequence[str], depths: Sequence[int] = (4, 8), trees: Sequence[int] = (20, 50), folds: int = 3, seed: int = 42):
-    """The best forest of a grid by weighted F1 over ``folds`` folds; the fitted cross-validator."""
+    """The best forest of a grid by weighted F1 over ``folds`` folds; the fitted cross-validator. Raises ``ValueError`` for fewer than ten labelled rows a fold, of which some fold may hold none."""
     forest = RandomForestClassifier(labelCol="__label", weightCol="weight", seed=seed)
     grid = ParamGridBuilder().addGrid(forest.maxDepth, list(depths)).addGrid(forest.numTrees, list(trees)).build()
     pipeline = Pipeline(stages=[*encoder(categories, numbers), forest])
     ready = _laid(with_weights(_ready(train.filter(F.col(label).isNotNull()), categories, numbers), label).withColumn("__label", F.col(label).cast("double")))
+    if ready.count() < 10 * folds:
+        raise ValueError("too few labelled rows for the folds")
     rated = MulticlassClassificationEvaluator(labelCol="__label", metricName="f1")
     return CrossValidator(estimator=pipeline, estimatorParamMaps=grid, evaluator=rated, numFolds=folds, seed=seed).fit(ready)
 

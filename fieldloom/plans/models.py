@@ -60,9 +60,9 @@ def model_boosted(spark: SparkSession, root: str) -> DataFrame:
 
 
 def model_grid(spark: SparkSession, root: str) -> DataFrame:
-    """Mean weighted F1 over the folds of each setting of a forest; no row without labelled rows."""
+    """Mean weighted F1 over two folds of each setting of a forest; no row with fewer than ten labelled rows a fold."""
     data = features(spark, root)
-    if data.isEmpty():
+    if data.count() < 20:
         return spark.createDataFrame([], "depth int, trees int, f1 double")
     return L.grid_scores(L.grid_search(data, "target", CATEGORIES, NUMBERS, depths=(4, 8), trees=(10, 20), folds=2), spark).select("depth", "trees", F.round("f1", 6).alias("f1"))
 

@@ -30,6 +30,8 @@ def test_forest_and_importances(spark, rows):
 
 def test_grid(rows):
     best = L.grid_search(rows, "y", ["k"], ["x"], depths=(1, 4), trees=(3,), folds=2)
+    with pytest.raises(ValueError):
+        L.grid_search(rows.limit(5), "y", ["k"], ["x"], folds=2)
     assert {(r.depth, r.trees) for r in L.grid_scores(best, rows.sparkSession).collect()} == {(1, 3), (4, 3)}
     assert len(best.avgMetrics) == 2 and best.bestModel.stages[-1].getMaxDepth() == 4
 
