@@ -459,6 +459,16 @@ def find_places(df: DataFrame, text: str, gazetteer: DataFrame, name: str = "nam
     return listed.select(key, keep("hits").alias("places"))
 
 
+def keep_by_lexicon(df: DataFrame, text: str, lexicon: DataFrame, term: str = "term", key: str = "doc_id") -> DataFrame:
+    """Rows of ``df`` in which a term of a lexicon of any size occurs, word by word (``key`` must be unique).
+
+    For more than some thousand terms in place of ``matches_lexicon``, whose pattern grows
+    with them; here terms are joined as ``find_places`` does. Terms of one character don't count.
+    """
+    used = lexicon.filter(F.length(F.trim(term)) > 1)
+    return df.join(find_places(df, text, used, term, key).select(key), key, "left_semi")
+
+
 def choose_admins(places: Column | str, countries: Sequence[str] = ()) -> Column:
     """Struct of three names: the listed country met most often (the earliest on a tie, else the first place), then the next two other places."""
     a = _c(places)

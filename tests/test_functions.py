@@ -119,6 +119,8 @@ def test_places(spark):
     names = spark.createDataFrame([("Congo",), ("North Kivu",), ("Kivu",), ("mali",), (None,), ("--",), ("The Old Town by the Great River",)], "name string")
     far = spark.createDataFrame([(9, "x the old town by the great river, the old")], "doc_id int, t string")
     assert X.find_places(far, "t", names).first().places == ["the old town by the great river"] and X.find_places(far, "t", names.limit(0)).count() == 0
+    terms = spark.createDataFrame([("Kivu",), ("congo and mali",), ("x",), (None,)], "term string")
+    assert [r.doc_id for r in X.keep_by_lexicon(docs, "t", terms).collect()] == [1] and X.keep_by_lexicon(docs, "t", terms.filter("term = 'x'")).count() == 0
     got = {r.doc_id: r.places for r in X.find_places(docs, "t", names).collect()}
     assert got == {1: ["north kivu", "congo", "mali", "congo"]}
     row = spark.createDataFrame([(got[1],)], "p array<string>").select(X.choose_admins("p", ["mali", "congo"]).alias("a"), X.choose_admins("p").alias("b")).first()
