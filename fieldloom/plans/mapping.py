@@ -145,6 +145,10 @@ def _blank(c: str) -> str:
     return f"regexp_replace({c}, '[\\p{{Z}}\\t\\n\\r]', ' ', 'g')"
 
 
+def _name(c: str) -> str:
+    return f"translate(replace(trim(lower({_plain(_blank(c))})), '-', ' '), '''`', '')"
+
+
 def _match(c: str) -> str:
     return f"trim(regexp_replace(regexp_replace(regexp_replace(lower({_plain(c)}), '\\bal\\b', '', 'g'), '[^a-z0-9 ]', ' ', 'g'), '\\s+', ' ', 'g'))"
 
@@ -172,26 +176,45 @@ def _rules_sql() -> str:
 
 _EDGES = """rings as (select poly_id, ring, ring_no from (select poly_id, unnest(geometry) as ring, generate_subscripts(geometry, 1) as ring_no from admin_polygons)),
 edges as (select poly_id, ring[i].lon as x1, ring[i].lat as y1, ring[i % len(ring) + 1].lon as x2, ring[i % len(ring) + 1].lat as y2 from (select poly_id, ring, unnest(range(1, len(ring) + 1)) as i from rings where len(ring) > 2))"""
-_SPOTS = """spots as (select distinct actiongeo_lat as lat, actiongeo_long as lon from gdelt_events where actiongeo_lat between -90 and 90 and actiongeo_long between -180 and 180 and not (actiongeo_lat = 0 and actiongeo_long = 0)),
-boxes as (select poly_id, min(x1) as bx1, max(x1) as bx2, min(y1) as by1, max(y1) as by2 from edges group by 1),
+_INSIDE = """boxes as (select poly_id, min(x1) as bx1, max(x1) as bx2, min(y1) as by1, max(y1) as by2 from edges group by 1),
 inside as (select lat, lon, poly_id from (select lat, lon, b.poly_id, e.* exclude (poly_id) from spots join boxes b on lat between by1 and by2 and lon between bx1 and bx2 join edges e on e.poly_id = b.poly_id)
   where (y1 > lat) <> (y2 > lat) and lon < (x2 - x1) * (lat - y1) / (y2 - y1) + x1 group by 1, 2, 3 having count(*) % 2 = 1)"""
+
+
+def _spots(rows: str, lat: str, lon: str) -> str:
+    return f"spots as (select distinct {lat} as lat, {lon} as lon from {rows} where {lat} between -90 and 90 and {lon} between -180 and 180 and not ({lat} = 0 and {lon} = 0)), {_INSIDE}"
+
+
+_SPOTS = _spots("gdelt_events", "actiongeo_lat", "actiongeo_long")
 _MAP_Y = "6378137.0 * ln(tan(pi() / 4 + radians(greatest(-85.06, least(85.06, {}))) / 2))"
 _CROSSWALK = f"""cross_ as (select poly_id, min(unit_id) as unit_id from admin_polygons p join admin_units u on {_match('p.name_0')} = {_match('u.admin0')} and {_match('p.name_1')} = {_match('u.admin1')} and {_match('p.name_2')} = {_match('u.admin2')} group by 1)"""
-_NEAREST = f"""{_EDGES}, {_SPOTS},
-  m as (select poly_id, radians(x1) * 6378137.0 as ax, {_MAP_Y.format('y1')} as ay, radians(x2) * 6378137.0 as bx, {_MAP_Y.format('y2')} as by_ from edges),
+_NEAREST_OF = f"""m as (select poly_id, radians(x1) * 6378137.0 as ax, {_MAP_Y.format('y1')} as ay, radians(x2) * 6378137.0 as bx, {_MAP_Y.format('y2')} as by_ from edges),
   outside as (select lat, lon, radians(lon) * 6378137.0 as px, {_MAP_Y.format('lat')} as py from spots where (lat, lon) not in (select (lat, lon) from inside)),
   d as (select lat, lon, poly_id, px, py, ax, ay, bx - ax as vx, by_ - ay as vy, greatest(0, least(1, ((px - ax) * (bx - ax) + (py - ay) * (by_ - ay)) / greatest((bx - ax) ** 2 + (by_ - ay) ** 2, 1e-12))) as t from outside cross join m),
   f as (select lat, lon, poly_id, round(min(sqrt((px - ax - t * vx) ** 2 + (py - ay - t * vy) ** 2)), 6) as d from d group by 1, 2, 3 union all select lat, lon, poly_id, 0.0 from inside),
   n as (select lat, lon, poly_id, d from (select *, row_number() over (partition by lat, lon order by d, poly_id) as rn from f) where rn = 1)"""
+_NEAREST = f"{_EDGES}, {_SPOTS}, {_NEAREST_OF}"
+_NAMES = "names as (select poly_id, " + ", ".join(f"{_name(c)} as {c}" for c in AREA) + " from admin_polygons)"
+_FIPS = ", ".join(map(_text, K.FIPS))
 SQL = {
     "nearest_area": f"""with {_NEAREST},
   e as (select distinct globaleventid, case when ok then actiongeo_lat end as lat, case when ok then actiongeo_long end as lon from (select *, coalesce(actiongeo_lat between -90 and 90 and actiongeo_long between -180 and 180 and not (actiongeo_lat = 0 and actiongeo_long = 0), false) as ok from gdelt_events))
   select globaleventid, poly_id as area_id, round(d, 3) as distance_m from e left join n using (lat, lon)""",
     "events_mapped": f"""{_EVENTS}, {_NEAREST},
-  names as (select poly_id, {", ".join(f"translate(replace(trim(lower({_plain(_blank(c))})), '-', ' '), '''`', '') as {c}" for c in AREA)} from admin_polygons),
+  {_NAMES},
   mapped as (select a.name_0, a.name_1, a.name_2, cast(sqldate // 100 as varchar) as period, nummentions from clean left join n on actiongeo_lat = n.lat and actiongeo_long = n.lon left join names a using (poly_id))
   select name_0, name_1, name_2, period, count(*) as n, cast(coalesce(sum(nummentions), 0) as bigint) as mentions from mapped group by 1, 2, 3, 4""",
+    "records_merged": f"""with s as (select gkgrecordid, case when regexp_full_match(gkg_date, '[0-9]{{14}}') then substr(gkg_date, 1, 6) end as period,
+    list_filter(list_transform(string_split(v2locations, ';'), lambda e: string_split(e, '#')), lambda p: len(p) >= 7) as a from gkg_raw where gkgrecordid is not null),
+  g as (select gkgrecordid, period, list_filter(list_transform(a, lambda p: struct_pack(c := p[3], lat := try_cast(p[6] as double), lon := try_cast(p[7] as double))),
+    lambda p: p.lat is not null and p.lon is not null and not (p.lat = 0 and p.lon = 0)) as g from s),
+  rec as (select gkgrecordid, period, p.lat as rlat, p.lon as rlon from (select *, coalesce(list_filter(g, lambda p: list_contains([{_FIPS}], p.c))[1], g[1]) as p from g)),
+  {_EDGES}, {_spots("rec", "rlat", "rlon")}, {_NEAREST_OF}, {_NAMES},
+  records as (select name_1 as admin1, name_2 as admin2, period, count(distinct gkgrecordid) as n_records from rec left join n on rlat = n.lat and rlon = n.lon left join names using (poly_id) group by 1, 2, 3),
+  scores as (select {_name("admin1")} as admin1, {_name("admin2")} as admin2, period_ym as period, max(cs_score) as cs_score from events_panel group by 1, 2, 3)
+  select coalesce(s.admin1, r.admin1) as admin1, coalesce(s.admin2, r.admin2) as admin2, coalesce(s.period, r.period) as period, cs_score, n_records,
+    case when s.k and r.k then 'both' when s.k then 'left_only' else 'right_only' end as side
+  from (select *, true as k from scores) s full join (select *, true as k from records) r on s.admin1 is not distinct from r.admin1 and s.admin2 is not distinct from r.admin2 and s.period is not distinct from r.period""",
     "largest_parts": """with r as (select poly_id, unnest(geometry) as ring from admin_polygons),
   a as (select poly_id, len(ring) as n, abs(list_sum(list_transform(range(2, len(ring) + 1), lambda i: ring[i - 1].lon * ring[i].lat - ring[i].lon * ring[i - 1].lat))) / 2 as area from r where len(ring) > 3),
   b as (select poly_id, first(n order by area desc) as n from a group by 1) select p.poly_id, cast(n as integer) as corners, cast(len(geometry) as integer) as rings from admin_polygons p left join b using (poly_id)""",
