@@ -65,11 +65,11 @@ COUNT_BUCKETS = 1 << 18
 #: Pairs (16 bytes each) up to which their ids are broadcast to pick their sets.
 FEW_PAIRS = 200_000
 #: Bits of the summary of a set that rules out pairs before their sets are fetched.
-SUMMARY_BITS = 128
+SUMMARY_BITS = 256
 
 
 def _prefixed(counts: np.ndarray, threshold: float):
-    @F.pandas_udf("prefix array<bigint>, s0 bigint, s1 bigint")
+    @F.pandas_udf("prefix array<bigint>, s0 bigint, s1 bigint, s2 bigint, s3 bigint")
     def run(sets: pd.Series) -> pd.DataFrame:
         prefix, summary = [], []
         for items in sets:
@@ -79,8 +79,8 @@ def _prefixed(counts: np.ndarray, threshold: float):
             prefix.append(x[order[: n - math.ceil(n * threshold - 1e-9) + 1]])
             odd = (np.bincount((x >> 20) & (SUMMARY_BITS - 1), minlength=SUMMARY_BITS) & 1).astype(np.uint8)
             summary.append(np.packbits(odd).view(np.int64))
-        bits = np.stack(summary) if summary else np.empty((0, 2), np.int64)
-        return pd.DataFrame({"prefix": prefix, "s0": bits[:, 0], "s1": bits[:, 1]})
+        bits = np.stack(summary) if summary else np.empty((0, SUMMARY_BITS // 64), np.int64)
+        return pd.DataFrame({"prefix": prefix, **{f"s{i}": bits[:, i] for i in range(SUMMARY_BITS // 64)}})
 
     return run
 
@@ -105,18 +105,20 @@ def similar_sets(sets: DataFrame, threshold: float) -> DataFrame:
     counts = np.zeros(COUNT_BUCKETS, np.int64)
     for r in seen:  # one row per bucket
         counts[r.k] = r.n
-    cut = sets.withColumn("x", _prefixed(counts, threshold)("items")).select("id", F.size("items").cast("bigint").alias("n"), "x.s0", "x.s1", F.posexplode("x.prefix").alias("at", "w"))
-    rows = cut.select("id", (F.shiftleft("n", 32) + F.col("at")).alias("n_at"), "s0", "s1", "w")  # as few bytes as may be, as this is what is shuffled
-    a, b = (rows.select(F.col("id").alias(k), F.shiftright("n_at", 32).alias(f"n{k}"), F.col("n_at").bitwiseAND(0xFFFFFFFF).alias(f"at{k}"), F.col("s0").alias(f"s0{k}"), F.col("s1").alias(f"s1{k}"), "w") for k in "ab")
-    least = F.ceil((F.col("na") + F.col("nb")) * (threshold / (1 + threshold)) - 1e-6)  # items in common
-    bits = F.bit_count(F.col("s0a").bitwiseXOR(F.col("s0b"))) + F.bit_count(F.col("s1a").bitwiseXOR(F.col("s1b")))
+    words = [f"s{i}" for i in range(SUMMARY_BITS // 64)]
+    cut = sets.withColumn("x", _prefixed(counts, threshold)("items")).select("id", F.size("items").cast("bigint").alias("n"), *[f"x.{c}" for c in words], F.posexplode("x.prefix").alias("at", "w"))
+    rows = cut.select("id", (F.shiftleft("n", 32) + F.col("at")).alias("n_at"), *words, "w")  # as few bytes as may be; both sides only rename, so they are shuffled once
+    a, b = (rows.select(*[F.col(c).alias(c if c == "w" else f"{c}_{k}") for c in rows.columns]) for k in "ab")
+    na, nb, ata, atb = (F.shiftright("n_at_a", 32), F.shiftright("n_at_b", 32), F.col("n_at_a").bitwiseAND(0xFFFFFFFF), F.col("n_at_b").bitwiseAND(0xFFFFFFFF))
+    least = F.ceil((na + nb) * (threshold / (1 + threshold)) - 1e-6)  # items in common
+    bits = sum((F.bit_count(F.coalesce(f"{c}_a", F.lit(0)).bitwiseXOR(F.coalesce(f"{c}_b", F.lit(0)))) for c in words), F.lit(0))  # never null; else a filter would run the summaries twice
     possible = (
-        (F.col("a") < F.col("b"))
-        & (F.least("na", "nb") >= F.greatest("na", "nb") * threshold - 1e-9)
-        & (F.least(F.col("na") - F.col("ata"), F.col("nb") - F.col("atb")) >= least)  # true at the first item in common
-        & (F.col("na") + F.col("nb") - bits >= 2 * least)
+        (F.col("id_a") < F.col("id_b"))
+        & (F.least(na, nb) >= F.greatest(na, nb) * threshold - 1e-9)
+        & (F.least(na - ata, nb - atb) >= least)  # true at the first item in common
+        & (na + nb - bits >= 2 * least)
     )
-    met = reliable_checkpoint(a.join(b, "w").filter(possible).select("a", "b").distinct())
+    met = reliable_checkpoint(a.join(b, "w").filter(possible).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct())
     if met.limit(FEW_PAIRS + 1).count() <= FEW_PAIRS:  # then only their sets are moved
         ids = met.select(F.explode(F.array("a", "b")).alias("id")).distinct()
         sets = sets.join(F.broadcast(ids), "id", "left_semi")
