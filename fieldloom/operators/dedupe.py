@@ -96,7 +96,9 @@ def similar_sets(sets: DataFrame, threshold: float) -> DataFrame:
     out: an item that isn't common changes at most one bit of the summary, so the sets differ
     in at least as many items as the summaries in bits. What is left is compared in full.
     Equal sets are to be made one before; a pair of different sets is never left out, so a
-    group of ``n`` similar sets has ``n ** 2 / 2`` pairs. Empty sets have no pair.
+    group of ``n`` similar sets has ``n ** 2 / 2`` pairs. Empty sets have no pair. Spark
+    takes a set for one item when it estimates sizes, so the joins of items and sets are
+    merge joins by hint: it would broadcast them, by way of the driver, whatever they hold.
     """
     if dict(sets.dtypes)["items"] != "array<bigint>":
         sets = sets.select("id", F.transform("items", lambda w: F.xxhash64(w)).alias("items"))
@@ -118,11 +120,11 @@ def similar_sets(sets: DataFrame, threshold: float) -> DataFrame:
         & (F.least(na - ata, nb - atb) >= least)  # true at the first item in common
         & (na + nb - bits >= 2 * least)
     )
-    met = reliable_checkpoint(a.join(b, "w").filter(possible).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct())
+    met = reliable_checkpoint(a.join(b.hint("merge"), "w").filter(possible).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct())
     if met.limit(FEW_PAIRS + 1).count() <= FEW_PAIRS:  # then only their sets are moved
         ids = met.select(F.explode(F.array("a", "b")).alias("id")).distinct()
         sets = sets.join(F.broadcast(ids), "id", "left_semi")
-    both = met.join(sets.select(F.col("id").alias("a"), F.col("items").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("items").alias("y")), "b")
+    both = met.join(sets.select(F.col("id").alias("a"), F.col("items").alias("x")).hint("merge"), "a").join(sets.select(F.col("id").alias("b"), F.col("items").alias("y")).hint("merge"), "b")
     common = F.size(F.array_intersect("x", "y"))
     return both.select("a", "b", (common / (F.size("x") + F.size("y") - common)).alias("similarity")).filter(F.col("similarity") >= threshold - 1e-12)
 
@@ -193,7 +195,8 @@ def _resolve(df: DataFrame, key: str, text: str, items: Column, threshold: float
     hashed = sets.select("id", F.xxhash64("items").alias("h"), F.xxhash64(F.lit(1), "items").alias("g"), (F.size("items") > 0).alias("has"), "items")
     first = hashed.filter("has").groupBy("h", "g").agg(F.min("id").alias("class_id"), F.first("items").alias("items"))
     first = reliable_checkpoint(first)
-    member = hashed.select("id", "h", "g", "has").join(first.select("h", "g", "class_id"), ["h", "g"], "left").select("id", "has", F.coalesce("class_id", "id").alias("class_id"))
+    # As many rows as texts, so a merge join too.
+    member = hashed.select("id", "h", "g", "has").join(first.select("h", "g", "class_id").hint("merge"), ["h", "g"], "left").select("id", "has", F.coalesce("class_id", "id").alias("class_id"))
     pairs = reliable_checkpoint(similar_sets(first.select(F.col("class_id").alias("id"), "items"), threshold))
     links = pairs.select(F.explode(F.array("a", "b")).alias("class_id")).groupBy("class_id").agg(F.count("*").alias("n_links"))
     state = first_wins(pairs).withColumnRenamed("id", "class_id")

@@ -1,5 +1,6 @@
 import itertools
 import random
+import re
 
 import numpy as np
 import pytest
@@ -101,6 +102,23 @@ def test_similar_sets_and_first_wins(spark):
     assert all(got.get(i, True) for i in kept) and not any(got[i] for i in dropped)
 
 
+def test_similar_sets_keep_items_out_of_the_driver(spark, monkeypatch, tmp_path):
+    texts = [" ".join(f"w{i}_{k}" for k in range(300)) for i in range(40)]
+    spark.createDataFrame([(i, t + end) for i, t in enumerate(texts) for end in ("", " and more")], "id int, t string").select(F.monotonically_increasing_id().alias("id"), "t").write.parquet(f"{tmp_path}/t")
+    plans, checkpoint = [], D.reliable_checkpoint
+    planned = lambda df: df._jdf.queryExecution().sparkPlan().toString()
+    monkeypatch.setattr(D, "reliable_checkpoint", lambda df: plans.append(planned(df)) or checkpoint(df))
+    sets = checkpoint(spark.read.parquet(f"{tmp_path}/t").select("id", D.shingles("t").alias("items")))
+    pairs = D.similar_sets(sets, 0.8)
+    plans.append(planned(pairs))
+    assert pairs.count() == 40
+    joins = [x for p in plans for x in re.findall(r"\w+Join [^\n]*", p)]
+    assert [x.split()[0] for x in joins if "LeftSemi" not in x] == ["SortMergeJoin"] * 3  # only ids of pairs, up to a number, are broadcast
+    member = D.deduplicate_by_shingles(spark.read.parquet(f"{tmp_path}/t"), "id", "t")
+    assert [x.split()[0] for x in re.findall(r"\w+Join [^\n]*", planned(member)) if "[h#" in x] == ["SortMergeJoin"]
+    assert sorted((r.n_links, r.is_kept) for r in member.collect()) == [(1, False)] * 40 + [(1, True)] * 40
+
+
 def test_first_wins_chain(spark):
     def kept(pairs, **limits):
         got = {r.id: r.kept for r in D.first_wins(spark.createDataFrame(pairs, "a bigint, b bigint"), **limits).collect()}
